@@ -5,10 +5,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.numeric import ratio_or_zero
-from .running import BUCKET, add_bucket, running_sums, value_splits
+from .running import BUCKET, add_bucket, add_running, sums_before, value_splits
 
 COUNTS = ("n", "pos", "pred_pos", "tp")
 QUALITY = ("accuracy", "precision", "recall", "f1")
@@ -53,38 +54,6 @@ def classification_metrics(df: DataFrame, y: str, yhat: str, by: Sequence[str] =
     return counts.select(*by, *[c.alias(n) for n, c in _quality().items()])
 
 
-def score_counts(
-    df: DataFrame, y: str, yhat: str, score: str, by: Sequence[str], splits: Sequence[float], extra: Sequence[Column] = ()
-) -> DataFrame:
-    """One row per group and distinct score: all that any metric here needs."""
-    return add_bucket(df, score, splits).groupBy(*by, BUCKET, score).agg(*_count_columns(y, yhat), *extra)
-
-
-def ranking_metrics(counts: DataFrame, by: Sequence[str], score: str) -> DataFrame:
-    """ROC-AUC (ties count half) and PR-AUC as average precision, per group.
-
-    ROC-AUC is NULL with one class only; average precision is 0 without positives;
-    both are NULL when a score is missing.
-    """
-    run = running_sums(
-        counts.withColumn("neg", F.col("n") - F.col("pos")), by, score, ["pos", "neg"], descending=True
-    )
-    pos, neg, tp, fp = (F.col(c).cast("double") for c in ("pos", "neg", "pos_run", "neg_run"))
-    sums = run.groupBy(*by).agg(
-        F.sum(neg * (tp - pos / 2)).alias("_area"),
-        F.sum(F.try_divide(pos * tp, tp + fp)).alias("_steps"),
-        F.max("pos_total").cast("double").alias("_pos"),
-        F.max("neg_total").cast("double").alias("_neg"),
-        F.count_if(F.col(score).isNull()).alias("_unscored"),
-    )
-    scored = F.col("_unscored") == 0
-    return sums.select(
-        *by,
-        F.when(scored, F.try_divide(F.col("_area"), F.col("_pos") * F.col("_neg"))).alias("roc_auc"),
-        F.when(scored, ratio_or_zero(F.col("_steps"), F.col("_pos"))).alias("pr_auc"),
-    )
-
-
 def performance(
     df: DataFrame,
     y: str,
@@ -92,29 +61,58 @@ def performance(
     score: str,
     by: Sequence[str] = (),
     splits: Sequence[float] | None = None,
-    extra: Sequence[Column] = (),
+    first: str | None = None,
     keep_counts: bool = False,
 ) -> DataFrame:
-    """All quality metrics per group from one aggregate by distinct score.
+    """Confusion-based quality, ROC-AUC (ties count half) and average precision per group.
 
-    ``extra`` are further aliased ``min`` aggregates to carry per group;
-    ``keep_counts`` adds the counts behind the rates (n, pos, pred_pos, tp).
+    ROC-AUC is NULL with one class only; average precision is 0 without positives;
+    both are NULL when a score is missing. Rows whose group is NULL are left out.
+    ``first`` carries the smallest value of a column per group, ``keep_counts`` the
+    counts behind the rates.
+
+    Two aggregates read the rows: one per (group, score range), a small table that
+    gives all totals and the counts above each range, and one per (group, score).
     """
     if splits is None:
         splits = value_splits(df, [score])[score]
     keys = list(by) or ["_all"]
-    data = df if by else df.withColumn("_all", F.lit(0))
-    counts = score_counts(data, y, yhat, score, keys, splits, extra)
-    names = [c for c in counts.columns if c not in {*keys, BUCKET, score, *COUNTS}]
-    totals = counts.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in COUNTS], *[F.min(c).alias(c) for c in names])
-    ranked = ranking_metrics(counts, keys, score)
-    # Both sides have one row per group.
-    return totals.join(ranked, keys, "left").select(
+    known = df if by else df.withColumn("_all", F.lit(0))
+    for k in keys:
+        known = known.where(F.col(k).isNotNull())
+    rows = add_bucket(known, score, splits)
+
+    carried = [F.min(first).alias("_first")] if first else []
+    ranges = rows.groupBy(*keys, BUCKET).agg(
+        *_count_columns(y, yhat), F.count_if(F.col(score).isNull()).alias("unscored"), *carried
+    )
+    whole = W.partitionBy(*keys)
+    offsets = ranges.withColumn("neg", F.col("n") - F.col("pos")).select(
+        *keys,
+        BUCKET,
+        *sums_before(keys, ["pos", "neg"], descending=True),
+        *[F.sum(c).over(whole).alias(f"{c}_total") for c in (*COUNTS, "unscored")],
+        *([F.min("_first").over(whole).alias("_first")] if first else []),
+    )
+    counts = rows.groupBy(*keys, BUCKET, score).agg(
+        F.count_if(F.col(y) == 1).alias("pos"), F.count_if(F.coalesce(F.col(y) != 1, F.lit(True))).alias("neg")
+    )
+    curve = add_running(counts, offsets, keys, score, ["pos", "neg"], descending=True)
+    pos, neg, tp, fp = (F.col(c).cast("double") for c in ("pos", "neg", "pos_run", "neg_run"))
+    sums = curve.groupBy(*keys).agg(
+        F.sum(neg * (tp - pos / 2)).alias("_area"),
+        F.sum(F.try_divide(pos * tp, tp + fp)).alias("_steps"),
+        *[F.max(f"{c}_total").alias(c) for c in (*COUNTS, "unscored")],
+        *([F.min("_first").alias(first)] if first else []),
+    )
+    scored = F.col("unscored") == 0
+    n_pos, n_neg = F.col("pos").cast("double"), (F.col("n") - F.col("pos")).cast("double")
+    return sums.select(
         *by,
-        *names,
+        *([first] if first else []),
         *[c.alias(n) for n, c in _quality().items()],
-        "roc_auc",
-        "pr_auc",
+        F.when(scored, F.try_divide(F.col("_area"), n_pos * n_neg)).alias("roc_auc"),
+        F.when(scored, ratio_or_zero(F.col("_steps"), n_pos)).alias("pr_auc"),
         *(COUNTS if keep_counts else ()),
     )
 
@@ -124,9 +122,9 @@ def performance_over_time(
 ) -> DataFrame:
     """One row per calendar window; ``snapshot_date`` is the first date seen in it."""
     windows = df.withColumn("_window", F.date_trunc(unit, F.col(date)))
-    out = performance(windows, y, yhat, score, ["_window"], splits, [F.min(date).alias("snapshot_date")])
+    out = performance(windows, y, yhat, score, ["_window"], splits, first=date)
     return out.drop("_window").withColumnsRenamed(
-        {"actual_rate": "actual_default_rate", "predicted_rate": "predicted_default_rate"}
+        {date: "snapshot_date", "actual_rate": "actual_default_rate", "predicted_rate": "predicted_default_rate"}
     )
 
 

@@ -19,7 +19,7 @@ from ..functions.dates import plus_months
 from ..functions.numeric import histogram_bin
 from .features import numeric_columns, text_columns
 from .quantiles import exact_quantiles
-from .running import BUCKET, add_buckets, value_splits
+from .running import BUCKET, add_buckets, add_running, sums_before, value_splits
 
 # Columns that are no features, bin count, alert thresholds.
 NOT_FEATURES = ("Customer_ID", "label", "prediction", "prediction_proba_0", "prediction_proba_1")
@@ -139,20 +139,15 @@ def _no_scores(marked: DataFrame, name: str) -> DataFrame:
     return empty.where(F.lit(False))
 
 
-def value_counts(marked: DataFrame, features: Sequence[str], splits: dict[str, list[float]]) -> DataFrame:
-    """(feature, bucket, value, window, n, n_ref): rows of equal value summed up before the shuffle."""
+def _value_rows(marked: DataFrame, features: Sequence[str], splits: dict[str, list[float]]) -> DataFrame:
+    """(ref, window, feature, bucket, value): one row per known cell."""
     names = {c: f"_b_{c}" for c in features}
     wide = marked.select(REF, WIN, *[F.col(c).cast("double").alias(c) for c in features])
     cells = [
         F.struct(F.lit(c).alias("feature"), F.col(names[c]).alias(BUCKET), F.col(c).alias("value")) for c in features
     ]
-    return (
-        add_buckets(wide, splits, names)
-        .select(REF, WIN, F.inline(F.array(*cells)))
-        .where(F.col("value").isNotNull())
-        .groupBy("feature", BUCKET, "value", WIN)
-        .agg(F.count(F.lit(1)).alias("n"), F.sum(REF).alias("n_ref"))
-    )
+    long = add_buckets(wide, splits, names).select(REF, WIN, F.inline(F.array(*cells)))
+    return long.where(F.col("value").isNotNull())
 
 
 def ks(marked: DataFrame, ref: Reference, splits: dict[str, list[float]] | None = None) -> DataFrame:
@@ -163,48 +158,43 @@ def ks(marked: DataFrame, ref: Reference, splits: dict[str, list[float]] | None
     the window or just before it. The reference curve is therefore needed only at
     the windows' own values: it is summed up once along (feature, value) for all
     windows together, instead of once per window. Both curves are window sums inside
-    a value range plus the offset of the range.
+    a value range plus the counts of the earlier ranges.
     """
     features = ref.features
     if not features:
         return _no_scores(marked, "ks")
     if splits is None:
         splits = value_splits(marked, features)
-    counts = value_counts(marked, features, splits)
-
-    per_range = counts.groupBy("feature", BUCKET, WIN).agg(F.sum("n").alias("n"), F.sum("n_ref").alias("n_ref"))
-    earlier = (W.unboundedPreceding, -1)
-    zero = F.lit(0).cast("bigint")
-    ref_ranges = per_range.groupBy("feature", BUCKET).agg(F.sum("n_ref").alias("n_ref"))
-    ref_offsets = ref_ranges.select(
-        "feature",
-        BUCKET,
-        F.coalesce(F.sum("n_ref").over(W.partitionBy("feature").orderBy(BUCKET).rowsBetween(*earlier)), zero).alias("ref_before"),
-        F.sum("n_ref").over(W.partitionBy("feature")).alias("ref_total"),
-    )
+    rows = _value_rows(marked, features, splits)
+    sizes = [F.count(F.lit(1)).alias("n"), F.sum(REF).alias("n_ref")]
+
+    # Small: one row per feature, range and window, summed up in the map tasks.
+    along_ranges = W.partitionBy("feature").orderBy(BUCKET).rangeBetween(W.unboundedPreceding, -1)
     offsets = (
-        per_range.where(F.col(WIN).isNotNull())
+        rows.groupBy("feature", BUCKET, WIN)
+        .agg(*sizes)
         .select(
             "feature",
             BUCKET,
             WIN,
-            F.coalesce(F.sum("n").over(W.partitionBy("feature", WIN).orderBy(BUCKET).rowsBetween(*earlier)), zero).alias("cur_before"),
-            F.sum("n").over(W.partitionBy("feature", WIN)).alias("cur_total"),
+            F.coalesce(F.sum("n_ref").over(along_ranges), F.lit(0)).alias("ref_before"),
+            F.sum("n_ref").over(W.partitionBy("feature")).alias("ref_total"),
+            *sums_before(["feature", WIN], ["n"]),
+            F.sum("n").over(W.partitionBy("feature", WIN)).alias("n_total"),
         )
-        .join(ref_offsets, ["feature", BUCKET])
+        .where(F.col(WIN).isNotNull())
     )
-
-    along_ref = W.partitionBy("feature", BUCKET).orderBy("value").rangeBetween(W.unboundedPreceding, 0)
+    along_values = W.partitionBy("feature", BUCKET).orderBy("value").rangeBetween(W.unboundedPreceding, 0)
     at_value = W.partitionBy("feature", BUCKET, "value")
-    along_cur = W.partitionBy("feature", BUCKET, WIN).orderBy("value").rowsBetween(W.unboundedPreceding, 0)
-    curves = (
-        counts.withColumns({"ref_run": F.sum("n_ref").over(along_ref), "ref_here": F.sum("n_ref").over(at_value)})
+    counts = (
+        rows.groupBy("feature", BUCKET, "value", WIN)
+        .agg(*sizes)
+        .withColumns({"ref_run": F.sum("n_ref").over(along_values), "ref_here": F.sum("n_ref").over(at_value)})
         .where(F.col(WIN).isNotNull())
-        .join(offsets, ["feature", BUCKET, WIN])
-        .withColumn("cur_run", F.sum("n").over(along_cur))
     )
-    r, c = F.col("ref_before") + F.col("ref_run"), F.col("cur_before") + F.col("cur_run")
-    rt, ct = F.col("ref_total").cast("double"), F.col("cur_total").cast("double")
+    curves = add_running(counts, offsets, ["feature", WIN], "value", ["n"])
+    r, c = F.col("ref_before") + F.col("ref_run"), F.col("n_run")
+    rt, ct = F.col("ref_total").cast("double"), F.col("n_total").cast("double")
     at = F.abs(r.cast("double") / rt - c.cast("double") / ct)
     just_before = F.abs((r - F.col("ref_here")).cast("double") / rt - (c - F.col("n")).cast("double") / ct)
     return (

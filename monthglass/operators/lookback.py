@@ -35,6 +35,7 @@ def _keep_reachable(
     newest = W.partitionBy(key, "_piece").orderBy(*[F.col(c).desc() for c in order])
     return (
         piece.transform(dated)
+        .withColumn("_piece", F.col("_piece").cast("int"))
         # Piece 0 lies after the last query date.
         .where(F.col("_piece") > 0)
         .withColumn("_rn", F.row_number().over(newest))

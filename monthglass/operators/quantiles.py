@@ -10,7 +10,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -18,84 +18,111 @@ from ..functions.numeric import clip, safe_ratio
 from .running import add_buckets, value_splits
 
 
-def _long(df: DataFrame, columns: Sequence[str], splits: dict[str, list[float]]) -> DataFrame:
-    """(feature, bucket, value) rows of the given columns, NULL left out."""
-    names = {c: f"_b_{c}" for c in columns}
-    wide = add_buckets(df.select([F.col(c).cast("double").alias(c) for c in columns]), splits, names)
-    cells = [F.struct(F.lit(c).alias("feature"), F.col(names[c]).alias("bucket"), F.col(c).alias("value")) for c in columns]
+def _with_ranges(df: DataFrame, columns: Sequence[str], splits: dict[str, list[float]]) -> DataFrame:
+    """The columns as doubles, each with the index of its value range beside it."""
+    doubles = df.select([F.col(c).cast("double").alias(c) for c in columns])
+    return add_buckets(doubles, splits, {c: _range_of(c) for c in columns})
+
+
+def _range_of(column: str) -> str:
+    return f"_b_{column}"
+
+
+def _long(wide: DataFrame, values: dict[str, Column]) -> DataFrame:
+    """(feature, bucket, value) rows, NULL left out."""
+    cells = [
+        F.struct(F.lit(c).alias("feature"), F.col(_range_of(c)).alias("bucket"), v.alias("value"))
+        for c, v in values.items()
+    ]
     return wide.select(F.inline(F.array(*cells))).where(F.col("value").isNotNull())
 
 
-def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float]) -> dict[str, list[float | None]]:
-    """Linear-interpolation quantiles per column, NULL ignored, None for an empty column.
-
-    The built-in exact ``percentile`` gathers all value counts of a column in one
-    task. Here three passes narrow the search instead: (1) a sketch cuts every column
-    into ranges, (2) one aggregate counts the rows of each range, which tells the
-    range holding each wanted rank, (3) only those ranges are aggregated by value and
-    numbered, each in its own window partition. The driver sees counts per range
-    and two values per quantile.
+def order_statistics(
+    df: DataFrame, columns: Sequence[str], probs: Sequence[float]
+) -> dict[str, list[tuple[float, float, float] | None]]:
+    """(lower value, upper value, weight of the upper one) per column and quantile.
+
+    NULL is ignored; a column without any value gives None. The built-in exact
+    ``percentile`` gathers all value counts of a column in one task. Here three
+    passes narrow the search instead: (1) a sketch cuts every column into ranges,
+    (2) one aggregate counts the rows of each range, which tells the range holding
+    each wanted rank, (3) only those ranges are aggregated by value and numbered,
+    each in its own window partition. The driver sees counts per range and two
+    values per quantile.
     """
     columns = list(columns)
     if not columns:
         return {}
-    splits = value_splits(df, columns)
-    long = _long(df, columns, splits)
+    wide = _with_ranges(df, columns, value_splits(df, columns))
     per_range: dict[str, dict[int, int]] = {c: {} for c in columns}
-    for r in long.groupBy("feature", "bucket").agg(F.count(F.lit(1)).alias("n")).collect():
+    cells = _long(wide, {c: F.col(c) for c in columns})
+    for r in cells.groupBy("feature", "bucket").agg(F.count(F.lit(1)).alias("n")).collect():
         per_range[r.feature][r.bucket] = r.n
 
     wanted: dict[tuple[str, int], set[int]] = {}
     place: dict[tuple[str, int], tuple[int, int]] = {}
+    total = {c: sum(per_range[c].values()) for c in columns}
     for c in columns:
-        n = sum(per_range[c].values())
-        ranks = {r for q in probs if n for r in (math.floor(q * (n - 1)), math.ceil(q * (n - 1)))}
+        ranks = {r for q in probs if total[c] for r in _ranks(q, total[c])}
         start = 0
         for b in sorted(per_range[c]):
-            for r in sorted(ranks):
+            for r in ranks:
                 if start <= r < start + per_range[c][b]:
                     place[(c, r)] = (b, r - start)
                     wanted.setdefault((c, b), set()).add(r - start)
             start += per_range[c][b]
 
-    at_rank: dict[tuple[str, int, int], float] = {}
-    if wanted:
-        hit = F.lit(False)
-        holds = F.lit(False)
-        for (c, b), inside in wanted.items():
-            here = (F.col("feature") == c) & (F.col("bucket") == b)
-            hit = hit | here
-            holds = holds | (here & _any_rank_in(inside))
-        counted = long.where(hit).groupBy("feature", "bucket", "value").agg(F.count(F.lit(1)).alias("n"))
-        inside_range = W.partitionBy("feature", "bucket").orderBy("value").rowsBetween(W.unboundedPreceding, 0)
-        numbered = counted.withColumn("upto", F.sum("n").over(inside_range))
-        for r in numbered.where(holds).collect():
-            for rank in wanted[(r.feature, r.bucket)]:
-                if r.upto - r.n <= rank < r.upto:
-                    at_rank[(r.feature, r.bucket, rank)] = r.value
-
-    out: dict[str, list[float | None]] = {}
-    for c in columns:
-        n = sum(per_range[c].values())
-        values: list[float | None] = []
-        for q in probs:
-            if not n:
-                values.append(None)
-                continue
-            pos = q * (n - 1)
-            low, high = (at_rank[(c, *place[(c, r)])] for r in (math.floor(pos), math.ceil(pos)))
-            values.append(low + (high - low) * (pos - math.floor(pos)))
-        out[c] = values
-    return out
-
-
-def _any_rank_in(ranks: set[int]):
-    """True for the value row whose run of equal values covers one of the ranks."""
-    start, upto = F.col("upto") - F.col("n"), F.col("upto")
-    out = F.lit(False)
-    for r in sorted(ranks):
-        out = out | ((start <= r) & (upto > r))
-    return out
+    at_rank = _values_at(wide, wanted)
+
+    def pick(c: str, q: float) -> tuple[float, float, float] | None:
+        if not total[c]:
+            return None
+        low, high = (at_rank[(c, *place[(c, r)])] for r in _ranks(q, total[c]))
+        return low, high, q * (total[c] - 1) - _ranks(q, total[c])[0]
+
+    return {c: [pick(c, q) for q in probs] for c in columns}
+
+
+def _ranks(q: float, n: int) -> tuple[int, int]:
+    return math.floor(q * (n - 1)), math.ceil(q * (n - 1))
+
+
+def _values_at(wide: DataFrame, wanted: dict[tuple[str, int], set[int]]) -> dict[tuple[str, int, int], float]:
+    """The value at each wanted rank, counted from the start of its range."""
+    if not wanted:
+        return {}
+    ranges: dict[str, list[int]] = {}
+    for c, b in wanted:
+        ranges.setdefault(c, []).append(b)
+    # Values outside the wanted ranges become NULL before they are unfolded.
+    inside = _long(wide, {c: F.when(F.col(_range_of(c)).isin(bs), F.col(c)) for c, bs in ranges.items()})
+    counted = inside.groupBy("feature", "bucket", "value").agg(F.count(F.lit(1)).alias("n"))
+    along = W.partitionBy("feature", "bucket").orderBy("value").rowsBetween(W.unboundedPreceding, 0)
+    numbered = counted.withColumn("upto", F.sum("n").over(along))
+    # A handful of rows made here: two ranks per column and quantile.
+    ranks = wide.sparkSession.createDataFrame(
+        [(c, b, r) for (c, b), rs in wanted.items() for r in sorted(rs)], "feature string, bucket int, rank bigint"
+    )
+    covers = (F.col("upto") - F.col("n") <= F.col("rank")) & (F.col("rank") < F.col("upto"))
+    found = numbered.join(F.broadcast(ranks), ["feature", "bucket"]).where(covers)
+    return {(r.feature, r.bucket, r.rank): r.value for r in found.collect()}
+
+
+def interpolate(found: tuple[float, float, float] | None, lo: float | None = None, hi: float | None = None) -> float | None:
+    """The quantile; with bounds, that of the values clipped to them (clipping keeps the order)."""
+    if found is None:
+        return None
+    low, high, weight = found
+    ends = []
+    for x in (low, high):
+        x = x if lo is None else max(x, lo)
+        ends.append(x if hi is None else min(x, hi))
+    return ends[0] + (ends[1] - ends[0]) * weight
+
+
+def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float]) -> dict[str, list[float | None]]:
+    """Linear-interpolation quantiles, exact at any size."""
+    return {c: [interpolate(x) for x in xs] for c, xs in order_statistics(df, columns, probs).items()}
 
 
 def sketch_quantiles(
@@ -141,6 +168,16 @@ def apply_caps(df: DataFrame, bounds: dict[str, tuple[float | None, float | None
     return df.withColumns({c: clip(F.col(c).cast("double"), lo, hi) for c, (lo, hi) in bounds.items()})
 
 
+def fit_caps_and_medians(
+    df: DataFrame, capped: Sequence[str], filled: Sequence[str], low: float = 0.01, high: float = 0.95
+) -> tuple[dict[str, tuple[float | None, float | None]], dict[str, float | None]]:
+    """Quantile bounds, and the medians of the columns as they are after capping, from one fit."""
+    columns = list(dict.fromkeys([*capped, *filled]))
+    found = order_statistics(df, columns, [low, 0.5, high])
+    caps = {c: (interpolate(found[c][0]), interpolate(found[c][2])) for c in capped}
+    return caps, {c: interpolate(found[c][1], *caps.get(c, (None, None))) for c in filled}
+
+
 def fit_fill(df: DataFrame, columns: Sequence[str], method: str = "median", constant: float = 0.0) -> dict[str, float | None]:
     """The number that replaces NULL in each column."""
     columns = list(columns)

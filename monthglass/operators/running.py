@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -51,38 +51,26 @@ def add_buckets(df: DataFrame, splits: dict[str, Sequence[float]], names: dict[s
     )
 
 
-def bucket_offsets(
-    counts: DataFrame, by: Sequence[str], sums: Sequence[str], descending: bool = False
-) -> DataFrame:
-    """Per (by, bucket): the sums of all earlier buckets and of the whole group.
+def sums_before(by: Sequence[str], sums: Sequence[str], descending: bool = False) -> list[Column]:
+    """``<s>_before``: for a table of one row per (by, bucket), the sum over all earlier buckets.
 
-    Works on one row per bucket, so the window over ``by`` sees at most as many
-    rows as there are cut points.
+    The window over ``by`` sees at most as many rows as there are cut points.
     """
-    per_bucket = counts.groupBy(*by, BUCKET).agg(*[F.sum(s).alias(s) for s in sums])
     order = F.col(BUCKET).desc() if descending else F.col(BUCKET).asc()
-    before = W.partitionBy(*by).orderBy(order).rowsBetween(W.unboundedPreceding, -1)
-    whole = W.partitionBy(*by)
-    return per_bucket.select(
-        *by,
-        BUCKET,
-        *[F.coalesce(F.sum(s).over(before), F.lit(0)).alias(f"{s}_before") for s in sums],
-        *[F.sum(s).over(whole).alias(f"{s}_total") for s in sums],
-    )
+    earlier = W.partitionBy(*by).orderBy(order).rowsBetween(W.unboundedPreceding, -1)
+    return [F.coalesce(F.sum(s).over(earlier), F.lit(0)).alias(f"{s}_before") for s in sums]
 
 
-def running_sums(
-    counts: DataFrame, by: Sequence[str], value: str, sums: Sequence[str], descending: bool = False
+def add_running(
+    counts: DataFrame, offsets: DataFrame, by: Sequence[str], value: str, sums: Sequence[str], descending: bool = False
 ) -> DataFrame:
-    """Add ``<s>_run`` (sum up to and including this value) and ``<s>_total``.
+    """Add ``<s>_run``: the sum over the group up to and including this value.
 
-    ``counts`` holds one row per (by, bucket, value). The sum inside a bucket comes
-    from a window over (by, bucket), the rest from the offsets.
+    ``counts`` holds one row per (by, bucket, value), ``offsets`` one per (by,
+    bucket) with the ``<s>_before`` columns and any totals to carry along. Inside a
+    bucket the sum is a window over (by, bucket), so no task sorts a whole group.
     """
-    offsets = bucket_offsets(counts, by, sums, descending)
     order = F.col(value).desc() if descending else F.col(value).asc()
     inside = W.partitionBy(*by, BUCKET).orderBy(order).rowsBetween(W.unboundedPreceding, 0)
     joined = counts.join(offsets, [*by, BUCKET])
-    return joined.withColumns(
-        {f"{s}_run": F.col(f"{s}_before") + F.sum(s).over(inside) for s in sums}
-    ).drop(*[f"{s}_before" for s in sums])
+    return joined.withColumns({f"{s}_run": F.col(f"{s}_before") + F.sum(s).over(inside) for s in sums})

@@ -13,7 +13,7 @@ from ..operators import temporal as tm
 from ..operators.lookback import add_lookback, lookback, lookback_names
 from .queries_checks import _NUMBER_SQL
 from .registry import query
-from .stages_sql import CLEAN_LOANS, GOLD_BODY, LABELLED
+from .stages_sql import CLEAN_LOANS, ENGINEERED_SQL, GOLD_BODY, LABELLED, lookback_sql
 from .views import table, view, with_views
 
 
@@ -239,17 +239,6 @@ _ENGINEERED = [
     "investment_to_income", "total_financial_products", "loans_per_credit_product", "inquiries_per_month",
     "delayed_payments_per_month",
 ]
-ENGINEERED_SQL = """
-       ln(1 + coalesce(Annual_Income, 0)) AS log_annual_income,
-       ln(1 + coalesce(Monthly_Inhand_Salary, 0)) AS log_monthly_salary,
-       Outstanding_Debt / nullif(Annual_Income + 1, 0) AS debt_to_income,
-       Total_EMI_per_month / nullif(Monthly_Inhand_Salary + 1, 0) AS emi_to_salary,
-       (Monthly_Balance + 1) / nullif(Outstanding_Debt + 1, 0) AS balance_to_debt,
-       Amount_invested_monthly / nullif(Monthly_Inhand_Salary + 1, 0) AS investment_to_income,
-       CAST(coalesce(Num_Bank_Accounts, 0) + coalesce(Num_Credit_Card, 0) + coalesce(Num_of_Loan, 0) AS DOUBLE) AS total_financial_products,
-       CAST(Num_of_Loan AS DOUBLE) / nullif(Num_Bank_Accounts + Num_Credit_Card + 1, 0) AS loans_per_credit_product,
-       CAST(Num_Credit_Inquiries AS DOUBLE) / nullif(Credit_History_Age_Months + 1, 0) AS inquiries_per_month,
-       CAST(Num_of_Delayed_Payment AS DOUBLE) / nullif(Credit_History_Age_Months + 1, 0) AS delayed_payments_per_month"""
 
 
 @query(
@@ -393,23 +382,6 @@ def feature_store_join(spark, sf_dir):
     )
 
 
-def _lookback_sql(history: str, dates: str, columns: list[str], order: str) -> str:
-    aggs = ", ".join(
-        f"CASE WHEN count(h.d) = 0 THEN 0.0::DOUBLE ELSE round(avg(h.{c}), 6) END AS {c}_mean, "
-        f"CASE WHEN count(h.d) = 0 THEN 0.0::DOUBLE ELSE max(h.{c}) END AS {c}_max, "
-        f"round(coalesce(sum(h.{c}), 0.0::DOUBLE), 4) AS {c}_sum"
-        for c in columns
-    )
-    # Oracle only: every pair is formed and ranked, which the Spark side avoids.
-    return f"""
-    SELECT q.Customer_ID, q.t AS feature_snapshot_date, {aggs}
-    FROM {dates} q LEFT JOIN (
-        SELECT q.Customer_ID, q.t, h.*, row_number() OVER (PARTITION BY q.Customer_ID, q.t ORDER BY {order}) AS rn
-        FROM {dates} q JOIN {history} h ON h.c = q.Customer_ID AND h.d <= q.t) h
-      ON h.Customer_ID = q.Customer_ID AND h.t = q.t AND h.rn <= 6
-    GROUP BY q.Customer_ID, q.t"""
-
-
 _FE5 = [f"fe_{i}" for i in range(1, 6)]
 _DATES_SQL = "(SELECT Customer_ID, feature_snapshot_date AS t FROM click_dates)"
 
@@ -425,7 +397,7 @@ def _rounded_lookback(df, columns):
     with_views(
         "click_days",
         "click_dates",
-        body=_lookback_sql("(SELECT Customer_ID AS c, snapshot_date AS d, * FROM click_days)", _DATES_SQL, _FE5, "h.d DESC"),
+        body=lookback_sql("(SELECT Customer_ID AS c, snapshot_date AS d, * FROM click_days)", _DATES_SQL, _FE5, "h.d DESC"),
     ),
 )
 def clickstream_last6(spark, sf_dir):
@@ -437,7 +409,7 @@ def clickstream_last6(spark, sf_dir):
     "lookback_events",
     with_views(
         "click_dates",
-        body=_lookback_sql("(SELECT user_id AS c, ts AS d, event_id, value FROM events)", _DATES_SQL, ["value"], "h.d DESC, h.event_id DESC"),
+        body=lookback_sql("(SELECT user_id AS c, ts AS d, event_id, value FROM events)", _DATES_SQL, ["value"], "h.d DESC, h.event_id DESC"),
     ),
 )
 def lookback_events(spark, sf_dir):

@@ -9,13 +9,14 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import learn as ln
-from ..operators.features import KEYS, feature_columns
-from ..operators.temporal import FEATURE_DATE, feature_label_join, scored_join
 from ..operators.clean import clean_loans
+from ..operators.features import KEYS, feature_columns, numeric_columns
+from ..operators.temporal import FEATURE_DATE, feature_label_join, scored_join
 from ..session import staging_path
 from ..sources.stores import load_model, read_registry, save_model
 from .registry import query
 from .stages import build_stores
+from .stages_sql import FEATURE_STORE, feature_store_ctes
 from .views import view, with_views
 
 # Smaller than the defaults of the library, so that the query set stays quick.
@@ -46,9 +47,15 @@ def stores(spark, sf_dir):
     return tuple(spark.read.parquet(p) for p in _STORED[sf_dir])
 
 
-@query("feature_store")
+@query(
+    "feature_store",
+    with_views(
+        "fin_snapshots", "loan_snapshots", "attr_snapshots", "click_months", more=feature_store_ctes(), body=FEATURE_STORE
+    ),
+)
 def feature_store(spark, sf_dir):
-    return stores(spark, sf_dir)[0]
+    features = stores(spark, sf_dir)[0]
+    return features.withColumns({c: F.round(c, 6) for c in numeric_columns(features, ["Customer_ID"])})
 
 
 def _split(spark, sf_dir):

@@ -23,7 +23,7 @@ from ..operators.drift import (
     target_shift,
 )
 from ..operators.features import (
-    KEYS,
+    LABEL_COLUMNS,
     NEVER_CAPPED,
     attribute_features,
     feature_columns,
@@ -35,7 +35,7 @@ from ..operators.features import (
 )
 from ..operators.learn import ALGORITHMS, Training, score, temporal_split, train_all
 from ..operators.lookback import add_lookback
-from ..operators.quantiles import apply_caps, apply_fill, fit_caps, fit_fill
+from ..operators.quantiles import apply_caps, apply_fill, fit_caps_and_medians
 from ..operators.temporal import (
     FEATURE_DATE,
     exact_snapshot,
@@ -176,13 +176,16 @@ def build_stores(
         joined = add_lookback(joined, clickstream, clicks)
     staged = require_rows(stage_table(joined, "gold"), f"no feature date has outcomes {months} months later")
 
-    numbers = numeric_columns(staged)
-    capped = apply_caps(staged, fit_caps(staged, [c for c in numbers if c not in NEVER_CAPPED], low=low, high=high))
-    labels = label_store(capped)
-    features = feature_columns(capped)
-    features = fill_category(features, text_columns(features, ["Customer_ID"]))
-    fill = [c for c in numbers if c in features.columns and c != "Customer_ID"]
-    return apply_fill(features, fit_fill(features, fill)), labels
+    numbers = numeric_columns(staged, LABEL_COLUMNS)
+    caps, medians = fit_caps_and_medians(
+        staged,
+        [c for c in numbers if c not in NEVER_CAPPED],
+        [c for c in numbers if c != "Customer_ID"],
+        low,
+        high,
+    )
+    features = apply_fill(apply_caps(feature_columns(staged), caps), medians)
+    return fill_category(features, text_columns(features, ["Customer_ID"])), label_store(staged)
 
 
 def write_stores(spark: SparkSession, folders: Folders, **options) -> None:
@@ -260,9 +263,3 @@ def monitor(spark: SparkSession, folders: Folders, unit: str = "month") -> dict[
         "stability_long": stability_long(stability),
         "dashboard": dashboard(quality, stability),
     }
-
-
-__all__ = [
-    "KEYS", "Folders", "build_stores", "ingest", "ingest_all", "input_checks", "labelled_rows", "monitor",
-    "refine", "refine_all", "score_all", "score_snapshot", "train_models", "write_stores",
-]

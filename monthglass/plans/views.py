@@ -116,7 +116,7 @@ def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.sql(text, **{t: table(spark, sf_dir, t) for t in set(re.findall(r"\{(\w+)\}", text))})
 
 
-def with_views(*names: str, body: str) -> str:
-    """The same views as common table expressions in front of a query."""
-    parts = [f"{n} AS ({re.sub(r'[{}]', '', VIEWS[n])})" for n in names]
-    return f"WITH {', '.join(parts)} {body}" if parts else body
+def with_views(*names: str, body: str, more: dict[str, str] | None = None) -> str:
+    """The same views, and further named subqueries, in front of a query."""
+    named = {n: re.sub(r"[{}]", "", VIEWS[n]) for n in names} | (more or {})
+    return "WITH " + ", ".join(f"{n} AS ({text})" for n, text in named.items()) + " " + body
