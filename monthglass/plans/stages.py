@@ -165,16 +165,17 @@ def build_stores(
 ) -> tuple[DataFrame, DataFrame]:
     """(feature store, label store) from the four cleaned tables.
 
-    The joined frame is stored once in the staging folder, because the exact
-    quantiles and the final projection read it several times, a few columns each.
+    The joined frame is stored in the staging folder before and after the look-back:
+    the look-back reads its keys and dates apart from the rows, the exact quantiles
+    read a few columns several times, and neither should repeat the joins.
     """
     labelled = financial_features(temporal_label_join(financials, loans, months, threshold))
     people = attribute_features(attributes)
     joined = join_attributes(labelled, people, loans, ["Age", "Occupation", "age_group"], months)
+    staged = require_rows(stage_table(joined, "joined"), f"no feature date has outcomes {months} months later")
     clicks = clean.clickstream_columns(clickstream)
     if clicks:
-        joined = add_lookback(joined, clickstream, clicks)
-    staged = require_rows(stage_table(joined, "gold"), f"no feature date has outcomes {months} months later")
+        staged = stage_table(add_lookback(staged, clickstream, clicks), "gold")
 
     numbers = numeric_columns(staged, LABEL_COLUMNS)
     caps, medians = fit_caps_and_medians(
