@@ -16,10 +16,9 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.dates import plus_months
-from ..functions.numeric import histogram_bin
 from .features import numeric_columns, text_columns
 from .quantiles import exact_quantiles
-from .running import BUCKET, add_buckets, add_running, sums_before, value_splits
+from .running import BUCKET, add_running, sums_before, unfold, value_splits, with_ranges
 
 # Columns that are no features, bin count, alert thresholds.
 NOT_FEATURES = ("Customer_ID", "label", "prediction", "prediction_proba_0", "prediction_proba_1")
@@ -62,9 +61,9 @@ def fit_reference(
 ) -> Reference:
     """Bin edges per feature and the mean score and label; a feature without any value is left out."""
     ends = [
-        x
+        F.expr(f"{f}(cast(`{c}` AS double)) AS {n}{i}")
         for i, c in enumerate(features)
-        for x in (F.min(F.col(c).cast("double")).alias(f"lo{i}"), F.max(F.col(c).cast("double")).alias(f"hi{i}"))
+        for n, f in (("lo", "min"), ("hi", "max"))
     ]
     mean = lambda c, name: (F.avg(c) if c else F.lit(None).cast("double")).alias(name)
     row = reference.agg(F.count(F.lit(1)).alias("n"), mean(score, "s"), mean(label, "l"), *ends).first()
@@ -86,25 +85,27 @@ def first_months(df: DataFrame, date: str, months: int = 3) -> Column:
     return F.col(date) <= plus_months(F.lit(first).cast(df.schema[date].dataType), months)
 
 
-def bin_counts(marked: DataFrame, ref: Reference) -> DataFrame:
+def _value_rows(marked: DataFrame, splits: dict[str, list[float]]) -> DataFrame:
+    """(ref, window, feature, range index, value): one row per known cell."""
+    wide = with_ranges(marked, splits, [REF, WIN])
+    return unfold(wide, {c: f"`{c}`" for c in splits}, [REF, WIN])
+
+
+def bin_counts(marked: DataFrame, ref: Reference, bins: int = BINS) -> DataFrame:
     """(feature, window, bin, n, n_ref): every value is counted, bin NULL is out of range.
 
-    All features are unfolded inside one projection and summed up in the map tasks;
-    what is shuffled is one row per feature, window and bin and task.
+    All features are unfolded in one pass and summed up in the map tasks; what is
+    shuffled is one row per feature, window and bin and task.
     """
-    cells = [
-        F.struct(
-            F.lit(c).alias("feature"),
-            histogram_bin(F.col(c).cast("double"), e).alias("bin"),
-            F.col(c).isNotNull().alias("known"),
-        )
-        for c, e in ref.edges.items()
-    ]
+    # Moving the last edge up by the smallest step closes the last bin on the right.
+    splits = {c: [*e[:-1], float(np.nextafter(e[-1], np.inf))] for c, e in ref.edges.items()}
+    index = F.col(BUCKET) - 1
     return (
-        marked.select(REF, WIN, F.inline(F.array(*cells)))
-        .where("known")
-        .groupBy("feature", WIN, "bin")
+        _value_rows(marked, splits)
+        .groupBy("feature", WIN, BUCKET)
         .agg(F.count(F.lit(1)).alias("n"), F.sum(REF).alias("n_ref"))
+        .groupBy("feature", WIN, F.when(index.between(0, bins - 1), index).alias("bin"))
+        .agg(F.sum("n").alias("n"), F.sum("n_ref").alias("n_ref"))
     )
 
 
@@ -116,22 +117,21 @@ def psi(marked: DataFrame, ref: Reference, bins: int = BINS) -> DataFrame:
     """
     if not ref.edges:
         return _no_scores(marked, "psi")
-    counts = bin_counts(marked, ref)
+    counts = bin_counts(marked, ref, bins)
 
     def per_bin(n: str) -> list[Column]:
-        return [F.sum(F.when(F.col("bin") == i, F.col(n)).otherwise(0)).alias(f"{n}{i}") for i in range(bins)]
+        return [F.expr(f"sum(if(bin = {i}, {n}, 0)) AS {n}{i}") for i in range(bins)]
 
     expected = counts.groupBy("feature").agg(F.sum("n_ref").alias("n_ref"), *per_bin("n_ref"))
     actual = counts.where(F.col(WIN).isNotNull()).groupBy(WIN, "feature").agg(F.sum("n").alias("n"), *per_bin("n"))
-    terms = []
-    for i in range(bins):
-        p = (F.col(f"n_ref{i}") + 1).cast("double") / (F.col("n_ref") + bins).cast("double")
-        q = (F.col(f"n{i}") + 1).cast("double") / (F.col("n") + bins).cast("double")
-        terms.append((q - p) * F.log(q / p))
+    # p: share of the reference, q: share of the window; all counts are exact in a double.
+    shares = [
+        (f"((n_ref{i} + 1) / cast(n_ref + {bins} AS double))", f"((n{i} + 1) / cast(n + {bins} AS double))")
+        for i in range(bins)
+    ]
+    total = " + ".join(f"({q} - {p}) * ln({q} / {p})" for p, q in shares)
     # One row per feature on the right: its size is the number of columns.
-    return actual.join(F.broadcast(expected), "feature").select(
-        F.col(WIN).alias("window"), "feature", sum(terms[1:], terms[0]).alias("psi")
-    )
+    return actual.join(F.broadcast(expected), "feature").selectExpr(f"{WIN} AS window", "feature", f"{total} AS psi")
 
 
 def _no_scores(marked: DataFrame, name: str) -> DataFrame:
@@ -139,17 +139,6 @@ def _no_scores(marked: DataFrame, name: str) -> DataFrame:
     return empty.where(F.lit(False))
 
 
-def _value_rows(marked: DataFrame, features: Sequence[str], splits: dict[str, list[float]]) -> DataFrame:
-    """(ref, window, feature, bucket, value): one row per known cell."""
-    names = {c: f"_b_{c}" for c in features}
-    wide = marked.select(REF, WIN, *[F.col(c).cast("double").alias(c) for c in features])
-    cells = [
-        F.struct(F.lit(c).alias("feature"), F.col(names[c]).alias(BUCKET), F.col(c).alias("value")) for c in features
-    ]
-    long = add_buckets(wide, splits, names).select(REF, WIN, F.inline(F.array(*cells)))
-    return long.where(F.col("value").isNotNull())
-
-
 def ks(marked: DataFrame, ref: Reference, splits: dict[str, list[float]] | None = None) -> DataFrame:
     """(window, feature, ks): two-sample Kolmogorov-Smirnov distance of each window to the reference.
 
@@ -165,7 +154,7 @@ def ks(marked: DataFrame, ref: Reference, splits: dict[str, list[float]] | None
         return _no_scores(marked, "ks")
     if splits is None:
         splits = value_splits(marked, features)
-    rows = _value_rows(marked, features, splits)
+    rows = _value_rows(marked, {c: splits.get(c, []) for c in features})
     sizes = [F.count(F.lit(1)).alias("n"), F.sum(REF).alias("n_ref")]
 
     # Small: one row per feature, range and window, summed up in the map tasks.
@@ -278,21 +267,16 @@ def split_at_quantile(df: DataFrame, date: str, prob: float) -> tuple[DataFrame,
 def missing_values_report(df: DataFrame, is_ref: Column, columns: Sequence[str]) -> DataFrame:
     """(column, missing_reference, missing_current, share of each side), one pass."""
     marked = df.withColumn(REF, F.coalesce(is_ref, F.lit(False)))
-    ref, null = F.col(REF), lambda c: F.col(c).isNull()
-    aggregates = [F.count_if(ref).alias("n_ref"), F.count_if(~ref).alias("n_cur")]
+    counts = ["count_if(_ref) AS n_ref", "count_if(NOT _ref) AS n_cur"]
+    rows = []
     for i, c in enumerate(columns):
-        aggregates += [F.count_if(ref & null(c)).alias(f"r{i}"), F.count_if(~ref & null(c)).alias(f"c{i}")]
-    rows = [
-        F.struct(
-            F.lit(c).alias("column_name"),
-            F.col(f"r{i}").alias("missing_reference"),
-            F.col(f"c{i}").alias("missing_current"),
-            F.try_divide(F.col(f"r{i}").cast("double"), F.col("n_ref").cast("double")).alias("share_reference"),
-            F.try_divide(F.col(f"c{i}").cast("double"), F.col("n_cur").cast("double")).alias("share_current"),
+        counts += [f"count_if(_ref AND `{c}` IS NULL) AS r{i}", f"count_if(NOT _ref AND `{c}` IS NULL) AS c{i}"]
+        rows.append(
+            f"named_struct('column_name', '{c}', 'missing_reference', r{i}, 'missing_current', c{i}, "
+            f"'share_reference', try_divide(cast(r{i} AS double), n_ref), "
+            f"'share_current', try_divide(cast(c{i} AS double), n_cur))"
         )
-        for i, c in enumerate(columns)
-    ]
-    return marked.agg(*aggregates).select(F.inline(F.array(*rows)))
+    return marked.agg(*map(F.expr, counts)).selectExpr(f"inline(array({', '.join(rows)}))")
 
 
 def category_shares(df: DataFrame, is_ref: Column, columns: Sequence[str]) -> DataFrame:

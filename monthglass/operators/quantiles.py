@@ -9,76 +9,48 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.numeric import clip, safe_ratio
-from .running import add_buckets, value_splits
+from .running import BUCKET, range_of, unfold, with_ranges
 
 
-def _with_ranges(df: DataFrame, columns: Sequence[str], splits: dict[str, list[float]]) -> DataFrame:
-    """The columns as doubles, each with the index of its value range beside it."""
-    doubles = df.select([F.col(c).cast("double").alias(c) for c in columns])
-    return add_buckets(doubles, splits, {c: _range_of(c) for c in columns})
-
-
-def _range_of(column: str) -> str:
-    return f"_b_{column}"
-
-
-def _long(wide: DataFrame, values: dict[str, Column]) -> DataFrame:
-    """(feature, bucket, value) rows, NULL left out."""
-    cells = [
-        F.struct(F.lit(c).alias("feature"), F.col(_range_of(c)).alias("bucket"), v.alias("value"))
-        for c, v in values.items()
-    ]
-    return wide.select(F.inline(F.array(*cells))).where(F.col("value").isNotNull())
+# Half-width, as a share of the rows, of the range cut out around a wanted quantile.
+BRACKET = 0.0005
+# Ranges with more rows than this are cut again before their values are sorted.
+SORTABLE_ROWS = 50_000_000
 
 
 def order_statistics(
-    df: DataFrame, columns: Sequence[str], probs: Sequence[float]
+    df: DataFrame, columns: Sequence[str], probs: Sequence[float], sortable: int = SORTABLE_ROWS
 ) -> dict[str, list[tuple[float, float, float] | None]]:
     """(lower value, upper value, weight of the upper one) per column and quantile.
 
     NULL is ignored; a column without any value gives None. The built-in exact
-    ``percentile`` gathers all value counts of a column in one task. Here three
-    passes narrow the search instead: (1) a sketch cuts every column into ranges,
-    (2) one aggregate counts the rows of each range, which tells the range holding
-    each wanted rank, (3) only those ranges are aggregated by value and numbered,
-    each in its own window partition. The driver sees counts per range and two
-    values per quantile.
+    ``percentile`` gathers all value counts of a column in one task. Here the search
+    is narrowed instead: (1) a sketch gives two cut points closely around each wanted
+    quantile, (2) one aggregate counts the rows of each range so made, which tells
+    the range holding each wanted rank, (3) a range that is still large is cut again
+    in the same way, and the others are counted by value and numbered, each in its
+    own window partition. The cut points only steer the work; a bad one makes a
+    range larger, never the result wrong. The driver sees a few numbers per column.
     """
     columns = list(columns)
     if not columns:
         return {}
-    wide = _with_ranges(df, columns, value_splits(df, columns))
-    per_range: dict[str, dict[int, int]] = {c: {} for c in columns}
-    cells = _long(wide, {c: F.col(c) for c in columns})
-    for r in cells.groupBy("feature", "bucket").agg(F.count(F.lit(1)).alias("n")).collect():
-        per_range[r.feature][r.bucket] = r.n
-
-    wanted: dict[tuple[str, int], set[int]] = {}
-    place: dict[tuple[str, int], tuple[int, int]] = {}
-    total = {c: sum(per_range[c].values()) for c in columns}
-    for c in columns:
-        ranks = {r for q in probs if total[c] for r in _ranks(q, total[c])}
-        start = 0
-        for b in sorted(per_range[c]):
-            for r in ranks:
-                if start <= r < start + per_range[c][b]:
-                    place[(c, r)] = (b, r - start)
-                    wanted.setdefault((c, b), set()).add(r - start)
-            start += per_range[c][b]
-
-    at_rank = _values_at(wide, wanted)
+    sizes, total = _range_sizes(df, {c: list(probs) for c in columns})
+    ranks = {c: {r for q in probs if total[c] for r in _ranks(q, total[c])} for c in columns}
+    values = _values_at(sizes, ranks, sortable)
 
     def pick(c: str, q: float) -> tuple[float, float, float] | None:
         if not total[c]:
             return None
-        low, high = (at_rank[(c, *place[(c, r)])] for r in _ranks(q, total[c]))
-        return low, high, q * (total[c] - 1) - _ranks(q, total[c])[0]
+        low, high = _ranks(q, total[c])
+        return values[c, low], values[c, high], q * (total[c] - 1) - low
 
     return {c: [pick(c, q) for q in probs] for c in columns}
 
@@ -87,25 +59,93 @@ def _ranks(q: float, n: int) -> tuple[int, int]:
     return math.floor(q * (n - 1)), math.ceil(q * (n - 1))
 
 
-def _values_at(wide: DataFrame, wanted: dict[tuple[str, int], set[int]]) -> dict[tuple[str, int, int], float]:
-    """The value at each wanted rank, counted from the start of its range."""
+@dataclass(frozen=True)
+class _Ranges:
+    """The columns with the index of their value range, and the rows per range."""
+
+    wide: DataFrame
+    rows: dict[str, dict[int, int]]
+
+    def locate(self, column: str, rank: int) -> tuple[int, int]:
+        """The range holding a rank, and the rank counted from the start of that range."""
+        for b in sorted(self.rows[column]):
+            if rank < self.rows[column][b]:
+                return b, rank
+            rank -= self.rows[column][b]
+        raise IndexError(rank)
+
+
+def _range_sizes(df: DataFrame, wanted: dict[str, list[float]]) -> tuple[_Ranges, dict[str, int]]:
+    """Cut each column around its wanted quantiles and count the ranges."""
+    near = sorted({min(1.0, max(0.0, q + d)) for qs in wanted.values() for q in qs for d in (-BRACKET, BRACKET)})
+    found = df.approxQuantile(list(wanted), near, BRACKET / 2)
+    splits: dict[str, list[float]] = {}
+    for (c, qs), cuts in zip(wanted.items(), found):
+        mine = {min(1.0, max(0.0, q + d)) for q in qs for d in (-BRACKET, BRACKET)}
+        low = {float(x) for x, p in zip(cuts, near) if p in mine}
+        # A cut also just above each point keeps a very frequent value in a range of its own.
+        splits[c] = sorted(low | {math.nextafter(x, math.inf) for x in low})
+    wide = with_ranges(df, splits)
+    rows: dict[str, dict[int, int]] = {c: {} for c in wanted}
+    cells = unfold(wide, {c: f"`{c}`" for c in wanted})
+    for r in cells.groupBy("feature", BUCKET).agg(F.count(F.lit(1)).alias("n")).collect():
+        rows[r.feature][r[BUCKET]] = r.n
+    return _Ranges(wide, rows), {c: sum(n.values()) for c, n in rows.items()}
+
+
+def _values_at(
+    ranges: _Ranges, wanted: dict[str, set[int]], sortable: int
+) -> dict[tuple[str, int], float]:
+    """The value at each wanted rank of each column."""
+    inside: dict[tuple[str, int], dict[int, int]] = {}
+    for c, ranks in wanted.items():
+        for r in ranks:
+            b, rest = ranges.locate(c, r)
+            inside.setdefault((c, b), {})[rest] = r
+    small, large = {}, {}
+    for (c, b), ranks in inside.items():
+        n, whole = ranges.rows[c][b], sum(ranges.rows[c].values())
+        (large if sortable < n < whole else small)[c, b] = ranks
+
+    out: dict[tuple[str, int], float] = {}
+    for (c, b, rest), value in _sorted_values(ranges.wide, {k: set(v) for k, v in small.items()}).items():
+        out[c, small[c, b][rest]] = value
+    if large:
+        # Every large range becomes a column of its own, searched for the ranks inside it.
+        names = {(c, b): f"{c}__{b}" for c, b in large}
+        cut = ranges.wide.selectExpr(
+            *[f"if(`{range_of(c)}` = {b}, `{c}`, NULL) AS `{name}`" for (c, b), name in names.items()]
+        )
+        size = {names[k]: ranges.rows[k[0]][k[1]] for k in large}
+        sub, _ = _range_sizes(cut, {names[k]: [r / max(1, size[names[k]] - 1) for r in v] for k, v in large.items()})
+        deeper = _values_at(sub, {names[k]: set(v) for k, v in large.items()}, sortable)
+        for k, ranks in large.items():
+            for rest, r in ranks.items():
+                out[k[0], r] = deeper[names[k], rest]
+    return out
+
+
+def _sorted_values(wide: DataFrame, wanted: dict[tuple[str, int], set[int]]) -> dict[tuple[str, int, int], float]:
+    """Count the wanted ranges by value and number the values of each."""
     if not wanted:
         return {}
     ranges: dict[str, list[int]] = {}
     for c, b in wanted:
         ranges.setdefault(c, []).append(b)
     # Values outside the wanted ranges become NULL before they are unfolded.
-    inside = _long(wide, {c: F.when(F.col(_range_of(c)).isin(bs), F.col(c)) for c, bs in ranges.items()})
-    counted = inside.groupBy("feature", "bucket", "value").agg(F.count(F.lit(1)).alias("n"))
-    along = W.partitionBy("feature", "bucket").orderBy("value").rowsBetween(W.unboundedPreceding, 0)
+    inside = unfold(
+        wide, {c: f"if(`{range_of(c)}` IN ({', '.join(map(str, bs))}), `{c}`, NULL)" for c, bs in ranges.items()}
+    )
+    counted = inside.groupBy("feature", BUCKET, "value").agg(F.count(F.lit(1)).alias("n"))
+    along = W.partitionBy("feature", BUCKET).orderBy("value").rowsBetween(W.unboundedPreceding, 0)
     numbered = counted.withColumn("upto", F.sum("n").over(along))
     # A handful of rows made here: two ranks per column and quantile.
     ranks = wide.sparkSession.createDataFrame(
-        [(c, b, r) for (c, b), rs in wanted.items() for r in sorted(rs)], "feature string, bucket int, rank bigint"
+        [(c, b, r) for (c, b), rs in wanted.items() for r in sorted(rs)], f"feature string, {BUCKET} int, rank bigint"
     )
     covers = (F.col("upto") - F.col("n") <= F.col("rank")) & (F.col("rank") < F.col("upto"))
-    found = numbered.join(F.broadcast(ranks), ["feature", "bucket"]).where(covers)
-    return {(r.feature, r.bucket, r.rank): r.value for r in found.collect()}
+    found = numbered.join(F.broadcast(ranks), ["feature", BUCKET]).where(covers)
+    return {(r.feature, r[BUCKET], r.rank): r.value for r in found.collect()}
 
 
 def interpolate(found: tuple[float, float, float] | None, lo: float | None = None, hi: float | None = None) -> float | None:

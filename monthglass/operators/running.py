@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 from ..session import split_count
 
 BUCKET = "_bucket"
+# Cut points of all columns together; they travel inside the plan.
+MAX_SPLITS = 20_000
 
 
 def value_splits(df: DataFrame, columns: Sequence[str], n: int | None = None) -> dict[str, list[float]]:
@@ -24,7 +26,7 @@ def value_splits(df: DataFrame, columns: Sequence[str], n: int | None = None) ->
     """
     if not columns:
         return {}
-    n = n or split_count(df.sparkSession)
+    n = n or max(8, min(split_count(df.sparkSession), MAX_SPLITS // len(columns)))
     probs = [i / n for i in range(1, n)]
     found = df.approxQuantile(list(columns), probs, 1.0 / (2 * n))
     return {c: sorted({float(x) for x in xs}) for c, xs in zip(columns, found)}
@@ -43,12 +45,31 @@ def add_buckets(df: DataFrame, splits: dict[str, Sequence[float]], names: dict[s
         out = Bucketizer(
             splitsArray=cut,
             inputCols=columns,
-            outputCols=[names[c] for c in columns],
+            outputCols=[f"{names[c]}_" for c in columns],
             handleInvalid="keep",
         ).transform(out)
-    return out.withColumns(
-        {b: F.coalesce(F.col(b).cast("int"), F.lit(-1)) if c in columns else F.lit(0) for c, b in names.items()}
+    indexes = [
+        f"coalesce(cast(`{b}_` AS int), -1) AS `{b}`" if c in columns else f"0 AS `{b}`" for c, b in names.items()
+    ]
+    return out.selectExpr(*[f"`{c}`" for c in df.columns], *indexes)
+
+
+def range_of(column: str) -> str:
+    return f"_b_{column}"
+
+
+def with_ranges(df: DataFrame, splits: dict[str, Sequence[float]], keep: Sequence[str] = ()) -> DataFrame:
+    """The columns of ``splits`` as doubles, each with the index of its value range, and ``keep``."""
+    doubles = df.selectExpr(*keep, *[f"cast(`{c}` AS double) AS `{c}`" for c in splits])
+    return add_buckets(doubles, splits, {c: range_of(c) for c in splits})
+
+
+def unfold(wide: DataFrame, values: dict[str, str], keep: Sequence[str] = ()) -> DataFrame:
+    """(keep, feature, bucket, value): one row per known cell; ``values`` are SQL texts per feature."""
+    cells = ", ".join(
+        f"named_struct('feature', '{c}', '{BUCKET}', `{range_of(c)}`, 'value', {text})" for c, text in values.items()
     )
+    return wide.selectExpr(*keep, f"inline(array({cells}))").where("value IS NOT NULL")
 
 
 def sums_before(by: Sequence[str], sums: Sequence[str], descending: bool = False) -> list[Column]:

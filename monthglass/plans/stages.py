@@ -6,7 +6,8 @@ lazy plan. Paths are folders any Spark file system can serve.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -112,14 +113,23 @@ def ingest(spark: SparkSession, folders: Folders, name: str, validate: bool = Tr
     return read_table(spark, folders.bronze(name))
 
 
-def ingest_all(spark: SparkSession, folders: Folders, names: Sequence[str] = tuple(SOURCES)) -> None:
-    """Every source; failures are gathered and raised together at the end."""
-    failed = {}
-    for name in names:
+def _each(names: Sequence[str], run: Callable[[str], object]) -> dict[str, str]:
+    """Run independent sources side by side; the error text of each that failed."""
+
+    def safely(name: str) -> str | None:
         try:
-            ingest(spark, folders, name)
+            run(name)
         except Exception as e:  # noqa: BLE001
-            failed[name] = str(e)
+            return str(e)
+        return None
+
+    with ThreadPoolExecutor(max(1, len(names))) as pool:
+        return {n: e for n, e in zip(names, pool.map(safely, names)) if e is not None}
+
+
+def ingest_all(spark: SparkSession, folders: Folders, names: Sequence[str] = tuple(SOURCES)) -> None:
+    """Every source; failures are gathered and raised together at the end."""
+    failed = _each(names, lambda name: ingest(spark, folders, name))
     if failed:
         raise ValueError(f"failed to ingest {sorted(failed)}: {failed}")
 
@@ -149,8 +159,9 @@ def refine(spark: SparkSession, folders: Folders, name: str, validate: bool = Tr
 
 
 def refine_all(spark: SparkSession, folders: Folders, names: Sequence[str] = tuple(SOURCES)) -> None:
-    for name in names:
-        refine(spark, folders, name)
+    failed = _each(names, lambda name: refine(spark, folders, name))
+    if failed:
+        raise ValueError(f"failed to clean {sorted(failed)}: {failed}")
 
 
 def build_stores(
