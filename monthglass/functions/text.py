@@ -17,21 +17,21 @@ OCCUPATION_NULLS = ("_______", "N/A", "na", "NA", "")
 NAME_NULLS = ("_______", "")
 FINANCIAL_NULLS = ("_", "NA", "na", "N/A", "!@9#%8", "", " ")
 
-NUMBER = r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"
+NUMBER = r"^\s*([+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?)\s*$"
 
 
 def finite(c: Column) -> Column:
-    """NaN and infinities become NULL, so NULL is the only kind of missing."""
-    return F.when(F.isnan(c) | (F.abs(c) == F.lit(float("inf"))), None).otherwise(c)
+    """NaN and infinities become NULL, so NULL is the only kind of missing (NaN sorts above all)."""
+    return F.when(F.abs(c) < float("inf"), c)
 
 
 def safe_double(c: Column) -> Column:
     """Text to double; anything that is not a plain number becomes NULL.
 
-    The pattern guard is needed because a cast accepts text such as ``5d`` or
-    ``NaN``.
+    A cast alone accepts text such as ``5d`` or ``NaN``, so the number is cut out by
+    pattern first; without a match that leaves empty text, which is no number.
     """
-    return finite(F.when(c.rlike(NUMBER), c.try_cast("double")))
+    return finite(F.regexp_extract(c, NUMBER, 1).try_cast("double"))
 
 
 def strip_whitespace(c: Column) -> Column:

@@ -99,13 +99,11 @@ def bin_counts(marked: DataFrame, ref: Reference, bins: int = BINS) -> DataFrame
     """
     # Moving the last edge up by the smallest step closes the last bin on the right.
     splits = {c: [*e[:-1], float(np.nextafter(e[-1], np.inf))] for c, e in ref.edges.items()}
-    index = F.col(BUCKET) - 1
+    inside = F.when(F.col(BUCKET).between(1, bins), F.col(BUCKET) - 1)
     return (
         _value_rows(marked, splits)
-        .groupBy("feature", WIN, BUCKET)
+        .groupBy("feature", WIN, inside.alias("bin"))
         .agg(F.count(F.lit(1)).alias("n"), F.sum(REF).alias("n_ref"))
-        .groupBy("feature", WIN, F.when(index.between(0, bins - 1), index).alias("bin"))
-        .agg(F.sum("n").alias("n"), F.sum("n_ref").alias("n_ref"))
     )
 
 
@@ -117,21 +115,18 @@ def psi(marked: DataFrame, ref: Reference, bins: int = BINS) -> DataFrame:
     """
     if not ref.edges:
         return _no_scores(marked, "psi")
-    counts = bin_counts(marked, ref, bins)
-
-    def per_bin(n: str) -> list[Column]:
-        return [F.expr(f"sum(if(bin = {i}, {n}, 0)) AS {n}{i}") for i in range(bins)]
-
-    expected = counts.groupBy("feature").agg(F.sum("n_ref").alias("n_ref"), *per_bin("n_ref"))
-    actual = counts.where(F.col(WIN).isNotNull()).groupBy(WIN, "feature").agg(F.sum("n").alias("n"), *per_bin("n"))
-    # p: share of the reference, q: share of the window; all counts are exact in a double.
-    shares = [
-        (f"((n_ref{i} + 1) / cast(n_ref + {bins} AS double))", f"((n{i} + 1) / cast(n + {bins} AS double))")
-        for i in range(bins)
-    ]
+    sums = [f"sum({n}) AS {n}" for n in ("n", "n_ref")]
+    sums += [f"sum(if(bin = {i}, {n}, 0)) AS {n}{i}" for n in ("n", "n_ref") for i in range(bins)]
+    wide = bin_counts(marked, ref, bins).groupBy(WIN, "feature").agg(*map(F.expr, sums))
+    # One row per window and feature by now; the reference counts are spread over all windows.
+    shares = [(f"((r{i} + 1) / cast(r + {bins} AS double))", f"((n{i} + 1) / cast(n + {bins} AS double))") for i in range(bins)]
     total = " + ".join(f"({q} - {p}) * ln({q} / {p})" for p, q in shares)
-    # One row per feature on the right: its size is the number of columns.
-    return actual.join(F.broadcast(expected), "feature").selectExpr(f"{WIN} AS window", "feature", f"{total} AS psi")
+    reference = [f"sum(n_ref{i}) OVER (PARTITION BY feature) AS r{i}" for i in ("", *range(bins))]
+    return (
+        wide.selectExpr("*", *reference)
+        .where(F.col(WIN).isNotNull())
+        .selectExpr(f"{WIN} AS window", "feature", f"{total} AS psi")
+    )
 
 
 def _no_scores(marked: DataFrame, name: str) -> DataFrame:
