@@ -22,6 +22,7 @@ from ..functions.text import (
     strip_whitespace,
 )
 
+# Fixed value: the pattern of a valid number.
 SSN_PATTERN = r"^\d{3}-\d{2}-\d{4}$"
 
 # Column groups of the raw sources.

@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from ..functions.numeric import AGE_EDGES, AGE_LABELS, bin_right_closed, log1p_filled, safe_ratio
 
+# Keys, dropped and uncapped columns, and what each engineered column is made of.
 KEYS = ("Customer_ID", "feature_snapshot_date", "label_snapshot_date")
 LABEL_COLUMNS = ("label", "dpd", "overdue_amt")
 PII = ("Name", "SSN")

@@ -129,15 +129,14 @@ def validate_schema(spark, sf_dir):
         body="""
     SELECT 'missing_values_check' AS check_name, FALSE AS passed, 'error' AS level,
            count(*) FILTER (price IS NULL) AS price__count,
-           round(CAST(count(*) FILTER (price IS NULL) AS DOUBLE) / count(*), 6) AS price__percentage,
-           CAST(NULL AS BIGINT) AS brand__count
+           round(CAST(count(*) FILTER (price IS NULL) AS DOUBLE) / count(*), 6) AS price__percentage
     FROM dirty_rows""",
     ),
 )
 def validate_missing(spark, sf_dir):
     checks = [v.MissingShare(["price", "brand", "not_there"], 0.1, v.ERROR)]
     rows = v.run_checks(view(spark, sf_dir, "dirty_rows"), checks)
-    typed = _typed(rows, price__count="bigint", price__percentage="double", brand__count="bigint")
+    typed = _typed(rows, price__count="bigint", price__percentage="double")
     return typed.withColumn("price__percentage", F.round("price__percentage", 6))
 
 
@@ -219,11 +218,11 @@ _ORDERS_SPEC = SourceSpec("orders", "orders.csv", ("o_custkey", "o_orderdate"))
 _BRONZE_SQL = """
     SELECT 'row_count_check' AS check_name, count(*) >= 100 AS passed,
            CASE WHEN count(*) >= 100 THEN 'warning' ELSE 'critical' END AS level, count(*) AS found FROM orders
-    UNION ALL SELECT 'schema_validation', TRUE, 'warning', NULL
-    UNION ALL SELECT 'missing_values_check', count(*) FILTER (o_custkey IS NULL OR o_orderdate IS NULL) = 0, 'warning', NULL FROM orders
+    UNION ALL SELECT 'schema_validation', TRUE, 'warning', 0
+    UNION ALL SELECT 'missing_values_check', count(*) FILTER (o_custkey IS NULL OR o_orderdate IS NULL) = 0, 'warning', 0 FROM orders
     UNION ALL SELECT 'duplicate_check', sum(c - 1) = 0, 'warning', CAST(sum(c - 1) AS BIGINT)
               FROM (SELECT count(*) AS c FROM orders GROUP BY o_custkey, o_orderdate)
-    UNION ALL SELECT 'missing_values_check', count(*) FILTER (o_orderdate IS NULL) = 0, 'warning', NULL FROM orders"""
+    UNION ALL SELECT 'missing_values_check', count(*) FILTER (o_orderdate IS NULL) = 0, 'warning', 0 FROM orders"""
 
 
 def _bronze_results(spark, sf_dir) -> DataFrame:
@@ -233,7 +232,7 @@ def _bronze_results(spark, sf_dir) -> DataFrame:
 
 @query("bronze_validation_suite", _BRONZE_SQL)
 def bronze_validation_suite(spark, sf_dir):
-    found = F.coalesce(F.col("details")["row_count"], F.col("details")["duplicate_count"]).cast("bigint")
+    found = F.coalesce(F.col("details")["row_count"], F.col("details")["duplicate_count"], F.lit("0")).cast("bigint")
     return _bronze_results(spark, sf_dir).select("check_name", "passed", "level", found.alias("found"))
 
 

@@ -145,12 +145,12 @@ def label_distribution(spark, sf_dir):
     with_views(
         "scored_orders",
         body=f"""
-    SELECT {DATE}, count(prediction) AS prediction_count, round(avg(prediction), 6) AS prediction_mean,
-           round(avg({PROB}), 6) AS probability_mean FROM scored_orders GROUP BY 1""",
+    SELECT {DATE}, count(prediction) AS prediction_count, round(avg(prediction), 10) AS prediction_mean,
+           round(avg({PROB}), 10) AS probability_mean FROM scored_orders GROUP BY 1""",
     ),
 )
 def prediction_summary(spark, sf_dir):
-    return _round(cl.prediction_summary(_orders(spark, sf_dir)), ["prediction_mean", "probability_mean"])
+    return _round(cl.prediction_summary(_orders(spark, sf_dir)), ["prediction_mean", "probability_mean"], 10)
 
 
 @query(
@@ -315,12 +315,11 @@ def label_drift(spark, sf_dir):
 
 
 _STABILITY_COLUMNS = ["mean_psi", "max_psi", "mean_ks", "max_ks", "prediction_drift", "label_drift"]
-# Scores are rounded before they are averaged in SQL, so fewer digits are compared.
 _STABILITY_SQL = f"""
     SELECT snapshot_date, reference_sample_count, current_sample_count, round(mean_psi, 4) AS mean_psi, round(max_psi, 4) AS max_psi,
            round(mean_ks, 4) AS mean_ks, round(max_ks, 4) AS max_ks, round(prediction_drift, 4) AS prediction_drift,
            round(label_drift, 4) AS label_drift
-    FROM {_DRIFT_SQL}
+    FROM {_DRIFT_SQL.replace(", 6) AS", ", 12) AS")}
     JOIN (SELECT w, avg(psi) AS mean_psi, max(psi) AS max_psi FROM {_psi_sql(_MARKED, FEATURES).replace(", 6) AS psi", ", 12) AS psi")} GROUP BY w) USING (w)
     JOIN (SELECT w, avg(ks) AS mean_ks, max(ks) AS max_ks FROM {_ks_sql(_MARKED, FEATURES).replace(", 6) AS ks", ", 12) AS ks")} GROUP BY w) USING (w)"""
 
