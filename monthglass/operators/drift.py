@@ -7,6 +7,7 @@ both, as the first months are reference and window at once.
 
 from __future__ import annotations
 
+from bisect import bisect_right
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -45,6 +46,10 @@ class Reference:
     def features(self) -> list[str]:
         return list(self.edges)
 
+    @property
+    def bins(self) -> int:
+        return max((len(e) for e in self.edges.values()), default=1) - 1
+
 
 def _edges(lo: float, hi: float, bins: int) -> list[float]:
     if lo == hi:
@@ -85,29 +90,59 @@ def first_months(df: DataFrame, date: str, months: int = 3) -> Column:
     return F.col(date) <= plus_months(F.lit(first).cast(df.schema[date].dataType), months)
 
 
-def _value_rows(marked: DataFrame, splits: dict[str, list[float]]) -> DataFrame:
-    """(ref, window, feature, range index, value): one row per known cell."""
+@dataclass(frozen=True)
+class Cells:
+    """All features of a marked frame unfolded, each value with the index of its range.
+
+    ``rows`` is (ref, window, feature, range index, value). ``ranges`` counts them per
+    feature, range and window: summed up in the map tasks, it is a small table. PSI
+    and KS made from the same ``Cells`` share it: Spark reuses its exchange.
+    """
+
+    splits: dict[str, list[float]]
+    rows: DataFrame
+    ranges: DataFrame
+
+
+def unfold_cells(marked: DataFrame, splits: dict[str, list[float]]) -> Cells:
     wide = with_ranges(marked, splits, [REF, WIN])
-    return unfold(wide, {c: f"`{c}`" for c in splits}, [REF, WIN])
+    rows = unfold(wide, {c: f"`{c}`" for c in splits}, [REF, WIN])
+    return Cells(splits, rows, rows.groupBy("feature", BUCKET, WIN).agg(*_sizes()))
+
+
+def _sizes() -> list[Column]:
+    return [F.count(F.lit(1)).alias("n"), F.sum(REF).alias("n_ref")]
+
+
+def with_edges(ref: Reference, splits: dict[str, list[float]]) -> dict[str, list[float]]:
+    """The cut points and the bin edges, so that every range lies inside one bin."""
+    return {c: sorted({*_closed(e), *splits.get(c, [])}) for c, e in ref.edges.items()}
 
 
-def bin_counts(marked: DataFrame, ref: Reference, bins: int = BINS) -> DataFrame:
+def _closed(edges: Sequence[float]) -> list[float]:
+    """Moving the last edge up by the smallest step closes the last bin on the right."""
+    return [*edges[:-1], float(np.nextafter(edges[-1], np.inf))]
+
+
+def bin_counts(ref: Reference, cells: Cells) -> DataFrame:
     """(feature, window, bin, n, n_ref): every value is counted, bin NULL is out of range.
 
-    All features are unfolded in one pass and summed up in the map tasks; what is
-    shuffled is one row per feature, window and bin and task.
+    The ranges of ``cells`` must not straddle a bin edge, see ``with_edges``.
     """
-    # Moving the last edge up by the smallest step closes the last bin on the right.
-    splits = {c: [*e[:-1], float(np.nextafter(e[-1], np.inf))] for c, e in ref.edges.items()}
-    inside = F.when(F.col(BUCKET).between(1, bins), F.col(BUCKET) - 1)
+    places = [
+        (c, i + 1, bisect_right(_closed(e), low) - 1) for c, e in ref.edges.items() for i, low in enumerate(cells.splits[c])
+    ]
+    inside = [(c, i, b) for c, i, b in places if 0 <= b < ref.bins]
+    # One row per cut point, made here.
+    of_range = cells.ranges.sparkSession.createDataFrame(inside, f"feature string, {BUCKET} int, bin int")
     return (
-        _value_rows(marked, splits)
-        .groupBy("feature", WIN, inside.alias("bin"))
-        .agg(F.count(F.lit(1)).alias("n"), F.sum(REF).alias("n_ref"))
+        cells.ranges.join(F.broadcast(of_range), ["feature", BUCKET], "left")
+        .groupBy("feature", WIN, "bin")
+        .agg(F.sum("n").alias("n"), F.sum("n_ref").alias("n_ref"))
     )
 
 
-def psi(marked: DataFrame, ref: Reference, bins: int = BINS) -> DataFrame:
+def psi(marked: DataFrame, ref: Reference, cells: Cells | None = None) -> DataFrame:
     """(window, feature, psi): sum of (q - p) ln(q / p) over bins of the reference range.
 
     Shares are (count + 1) / (n + bins); values outside the range are in no bin but
@@ -115,10 +150,12 @@ def psi(marked: DataFrame, ref: Reference, bins: int = BINS) -> DataFrame:
     """
     if not ref.edges:
         return _no_scores(marked, "psi")
+    bins = ref.bins
+    counts = bin_counts(ref, cells or unfold_cells(marked, with_edges(ref, {})))
     sums = [f"sum({n}) AS {n}" for n in ("n", "n_ref")]
     sums += [f"sum(if(bin = {i}, {n}, 0)) AS {n}{i}" for n in ("n", "n_ref") for i in range(bins)]
-    wide = bin_counts(marked, ref, bins).groupBy(WIN, "feature").agg(*map(F.expr, sums))
-    # One row per window and feature by now; the reference counts are spread over all windows.
+    # One row per window and feature; the reference counts are spread over all windows.
+    wide = counts.groupBy(WIN, "feature").agg(*map(F.expr, sums))
     shares = [(f"((r{i} + 1) / cast(r + {bins} AS double))", f"((n{i} + 1) / cast(n + {bins} AS double))") for i in range(bins)]
     total = " + ".join(f"({q} - {p}) * ln({q} / {p})" for p, q in shares)
     reference = [f"sum(n_ref{i}) OVER (PARTITION BY feature) AS r{i}" for i in ("", *range(bins))]
@@ -134,7 +171,7 @@ def _no_scores(marked: DataFrame, name: str) -> DataFrame:
     return empty.where(F.lit(False))
 
 
-def ks(marked: DataFrame, ref: Reference, splits: dict[str, list[float]] | None = None) -> DataFrame:
+def ks(marked: DataFrame, ref: Reference, cells: Cells | None = None) -> DataFrame:
     """(window, feature, ks): two-sample Kolmogorov-Smirnov distance of each window to the reference.
 
     Between two neighbouring values of a window its distribution function is flat
@@ -144,35 +181,26 @@ def ks(marked: DataFrame, ref: Reference, splits: dict[str, list[float]] | None
     windows together, instead of once per window. Both curves are window sums inside
     a value range plus the counts of the earlier ranges.
     """
-    features = ref.features
-    if not features:
+    if not ref.edges:
         return _no_scores(marked, "ks")
-    if splits is None:
-        splits = value_splits(marked, features)
-    rows = _value_rows(marked, {c: splits.get(c, []) for c in features})
-    sizes = [F.count(F.lit(1)).alias("n"), F.sum(REF).alias("n_ref")]
-
-    # Small: one row per feature, range and window, summed up in the map tasks.
+    cells = cells or unfold_cells(marked, {c: [] for c in ref.features} | value_splits(marked, ref.features))
     along_ranges = W.partitionBy("feature").orderBy(BUCKET).rangeBetween(W.unboundedPreceding, -1)
     offsets = (
-        rows.groupBy("feature", BUCKET, WIN)
-        .agg(*sizes)
-        .select(
+        cells.ranges.select(
             "feature",
             BUCKET,
             WIN,
-            F.coalesce(F.sum("n_ref").over(along_ranges), F.lit(0)).alias("ref_before"),
-            F.sum("n_ref").over(W.partitionBy("feature")).alias("ref_total"),
             *sums_before(["feature", WIN], ["n"]),
             F.sum("n").over(W.partitionBy("feature", WIN)).alias("n_total"),
-        )
-        .where(F.col(WIN).isNotNull())
+            F.coalesce(F.sum("n_ref").over(along_ranges), F.lit(0)).alias("ref_before"),
+            F.sum("n_ref").over(W.partitionBy("feature")).alias("ref_total"),
+        ).where(F.col(WIN).isNotNull())
     )
     along_values = W.partitionBy("feature", BUCKET).orderBy("value").rangeBetween(W.unboundedPreceding, 0)
     at_value = W.partitionBy("feature", BUCKET, "value")
     counts = (
-        rows.groupBy("feature", BUCKET, "value", WIN)
-        .agg(*sizes)
+        cells.rows.groupBy("feature", BUCKET, "value", WIN)
+        .agg(*_sizes())
         .withColumns({"ref_run": F.sum("n_ref").over(along_values), "ref_here": F.sum("n_ref").over(at_value)})
         .where(F.col(WIN).isNotNull())
     )
@@ -234,7 +262,8 @@ def stability_over_time(
     marked = mark(df, first_months(df, date, months), F.date_trunc(unit, F.col(date)))
     ref = fit_reference(marked.where(F.col(REF) == 1), features, score, label)
     base = mean_drift(marked, ref, score, label, date)
-    psi_part, ks_part = _per_window(psi(marked, ref), "psi"), _per_window(ks(marked, ref, splits), "ks")
+    cells = unfold_cells(marked, with_edges(ref, value_splits(marked, ref.features) if splits is None else splits))
+    psi_part, ks_part = _per_window(psi(marked, ref, cells), "psi"), _per_window(ks(marked, ref, cells), "ks")
     return (
         base.join(psi_part, "window", "left")
         .join(ks_part, "window", "left")
@@ -322,7 +351,8 @@ def drift_report(
         categories = text_columns(df, NOT_REPORTED)
     marked = mark(df, is_ref, F.when(F.coalesce(is_ref, F.lit(False)), None).otherwise(F.lit("current")))
     ref = fit_reference(marked.where(F.col(REF) == 1), features)
-    numeric = psi(marked, ref).join(ks(marked, ref), ["window", "feature"]).select(
+    cells = unfold_cells(marked, with_edges(ref, value_splits(marked, ref.features)))
+    numeric = psi(marked, ref, cells).join(ks(marked, ref, cells), ["window", "feature"]).select(
         "feature", F.lit("numeric").alias("kind"), "psi", "ks"
     )
     out = numeric

@@ -276,7 +276,8 @@ def _marked(spark, sf_dir):
 )
 def histogram_ref_bins(spark, sf_dir):
     marked, ref = _marked(spark, sf_dir)
-    return dr.bin_counts(marked, ref).groupBy("feature", "bin").agg(F.sum("n").alias("n"), F.sum("n_ref").alias("n_ref"))
+    counts = dr.bin_counts(ref, dr.unfold_cells(marked, dr.with_edges(ref, {})))
+    return counts.groupBy("feature", "bin").agg(F.sum("n").alias("n"), F.sum("n_ref").alias("n_ref"))
 
 
 @query("psi", with_views("scored_orders", body=f"SELECT w AS window, feature, psi FROM {_psi_sql(_MARKED, FEATURES)}"))

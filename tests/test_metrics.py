@@ -138,6 +138,16 @@ def test_stability(monthly, cuts):
         assert g.label_drift == pytest.approx(abs(np.mean([r[7] for r in cur]) - np.mean([r[7] for r in ref])))
 
 
+def test_psi_and_ks_share_their_range_counts(spark, monthly, tmp_path):
+    monthly[1].write.parquet(str(tmp_path / "m"))
+    stored = spark.read.parquet(str(tmp_path / "m"))
+    out = dr.stability_over_time(stored, "d", ["a", "b"])
+    out.collect()
+    plan = out._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    # Drift of the means, the shared ranges, the values.
+    assert plan.count("FileScan") == 3
+
+
 def test_no_feature_gives_null_scores(monthly):
     _, df = monthly
     row = dr.stability_over_time(df, "d", ["late"]).first()
