@@ -216,6 +216,13 @@ def ks(marked: DataFrame, ref: Reference, cells: Cells | None = None) -> DataFra
     )
 
 
+def _shared_cells(marked: DataFrame, ref: Reference, splits: dict[str, list[float]] | None = None) -> Cells | None:
+    """For PSI and KS together; None without any feature."""
+    if not ref.edges:
+        return None
+    return unfold_cells(marked, with_edges(ref, value_splits(marked, ref.features) if splits is None else splits))
+
+
 def mean_drift(marked: DataFrame, ref: Reference, score: str | None, label: str | None, date: str) -> DataFrame:
     """Per window: first date, row counts and the distance of mean score and label rate."""
 
@@ -259,10 +266,12 @@ def stability_over_time(
     """
     if features is None:
         features = numeric_columns(df, NOT_FEATURES)
-    marked = mark(df, first_months(df, date, months), F.date_trunc(unit, F.col(date)))
-    ref = fit_reference(marked.where(F.col(REF) == 1), features, score, label)
+    early = first_months(df, date, months)
+    marked = mark(df, early, F.date_trunc(unit, F.col(date)))
+    # Filtered by date, not by mark, so that the filter reaches the scan.
+    ref = fit_reference(df.where(early), features, score, label)
     base = mean_drift(marked, ref, score, label, date)
-    cells = unfold_cells(marked, with_edges(ref, value_splits(marked, ref.features) if splits is None else splits))
+    cells = _shared_cells(marked, ref, splits)
     psi_part, ks_part = _per_window(psi(marked, ref, cells), "psi"), _per_window(ks(marked, ref, cells), "ks")
     return (
         base.join(psi_part, "window", "left")
@@ -350,8 +359,8 @@ def drift_report(
     if categories is None:
         categories = text_columns(df, NOT_REPORTED)
     marked = mark(df, is_ref, F.when(F.coalesce(is_ref, F.lit(False)), None).otherwise(F.lit("current")))
-    ref = fit_reference(marked.where(F.col(REF) == 1), features)
-    cells = unfold_cells(marked, with_edges(ref, value_splits(marked, ref.features)))
+    ref = fit_reference(df.where(is_ref), features)
+    cells = _shared_cells(marked, ref)
     numeric = psi(marked, ref, cells).join(ks(marked, ref, cells), ["window", "feature"]).select(
         "feature", F.lit("numeric").alias("kind"), "psi", "ks"
     )

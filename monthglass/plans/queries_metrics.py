@@ -261,8 +261,9 @@ def _ks_sql(marked: str, features: list[str]) -> str:
 
 def _marked(spark, sf_dir):
     rows = _orders(spark, sf_dir)
-    marked = dr.mark(rows, dr.first_months(rows, DATE), F.date_trunc("month", F.col(DATE)))
-    return marked, dr.fit_reference(marked.where(F.col(dr.REF) == 1), FEATURES, PROB, "label")
+    early = dr.first_months(rows, DATE)
+    marked = dr.mark(rows, early, F.date_trunc("month", F.col(DATE)))
+    return marked, dr.fit_reference(rows.where(early), FEATURES, PROB, "label")
 
 
 @query(

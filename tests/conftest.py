@@ -18,6 +18,7 @@ def spark():
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "6g")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.sql.maxMetadataStringLength", "10000")
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")
