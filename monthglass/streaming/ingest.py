@@ -2,51 +2,45 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Sequence
+
+from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from ..functions.dates import month_label
 from ..functions.text import CSV_NULLS, null_if_in
 from ..operators.clean import coerce_dates
-from ..operators.validate import bronze_checks, require_no_critical, run_checks
-from ..sources.registry import SourceSpec
-from ..sources.tables import write_monthly
+from ..sources.tables import MONTH
 
 
 def ingest_new_files(
     spark: SparkSession,
-    spec: SourceSpec,
-    columns: list[str],
+    columns: Sequence[str],
     raw_folder: str,
     table_path: str,
     checkpoint: str,
-    validate: bool = True,
+    date_col: str = "snapshot_date",
 ) -> StreamingQuery:
     """Take in all files not seen before, then stop.
 
-    Each batch goes through the same checks and the same month-replacing sink as the
-    batch ingest. Replacing a month is repeatable, so a batch that is run again after
-    a failure leaves the same table.
+    The rows are added to the same month folders the batch ingest writes; the sink's
+    log makes each file count once, also after a failure. Unlike the batch ingest it
+    adds to a month instead of replacing it, so it suits deliveries of new rows.
     """
-    schema = ", ".join(f"`{c}` string" for c in columns)
     raw = (
-        spark.readStream.schema(schema)
+        spark.readStream.schema(", ".join(f"`{c}` string" for c in columns))
         .option("header", True)
         .option("enforceSchema", False)
         .option("escape", '"')
         .csv(raw_folder)
     )
     cleaned = raw.select([null_if_in(F.col(f"`{c}`"), CSV_NULLS).alias(c) for c in columns])
-    typed = coerce_dates(cleaned, ["snapshot_date"])
-
-    def store(batch: DataFrame, _: int) -> None:
-        if validate:
-            require_no_critical(run_checks(batch, bronze_checks(batch, spec)), spec.name)
-        write_monthly(batch, table_path)
-
+    typed = coerce_dates(cleaned, [date_col]).withColumn(MONTH, month_label(F.col(date_col)))
     return (
-        typed.writeStream.foreachBatch(store)
+        typed.writeStream.format("parquet")
+        .partitionBy(MONTH)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
-        .start()
+        .start(table_path)
     )
