@@ -77,15 +77,18 @@ def strip_columns(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.withColumns({c: strip_whitespace(F.col(c)) for c in _present(df, columns) if _is_text(df, c)})
 
 
+def with_ages(df: DataFrame) -> DataFrame:
+    """Known customers with their age as a number, NULL where it is none."""
+    return coerce_numeric(coerce_dates(df.na.drop(subset=["Customer_ID"]), ["snapshot_date"]), ["Age"])
+
+
 def clean_attributes(
     df: DataFrame,
     age_min: float = 18,
     age_max: float = 75,
     ssn_pattern: str = SSN_PATTERN,
 ) -> DataFrame:
-    out = df.na.drop(subset=["Customer_ID"])
-    out = coerce_dates(out, ["snapshot_date"])
-    out = filter_range(coerce_numeric(out, ["Age"]), "Age", age_min, age_max)
+    out = filter_range(with_ages(df), "Age", age_min, age_max)
     if "SSN" in df.columns:
         out = filter_pattern(out, "SSN", ssn_pattern)
     out = strip_columns(out, ["Occupation", "Name"])
@@ -93,19 +96,22 @@ def clean_attributes(
     return null_placeholders(out, ["Name"], NAME_NULLS)
 
 
-def clean_financials(df: DataFrame, income_min: float = 0, income_max: float = 10_000_000) -> DataFrame:
-    out = df.na.drop(subset=["Customer_ID"])
+def with_amounts(df: DataFrame) -> DataFrame:
+    """Known customers with placeholders as NULL and the amounts as numbers."""
     # The date is converted before the placeholders are looked at, so it is left alone.
-    out = coerce_dates(out, ["snapshot_date"])
+    out = coerce_dates(df.na.drop(subset=["Customer_ID"]), ["snapshot_date"])
     out = null_placeholders(out, out.columns, FINANCIAL_NULLS)
-    numbers = [c for c in FINANCIAL_NUMBERS if c in out.columns]
-    out = out.withColumns(
+    return out.withColumns(
         {
             c: strip_non_numeric(F.col(c)) if _is_text(out, c) else finite(F.col(c).cast("double"))
-            for c in numbers
+            for c in _present(out, FINANCIAL_NUMBERS)
         }
     )
-    if "Annual_Income" in numbers:
+
+
+def clean_financials(df: DataFrame, income_min: float = 0, income_max: float = 10_000_000) -> DataFrame:
+    out = with_amounts(df)
+    if "Annual_Income" in out.columns:
         out = filter_range(out, "Annual_Income", income_min, income_max, keep_null=True)
     out = strip_columns(out, FINANCIAL_CATEGORIES)
     if "Credit_History_Age" in out.columns:

@@ -134,18 +134,21 @@ def ingest_all(spark: SparkSession, folders: Folders, names: Sequence[str] = tup
         raise ValueError(f"failed to ingest {sorted(failed)}: {failed}")
 
 
-def input_checks(name: str, columns: Sequence[str]) -> list:
-    """Warnings about values that the cleaning step is going to drop or keep."""
+def input_report(df: DataFrame, name: str) -> DataFrame | None:
+    """Warnings about the values cleaning will drop, or let pass; None where there is nothing to check."""
     if name == "attributes":
-        checks = [InRange("Age", 18, 75, WARNING)]
-        if "SSN" in columns:
-            checks.append(MatchesPattern("SSN", clean.SSN_PATTERN, WARNING))
-        return checks
-    if name == "financials" and "Annual_Income" in columns:
-        return [InRange("Annual_Income", 0, 10_000_000, WARNING)]
-    if name == "clickstream":
-        return [InRange(c, -1000, 10_000, WARNING) for c in columns if c.startswith("fe_")][:1]
-    return []
+        ages = clean.with_ages(df)
+        report = run_checks(ages, [InRange("Age", 18, 75, WARNING)])
+        if "SSN" in df.columns:
+            kept = clean.filter_range(ages, "Age", 18, 75)
+            report = report.unionByName(run_checks(kept, [MatchesPattern("SSN", clean.SSN_PATTERN, WARNING)]))
+        return report
+    if name == "financials" and "Annual_Income" in df.columns:
+        return run_checks(clean.with_amounts(df), [InRange("Annual_Income", 0, 10_000_000, WARNING)])
+    if name == "clickstream" and clean.clickstream_columns(df):
+        first = clean.clickstream_columns(df)[0]
+        return run_checks(clean.clean_clickstream(df), [InRange(first, -1000, 10_000, WARNING)])
+    return None
 
 
 def refine(spark: SparkSession, folders: Folders, name: str, validate: bool = True) -> DataFrame:

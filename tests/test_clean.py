@@ -3,6 +3,7 @@ from datetime import datetime as dt
 import pytest
 
 from monthglass.operators import clean, features
+from monthglass.plans.stages import input_report
 
 
 def test_attributes(spark):
@@ -86,3 +87,15 @@ def test_one_hot_and_target_encoding(spark):
     assert enc == {1: 1.0, 2: 0.0, 3: 1.0, 4: pytest.approx(2 / 3)}
     with pytest.raises(ValueError):
         features.categories_of(df, "k", most=2)
+
+
+def test_input_report(spark):
+    rows = [("C1", "abc", "x"), ("C2", "80", "bad"), ("C3", "30", "bad"), ("C4", "40", "123-45-6789"), (None, "99", "x")]
+    df = spark.createDataFrame(rows, "Customer_ID string, Age string, SSN string")
+    got = {r.check_name: r for r in input_report(df, "attributes").collect()}
+    # Text ages are gone by then, and numbers of people outside the age range are not looked at.
+    assert got["range_check_Age"].details["violations"] == "1"
+    assert (got["pattern_check_SSN"].passed, got["pattern_check_SSN"].details["violations"]) == (False, "1")
+    clicks = spark.createDataFrame([("C1", "-2000", "1")], "Customer_ID string, fe_1 string, fe_2 string")
+    assert [r.check_name for r in input_report(clicks, "clickstream").collect()] == ["range_check_fe_1"]
+    assert input_report(clicks, "loans") is None
