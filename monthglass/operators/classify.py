@@ -9,7 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.numeric import ratio_or_zero
-from .running import BUCKET, add_bucket, add_running, sums_before, value_splits
+from .running import BUCKET, add_bucket, add_running, known, sums_before, value_splits
 
 COUNTS = ("n", "pos", "pred_pos", "tp")
 QUALITY = ("accuracy", "precision", "recall", "f1")
@@ -77,10 +77,10 @@ def performance(
     if splits is None:
         splits = value_splits(df, [score])[score]
     keys = list(by) or ["_all"]
-    known = df if by else df.withColumn("_all", F.lit(0))
+    grouped = df if by else df.withColumn("_all", F.lit(0))
     for k in keys:
-        known = known.where(F.col(k).isNotNull())
-    rows = add_bucket(known, score, splits)
+        grouped = grouped.where(F.col(k).isNotNull())
+    rows = add_bucket(grouped.withColumn(score, F.expr(known(score))), score, splits)
 
     carried = [F.min(first).alias("_first")] if first else []
     ranges = rows.groupBy(*keys, BUCKET).agg(

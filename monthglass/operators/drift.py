@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from ..functions.dates import plus_months
 from .features import numeric_columns, text_columns
 from .quantiles import exact_quantiles
-from .running import BUCKET, add_running, sums_before, unfold, value_splits, with_ranges
+from .running import BUCKET, add_running, known, sums_before, unfold, value_splits, with_ranges
 
 # Columns that are no features, bin count, alert thresholds.
 NOT_FEATURES = ("Customer_ID", "label", "prediction", "prediction_proba_0", "prediction_proba_1")
@@ -66,7 +66,7 @@ def fit_reference(
 ) -> Reference:
     """Bin edges per feature and the mean score and label; a feature without any value is left out."""
     ends = [
-        F.expr(f"{f}(cast(`{c}` AS double)) AS {n}{i}")
+        F.expr(f"{f}({known(c)}) AS {n}{i}")
         for i, c in enumerate(features)
         for n, f in (("lo", "min"), ("hi", "max"))
     ]

@@ -82,7 +82,7 @@ def _range_sizes(df: DataFrame, wanted: dict[str, list[float]]) -> tuple[_Ranges
     splits: dict[str, list[float]] = {}
     for (c, qs), cuts in zip(wanted.items(), found):
         mine = {min(1.0, max(0.0, q + d)) for q in qs for d in (-BRACKET, BRACKET)}
-        low = {float(x) for x, p in zip(cuts, near) if p in mine}
+        low = {float(x) for x, p in zip(cuts, near) if p in mine and math.isfinite(x)}
         # A cut also just above each point keeps a very frequent value in a range of its own.
         splits[c] = sorted(low | {math.nextafter(x, math.inf) for x in low})
     wide = with_ranges(df, splits)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.ml.feature import Bucketizer
@@ -29,7 +30,7 @@ def value_splits(df: DataFrame, columns: Sequence[str], n: int | None = None) ->
     n = n or max(8, min(split_count(df.sparkSession), MAX_SPLITS // len(columns)))
     probs = [i / n for i in range(1, n)]
     found = df.approxQuantile(list(columns), probs, 1.0 / (2 * n))
-    return {c: sorted({float(x) for x in xs}) for c, xs in zip(columns, found)}
+    return {c: sorted({float(x) for x in xs if math.isfinite(x)}) for c, xs in zip(columns, found)}
 
 
 def add_bucket(df: DataFrame, column: str, splits: Sequence[float], into: str = BUCKET) -> DataFrame:
@@ -54,13 +55,18 @@ def add_buckets(df: DataFrame, splits: dict[str, Sequence[float]], names: dict[s
     return out.selectExpr(*[f"`{c}`" for c in df.columns], *indexes)
 
 
+def known(column: str) -> str:
+    """SQL text of a column as double, NaN taken as missing."""
+    return f"nullif(cast(`{column}` AS double), double('NaN'))"
+
+
 def range_of(column: str) -> str:
     return f"_b_{column}"
 
 
 def with_ranges(df: DataFrame, splits: dict[str, Sequence[float]], keep: Sequence[str] = ()) -> DataFrame:
     """The columns of ``splits`` as doubles, each with the index of its value range, and ``keep``."""
-    doubles = df.selectExpr(*keep, *[f"cast(`{c}` AS double) AS `{c}`" for c in splits])
+    doubles = df.selectExpr(*keep, *[f"{known(c)} AS `{c}`" for c in splits])
     return add_buckets(doubles, splits, {c: range_of(c) for c in splits})
 
 

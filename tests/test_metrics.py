@@ -163,6 +163,20 @@ def test_values_outside_the_reference_range_count_in_n(spark):
     assert got == pytest.approx(np_psi(np.arange(10.0), np.array([99.0, 0.0])))
 
 
+def test_nan_is_missing_and_infinity_is_a_value(spark):
+    nan, inf = float("nan"), float("inf")
+    rows = [(1, None, float(x)) for x in range(10)] + [(1, None, nan), (0, "w", 3.0), (0, "w", nan), (0, "w", inf), (0, "w", 5.0)]
+    df = spark.createDataFrame(rows, "r int, w string, x double")
+    marked = dr.mark(df, F.col("r") == 1, F.col("w"))
+    ref = dr.fit_reference(marked.where("r = 1"), ["x"])
+    cur = np.array([3.0, inf, 5.0])
+    assert dr.psi(marked, ref).first().psi == pytest.approx(np_psi(np.arange(10.0), cur))
+    assert dr.ks(marked, ref).first().ks == pytest.approx(np_ks(np.arange(10.0), cur))
+    assert qt.exact_quantiles(df, ["x"], [0.5])["x"] == pytest.approx([5.0])
+    scores = spark.createDataFrame([(1, 1, nan), (0, 0, 0.1)], "y int, yhat int, p double")
+    assert cl.performance(scores, "y", "yhat", "p").first().roc_auc is None
+
+
 def test_drift_report(monthly):
     rows, df = monthly
     named = df.withColumn("kind", F.when(F.col("b") > 10, "x").when(F.col("b") > 3, "y")).drop("late")
