@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..plans.registry import query
-from . import licences, minhash, mixing, quality, tokens, windows
+from . import leaks, licences, minhash, mixing, quality, tokens, windows
 
 WORDS_SQL = "list_filter(regexp_split_to_array({}, '[\\x20\\x09-\\x0D]+'), lambda x: x <> '')"
 
@@ -59,6 +59,11 @@ def op2(spark, sf):
     return windows.drop_repeated_windows(table(spark, sf, "documents")).select("doc_id", "text", "n_lines", "n_removed")
 
 
+@query("op6_walk_decontamination")
+def op6(spark, sf):
+    return leaks.find_leaks(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+
+
 @query(
     "op7_rule_cascade",
     f"""
