@@ -39,12 +39,13 @@ def _bit(seed: np.ndarray, step: np.ndarray, word: np.ndarray) -> np.ndarray:
 def embed(words: np.ndarray, seed: int, steps: int) -> np.ndarray:
     """Place of the walk at each step; len(words) after its end."""
     out = np.full(steps, len(words), np.int64)
+    bits = _bit(U64(seed), np.arange(steps, dtype=U64)[:, None], words[None, :]).tolist()
     at = 0
-    for j in range(steps):
+    for j, row in enumerate(bits):
         if at >= len(words):
             break
         out[j] = at
-        at += int(_bit(U64(seed), U64(j), words[at : at + 1])[0])
+        at += row[at]
     return out
 
 
