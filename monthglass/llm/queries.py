@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..plans.registry import query
-from . import leaks, licences, minhash, mixing, quality, tokens, windows
+from . import leaks, licences, minhash, mixing, pages, passages, quality, tokens, toxic, windows
 
 WORDS_SQL = "list_filter(regexp_split_to_array({}, '[\\x20\\x09-\\x0D]+'), lambda x: x <> '')"
 
@@ -59,6 +59,25 @@ def op2(spark, sf):
     return windows.drop_repeated_windows(table(spark, sf, "documents")).select("doc_id", "text", "n_lines", "n_removed")
 
 
+@query("op3_page_layout")
+def op3(spark, sf):
+    return pages.extract_text(table(spark, sf, "pages"))
+
+
+@query("op4_attention_quality")
+def op4(spark, sf):
+    docs = table(spark, sf, "documents")
+    model = passages.train(docs, table(spark, sf, "labels"))
+    found = passages.score(docs, model).withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
+    return found.withColumn("held_out", passages.held_out("doc_id"))
+
+
+@query("op5_toxicity_chain")
+def op5(spark, sf):
+    docs = table(spark, sf, "documents")
+    return toxic.score(docs, toxic.train(docs, table(spark, sf, "labels")))
+
+
 @query("op6_walk_decontamination")
 def op6(spark, sf):
     return leaks.find_leaks(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
