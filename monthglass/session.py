@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import contextlib
 import functools
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -26,10 +28,36 @@ def _test_folder() -> str:
     return tempfile.mkdtemp(prefix="monthglass-")
 
 
+#: Lists that take down the staged paths of the open `staged_files` blocks.
+_OPEN: list[list[str]] = []
+
+
 def staging_path(spark: SparkSession, name: str) -> str:
-    """A fresh path in the folder the cluster names; a local one only where none is named."""
-    base = spark.conf.get(CHECKPOINT_KEY, None) or _test_folder()
-    return f"{base.rstrip('/')}/monthglass/{name}-{uuid.uuid4().hex}"
+    """A fresh path in the folder the cluster names; without one, a local folder if the master is local too."""
+    base = spark.conf.get(CHECKPOINT_KEY, None)
+    if not base:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError(f"set {CHECKPOINT_KEY} to a folder that all executors share")
+        base = _test_folder()
+    path = f"{base.rstrip('/')}/monthglass/{name}-{uuid.uuid4().hex}"
+    for paths in _OPEN:
+        paths.append(path)
+    return path
+
+
+@contextlib.contextmanager
+def staged_files(spark: SparkSession) -> Iterator[None]:
+    """Removes, at its end, the files staged inside; for stages that write their results elsewhere."""
+    paths: list[str] = []
+    _OPEN.append(paths)
+    try:
+        yield
+    finally:
+        _OPEN.remove(paths)
+        hadoop = spark._jvm.org.apache.hadoop.fs
+        for path in paths:
+            at = hadoop.Path(path)
+            at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
 
 
 def stage_table(df: DataFrame, name: str) -> DataFrame:

@@ -18,18 +18,24 @@ def read_raw(
     path: str,
     nulls: Sequence[str] = CSV_NULLS,
     multi_line: bool = False,
+    columns: Sequence[str] | None = None,
 ) -> DataFrame:
     """CSV with a header, every column as text, the usual "missing" words as NULL.
 
+    Every file's header is compared with ``columns``, or with the first file's header
+    where none are given; a file whose columns differ in name or order fails the job.
     Quotes inside a quoted cell are doubled. ``multi_line`` allows line breaks in
     cells but stops Spark from splitting a file, so keep it off for large files.
     """
-    raw = (
+    reader = (
         spark.read.option("header", True)
+        .option("enforceSchema", False)
         .option("escape", '"')
         .option("multiLine", multi_line)
-        .csv(path)
     )
+    if columns:
+        reader = reader.schema(", ".join(f"`{c}` string" for c in columns))
+    raw = reader.csv(path)
     return raw.select([null_if_in(F.col(f"`{c}`"), nulls).alias(c) for c in raw.columns])
 
 
@@ -52,14 +58,36 @@ def write_monthly(df: DataFrame, path: str, date_col: str = "snapshot_date") ->
     )
 
 
+def deliveries(path: str) -> str:
+    """Folder beside the table for rows that arrive by stream, one subfolder per delivery."""
+    return f"{path.rstrip('/')}.deliveries"
+
+
+def _exists(spark: SparkSession, pattern: str) -> bool:
+    at = spark._jvm.org.apache.hadoop.fs.Path(pattern)
+    found = at.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(at)
+    return found is not None and len(found) > 0
+
+
+def _all_rows(spark: SparkSession, path: str) -> DataFrame:
+    """The table's own rows and those of its deliveries, with the month where there is one."""
+    arrived = f"{deliveries(path)}/*"
+    if not _exists(spark, arrived):
+        return spark.read.parquet(path)
+    late = spark.read.option("basePath", deliveries(path)).parquet(arrived).drop("delivery")
+    if not _exists(spark, path):
+        return late
+    return spark.read.parquet(path).unionByName(late, allowMissingColumns=True)
+
+
 def read_table(spark: SparkSession, path: str) -> DataFrame:
-    """All months, without the partition column."""
-    return spark.read.parquet(path).drop(MONTH)
+    """All months, without the partition column; streamed deliveries included."""
+    return _all_rows(spark, path).drop(MONTH)
 
 
 def read_month(spark: SparkSession, path: str, month: str) -> DataFrame:
     """One month (``yyyy-MM``), reading that folder only; an absent month is an error."""
-    rows = spark.read.parquet(path).where(F.col(MONTH) == month).drop(MONTH)
+    rows = _all_rows(spark, path).where(F.col(MONTH) == month).drop(MONTH)
     if rows.isEmpty():
         raise ValueError(f"no partition {month} in {path}")
     return rows

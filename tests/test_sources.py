@@ -70,6 +70,56 @@ def test_new_files_only(spark, tmp_path):
     assert tables.read_month(spark, path, "2023-01").count() == 60
 
 
+def test_streamed_rows_join_the_batch_rows(spark, tmp_path):
+    raw, path, mark = (str(tmp_path / n) for n in ("raw", "table", "mark"))
+    (tmp_path / "raw").mkdir()
+    batch = month_rows(spark, [(f"B{i}", dt(2023, 1 + i % 2, 1), i) for i in range(50)]).selectExpr("Customer_ID", "snapshot_date", "string(x) x")
+    tables.write_monthly(batch, path)
+    (tmp_path / "raw" / "a.csv").write_text("Customer_ID,snapshot_date,x\n" + "".join(f"S{i},2023-02-01,{i}\n" for i in range(7)))
+    take = lambda m: ingest_new_files(spark, ["Customer_ID", "snapshot_date", "x"], raw, path, m).awaitTermination()
+    take(mark)
+    assert tables.read_table(spark, path).count() == 57
+    assert tables.read_month(spark, path, "2023-02").count() == 32
+    # The last batch is run again: its mark of completion is lost, its rows are not doubled.
+    for f in (tmp_path / "mark" / "commits").iterdir():
+        f.unlink()
+    take(mark)
+    assert tables.read_table(spark, path).count() == 57
+    tables.write_monthly(batch, path)
+    assert tables.read_table(spark, path).distinct().count() == 57
+    # A second stream into the same table has numbers of its own.
+    take(str(tmp_path / "other"))
+    assert tables.read_table(spark, path).count() == 64
+
+
+def test_headers_that_differ_fail(spark, tmp_path):
+    (tmp_path / "raw").mkdir()
+    (tmp_path / "raw" / "a.csv").write_text("id,amount\n1,10\n")
+    (tmp_path / "raw" / "b.csv").write_text("amount,id\n999,2\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        tables.read_raw(spark, str(tmp_path / "raw")).collect()
+    with pytest.raises(Exception, match="(?i)header"):
+        tables.read_raw(spark, str(tmp_path / "raw" / "a.csv"), columns=["id", "sum"]).collect()
+    assert tables.read_raw(spark, str(tmp_path / "raw" / "a.csv"), columns=["id", "amount"]).first().amount == "10"
+
+
+def test_local_staging_only_with_a_local_master(spark, tmp_path, monkeypatch):
+    from types import SimpleNamespace
+
+    from monthglass import session
+
+    far = SimpleNamespace(conf=SimpleNamespace(get=lambda k, d: d), sparkContext=SimpleNamespace(master="yarn"))
+    with pytest.raises(ValueError, match="checkpoint"):
+        session.staging_path(far, "x")
+    with session.staged_files(spark):
+        rows = session.stage_table(spark.range(5), "five")
+        where = rows.inputFiles()[0].removeprefix("file://")
+        assert rows.count() == 5
+    import os
+
+    assert not os.path.exists(where)
+
+
 def test_whole_run(spark, tmp_path):
     """Raw CSV to monitoring tables on the test data, with the four source files written first."""
     folders = st.Folders(str(tmp_path / "raw"), str(tmp_path / "base"))
