@@ -2,9 +2,20 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+#: Tried in turn after ISO text; a day and month written with slashes is month first.
+DATE_FORMATS = ("M/d/yyyy", "yyyy/M/d", "yyyyMMdd", "d-MMM-yyyy", "d MMM yyyy", "MMM d, yyyy", "MMMM d, yyyy")
+
+
+def parse_date(c: Column, formats: Sequence[str] = DATE_FORMATS) -> Column:
+    """Text to timestamp: ISO first, then the formats; NULL where none fits."""
+    text = F.trim(c)
+    return F.coalesce(text.try_cast("timestamp"), *[F.try_to_timestamp(text, F.lit(f)) for f in formats])
+
 
 def months_between_calendar(later: Column, earlier: Column) -> Column:
     """Whole calendar months, days ignored."""

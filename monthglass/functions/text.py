@@ -44,8 +44,11 @@ def null_if_in(c: Column, placeholders: Sequence[str]) -> Column:
 
 
 def strip_non_numeric(c: Column) -> Column:
-    """Keep digits, minus and dot, then convert; ``1000_`` is 1000, ``1-2`` is NULL."""
-    return safe_double(F.regexp_replace(c, "[^0-9.-]", ""))
+    """A number as it is; other text keeps its digits, minus and dot: ``1000_`` is 1000, ``1-2`` is NULL.
+
+    So ``1e-05`` stays what it is, and ``5d`` is 5.
+    """
+    return F.coalesce(safe_double(c), safe_double(F.regexp_replace(c, "[^0-9.-]", "")))
 
 
 def _count_of(c: Column, unit: str) -> Column:

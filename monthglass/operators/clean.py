@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.dates import elapsed_days, months_between_calendar
+from ..functions.dates import DATE_FORMATS, elapsed_days, months_between_calendar, parse_date
 from ..functions.text import (
     FINANCIAL_NULLS,
     NAME_NULLS,
@@ -44,9 +44,15 @@ def _present(df: DataFrame, columns: Sequence[str]) -> list[str]:
     return [c for c in columns if c in df.columns]
 
 
-def coerce_dates(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Text to timestamps; text that is no date makes the job fail."""
-    return df.withColumns({c: F.col(c).cast("timestamp") for c in _present(df, columns) if _is_text(df, c)})
+def coerce_dates(df: DataFrame, columns: Sequence[str], formats: Sequence[str] = DATE_FORMATS) -> DataFrame:
+    """Text to timestamps; text that is no date in any of the formats makes the job fail."""
+
+    def date(c: str) -> Column:
+        parsed = parse_date(F.col(c), formats)
+        wrong = F.raise_error(F.concat(F.lit(f"{c} is no date: "), F.col(c))).cast("timestamp")
+        return F.when(parsed.isNull() & F.col(c).isNotNull(), wrong).otherwise(parsed)
+
+    return df.withColumns({c: date(c) for c in _present(df, columns) if _is_text(df, c)})
 
 
 def coerce_numeric(df: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -303,7 +303,9 @@ def missing_values_report(df: DataFrame, is_ref: Column, columns: Sequence[str])
     counts = ["count_if(_ref) AS n_ref", "count_if(NOT _ref) AS n_cur"]
     rows = []
     for i, c in enumerate(columns):
-        counts += [f"count_if(_ref AND `{c}` IS NULL) AS r{i}", f"count_if(NOT _ref AND `{c}` IS NULL) AS c{i}"]
+        # NaN is missing too.
+        gone = f"(`{c}` IS NULL OR isnan(`{c}`))" if df.schema[c].dataType.typeName() in ("double", "float") else f"`{c}` IS NULL"
+        counts += [f"count_if(_ref AND {gone}) AS r{i}", f"count_if(NOT _ref AND {gone}) AS c{i}"]
         rows.append(
             f"named_struct('column_name', '{c}', 'missing_reference', r{i}, 'missing_current', c{i}, "
             f"'share_reference', try_divide(cast(r{i} AS double), n_ref), "

@@ -50,8 +50,9 @@ def financial_features(df: DataFrame) -> DataFrame:
     return df.withColumns(new)
 
 
-def fill_category(df: DataFrame, columns: Sequence[str], value: str = "Unknown") -> DataFrame:
-    return df.na.fill(value, [c for c in columns if c in df.columns])
+def fill_category(df: DataFrame, columns: Sequence[str], value: str | None = "Unknown") -> DataFrame:
+    """NULL text replaced; without a value (the mode of a column that holds none) all stays as it is."""
+    return df if value is None else df.na.fill(value, [c for c in columns if c in df.columns])
 
 
 def attribute_features(df: DataFrame) -> DataFrame:

@@ -1,8 +1,8 @@
 """Data checks: one aggregate over the table, one result row per check.
 
 Every check is described by a small value object; ``run_checks`` turns the list
-into a single ``agg`` (plus nothing else: the duplicate check is a distinct count
-inside the same aggregate) and unfolds the one-row result.
+into a single ``agg`` and unfolds its one row. Distinct keys are counted apart, over
+the key columns only, so that the other sums need no shuffle but that of one row a task.
 """
 
 from __future__ import annotations
@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.numeric import ratio_or_zero
+from ..functions.dates import DATE_FORMATS, parse_date
 from ..functions.text import finite, matches_from_start, safe_double
 from ..sources.registry import SourceSpec
 
@@ -63,6 +64,15 @@ class RowCount:
     level: str = CRITICAL
 
 
+@dataclass(frozen=True)
+class ParsesAsDate:
+    """Text that is there is a date in one of the formats; reports the first and last date."""
+
+    column: str
+    formats: Sequence[str] = DATE_FORMATS
+    level: str = CRITICAL
+
+
 @dataclass
 class _Plan:
     """Named aggregates for one check and the result row built from them."""
@@ -73,6 +83,14 @@ class _Plan:
     message: Column
     details: dict[str, Column] = field(default_factory=dict)
     aggregates: dict[str, Column] = field(default_factory=dict)
+    #: Aggregate name -> columns whose distinct combinations are counted.
+    distinct: dict[str, list[str]] = field(default_factory=dict)
+
+
+def is_missing(df: DataFrame, column: str) -> Column:
+    """NULL, or NaN in a floating-point column."""
+    c = F.col(column)
+    return c.isNull() | F.isnan(c) if isinstance(df.schema[column].dataType, (T.DoubleType, T.FloatType)) else c.isNull()
 
 
 def _as_number(df: DataFrame, column: str) -> Column:
@@ -82,13 +100,13 @@ def _as_number(df: DataFrame, column: str) -> Column:
 
 
 def _missing_column(name: str, column: str) -> _Plan:
-    return _Plan(name, CRITICAL, F.lit(False), F.lit(f"Column '{column}' not found"))
+    return _Plan(name, CRITICAL, F.lit(False), F.lit(f"no column {column}"))
 
 
 def _plan_columns(df: DataFrame, c: RequiredColumns, tag: str) -> _Plan:
     missing = sorted(set(c.columns) - set(df.columns))
     extra = sorted(set(df.columns) - set(c.columns))
-    text = f"Missing columns: {missing}" if missing else f"All {len(c.columns)} expected columns present"
+    text = f"{len(missing)} of {len(c.columns)} columns absent: {', '.join(missing)}" if missing else "no column absent"
     details = {"missing": F.lit(",".join(missing)), "extra": F.lit(",".join(extra))}
     return _Plan("schema_validation", c.level, F.lit(not missing), F.lit(text), details)
 
@@ -106,11 +124,10 @@ def _plan_missing(df: DataFrame, c: MissingShare, tag: str) -> _Plan:
         shown = passed | over[col]
         details[f"{col}.count"] = F.when(shown, count[col])
         details[f"{col}.percentage"] = F.when(shown, share[col])
-    pct = c.max_share * 100
-    message = F.when(passed, F.lit(f"All columns have <={pct}% missing values")).otherwise(
-        F.concat(n_over.cast("string"), F.lit(f" columns exceed {pct}% missing threshold"))
+    message = F.when(passed, F.lit(f"no column over the share {c.max_share} of missing cells")).otherwise(
+        F.concat(F.lit(f"over the share {c.max_share} of missing cells: columns "), n_over.cast("string"))
     )
-    aggregates = {f"{tag}_{i}": F.count_if(F.col(col).isNull()) for i, col in enumerate(present)}
+    aggregates = {f"{tag}_{i}": F.count_if(is_missing(df, col)) for i, col in enumerate(present)}
     return _Plan("missing_values_check", c.level, passed, message, details, aggregates)
 
 
@@ -118,40 +135,37 @@ def _plan_duplicates(df: DataFrame, c: NoDuplicates, tag: str) -> _Plan:
     columns = list(c.columns or df.columns)
     n_dup = F.col("n_rows") - F.col(f"{tag}_distinct")
     share = ratio_or_zero(n_dup, F.col("n_rows"))
-    message = F.when(n_dup == 0, F.lit("No duplicate rows found")).otherwise(
-        F.concat(F.lit("Found "), n_dup.cast("string"), F.lit(" duplicate rows"))
-    )
+    message = F.when(n_dup == 0, F.lit("keys are unique")).otherwise(F.concat(F.lit("repeated keys: rows "), n_dup.cast("string")))
     details = {
         "duplicate_count": n_dup,
         "duplicate_percentage": share,
         "subset": F.lit(",".join(c.columns) if c.columns else None),
     }
-    # A struct is never NULL, so rows whose keys are NULL count as equal to each other.
-    distinct = F.count_distinct(F.struct(*[F.col(x) for x in columns]))
-    return _Plan("duplicate_check", c.level, n_dup == 0, message, details, {f"{tag}_distinct": distinct})
+    return _Plan("duplicate_check", c.level, n_dup == 0, message, details, distinct={f"{tag}_distinct": columns})
 
 
 def _plan_range(df: DataFrame, c: InRange, tag: str) -> _Plan:
     name = f"range_check_{c.column}"
     if c.column not in df.columns:
         return _missing_column(name, c.column)
-    raw, number = F.col(c.column), _as_number(df, c.column)
+    number = _as_number(df, c.column)
     outside = F.lit(False)
     if c.low is not None:
         outside = outside | (number < c.low)
     if c.high is not None:
         outside = outside | (number > c.high)
+    there = ~is_missing(df, c.column)
     aggregates = {
-        f"{tag}_checked": F.count_if(raw.isNotNull()),
-        f"{tag}_text": F.count_if(raw.isNotNull() & number.isNull()),
+        f"{tag}_checked": F.count_if(there),
+        f"{tag}_text": F.count_if(there & number.isNull()),
         f"{tag}_outside": F.count_if(F.coalesce(outside, F.lit(False))),
         f"{tag}_min": F.min(number),
         f"{tag}_max": F.max(number),
     }
     violations = F.col(f"{tag}_text") + F.col(f"{tag}_outside")
     bounds = f"[{c.low}, {c.high}]"
-    message = F.when(violations == 0, F.lit(f"All values within range {bounds}")).otherwise(
-        F.concat(violations.cast("string"), F.lit(f" values outside range {bounds}"))
+    message = F.when(violations == 0, F.lit(f"nothing outside {bounds}")).otherwise(
+        F.concat(F.lit(f"outside {bounds} or no number: cells "), violations.cast("string"))
     )
     details = {
         "column": F.lit(c.column),
@@ -176,8 +190,8 @@ def _plan_pattern(df: DataFrame, c: MatchesPattern, tag: str) -> _Plan:
         f"{tag}_bad": F.count_if(text.isNotNull() & ~matches_from_start(text, c.pattern)),
     }
     violations = F.col(f"{tag}_bad")
-    message = F.when(violations == 0, F.lit(f"All values match pattern '{c.pattern}'")).otherwise(
-        F.concat(violations.cast("string"), F.lit(f" values don't match pattern '{c.pattern}'"))
+    message = F.when(violations == 0, F.lit(f"all cells fit {c.pattern}")).otherwise(
+        F.concat(F.lit(f"unlike {c.pattern}: cells "), violations.cast("string"))
     )
     details = {
         "column": F.lit(c.column),
@@ -192,15 +206,29 @@ def _plan_rows(df: DataFrame, c: RowCount, tag: str) -> _Plan:
     n = F.col("n_rows")
     low, high = n < c.low, (n > c.high) if c.high is not None else F.lit(False)
     message = (
-        F.when(low, F.concat(F.lit("Row count "), n.cast("string"), F.lit(f" below minimum {c.low}")))
-        .when(high, F.concat(F.lit("Row count "), n.cast("string"), F.lit(f" exceeds maximum {c.high}")))
-        .otherwise(F.concat(F.lit("Row count "), n.cast("string"), F.lit(" within expected range")))
+        F.when(low, F.concat(n.cast("string"), F.lit(f" rows, fewer than {c.low}")))
+        .when(high, F.concat(n.cast("string"), F.lit(f" rows, more than {c.high}")))
+        .otherwise(F.concat(n.cast("string"), F.lit(" rows")))
     )
     details = {"row_count": n, "min_rows": F.lit(c.low), "max_rows": F.lit(c.high)}
     return _Plan("row_count_check", c.level, ~(low | high), message, details)
 
 
+def _plan_date(df: DataFrame, c: ParsesAsDate, tag: str) -> _Plan:
+    name = f"date_check_{c.column}"
+    if c.column not in df.columns:
+        return _missing_column(name, c.column)
+    text = F.col(c.column)
+    date = parse_date(text, c.formats) if isinstance(df.schema[c.column].dataType, T.StringType) else text.cast("timestamp")
+    bad = F.col(f"{tag}_bad")
+    message = F.when(bad == 0, F.lit("all dates readable")).otherwise(F.concat(F.lit("no date: cells "), bad.cast("string")))
+    aggregates = {f"{tag}_bad": F.count_if(text.isNotNull() & date.isNull()), f"{tag}_first": F.min(date), f"{tag}_last": F.max(date)}
+    details = {"unreadable": bad, "first": F.col(f"{tag}_first"), "last": F.col(f"{tag}_last")}
+    return _Plan(name, c.level, bad == 0, message, details, aggregates)
+
+
 _PLANNERS = {
+    ParsesAsDate: _plan_date,
     RequiredColumns: _plan_columns,
     MissingShare: _plan_missing,
     NoDuplicates: _plan_duplicates,
@@ -211,15 +239,24 @@ _PLANNERS = {
 
 
 def run_checks(df: DataFrame, checks: Sequence) -> DataFrame:
-    """(check_name, passed, level, message, details), one row per check, in one pass.
+    """(check_name, passed, level, message, details), one row per check.
 
-    A check that passed is reported at level ``warning`` whatever level it was given.
+    One pass over the columns the checks read, and one over the keys that must be
+    unique. A check that passed is reported at level ``warning`` whatever level it was given.
     """
     plans = [_PLANNERS[type(c)](df, c, f"c{i}") for i, c in enumerate(checks)]
     aggregates = {"n_rows": F.count(F.lit(1))}
     for p in plans:
         aggregates.update(p.aggregates)
     stats = df.agg(*[a.alias(n) for n, a in aggregates.items()])
+    counted = {n: columns for p in plans for n, columns in p.distinct.items()}
+    for name, columns in counted.items():
+        # NULL keys are one group, so they count as equal to each other.
+        keys = df.groupBy(*[F.col(f"`{c}`") for c in columns]).agg(F.lit(1).alias("_one")).agg(F.count("_one").alias(name))
+        stats = stats.unionByName(keys, allowMissingColumns=True)
+    if counted:
+        # Each part is one row with its own columns filled.
+        stats = stats.agg(*[F.max(c).alias(c) for c in stats.columns])
     rows = []
     for p in plans:
         pairs = [x for k, v in p.details.items() for x in (F.lit(k), v.cast("string"))]
@@ -263,7 +300,7 @@ def bronze_checks(df: DataFrame, spec: SourceSpec, date_col: str = "snapshot_dat
     if set(spec.keys) <= set(df.columns):
         checks.append(NoDuplicates(spec.keys))
     if date_col in df.columns:
-        checks.append(MissingShare([date_col], level=CRITICAL))
+        checks += [MissingShare([date_col], level=CRITICAL), ParsesAsDate(date_col)]
     return checks
 
 

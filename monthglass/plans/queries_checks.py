@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import validate as v
-from ..operators.clean import clean_loans
+from ..operators.clean import clean_attributes, clean_clickstream, clean_financials, clean_loans
 from ..session import staging_path
 from ..sources.registry import SourceSpec
 from ..sources.stores import read_predictions, write_predictions
@@ -127,10 +127,10 @@ def validate_schema(spark, sf_dir):
     with_views(
         "dirty_rows",
         body="""
-    SELECT 'missing_values_check' AS check_name, FALSE AS passed, 'error' AS level,
-           count(*) FILTER (price IS NULL) AS price__count,
-           round(CAST(count(*) FILTER (price IS NULL) AS DOUBLE) / count(*), 6) AS price__percentage
-    FROM dirty_rows""",
+    SELECT 'missing_values_check' AS check_name, p <= 0.1 AND b <= 0.1 AS passed,
+           CASE WHEN p <= 0.1 AND b <= 0.1 THEN 'warning' ELSE 'error' END AS level, c AS price__count, round(p, 6) AS price__percentage
+    FROM (SELECT count(*) FILTER (price IS NULL) AS c, CAST(count(*) FILTER (price IS NULL) AS DOUBLE) / count(*) AS p,
+                 CAST(count(*) FILTER (brand IS NULL) AS DOUBLE) / count(*) AS b FROM dirty_rows)""",
     ),
 )
 def validate_missing(spark, sf_dir):
@@ -218,11 +218,15 @@ _ORDERS_SPEC = SourceSpec("orders", "orders.csv", ("o_custkey", "o_orderdate"))
 _BRONZE_SQL = """
     SELECT 'row_count_check' AS check_name, count(*) >= 100 AS passed,
            CASE WHEN count(*) >= 100 THEN 'warning' ELSE 'critical' END AS level, count(*) AS found FROM orders
-    UNION ALL SELECT 'schema_validation', TRUE, 'warning', 0
-    UNION ALL SELECT 'missing_values_check', count(*) FILTER (o_custkey IS NULL OR o_orderdate IS NULL) = 0, 'warning', 0 FROM orders
+    UNION ALL SELECT 'schema_validation', n = 2, CASE WHEN n = 2 THEN 'warning' ELSE 'critical' END, 0
+              FROM (SELECT count(*) FILTER (column_name IN ('o_custkey', 'o_orderdate')) AS n FROM (DESCRIBE orders))
+    UNION ALL SELECT 'missing_values_check', n = 0, CASE WHEN n = 0 THEN 'warning' ELSE 'critical' END, 0
+              FROM (SELECT count(*) FILTER (o_custkey IS NULL OR o_orderdate IS NULL) AS n FROM orders)
     UNION ALL SELECT 'duplicate_check', sum(c - 1) = 0, 'warning', CAST(sum(c - 1) AS BIGINT)
               FROM (SELECT count(*) AS c FROM orders GROUP BY o_custkey, o_orderdate)
-    UNION ALL SELECT 'missing_values_check', count(*) FILTER (o_orderdate IS NULL) = 0, 'warning', 0 FROM orders"""
+    UNION ALL SELECT 'missing_values_check', n = 0, CASE WHEN n = 0 THEN 'warning' ELSE 'critical' END, 0
+              FROM (SELECT count(*) FILTER (o_orderdate IS NULL) AS n FROM orders)
+    UNION ALL SELECT 'date_check_o_orderdate', count(*) = count(o_orderdate), 'warning', 0 FROM orders"""
 
 
 def _bronze_results(spark, sf_dir) -> DataFrame:
@@ -230,10 +234,16 @@ def _bronze_results(spark, sf_dir) -> DataFrame:
     return v.run_checks(orders, v.bronze_checks(orders, _ORDERS_SPEC, "o_orderdate"))
 
 
-@query("bronze_validation_suite", _BRONZE_SQL)
+@query(
+    "bronze_validation_suite",
+    f"""SELECT b.*, CASE WHEN check_name LIKE 'date_check%' THEN (SELECT min(o_orderdate) FROM orders) END AS first_date,
+               CASE WHEN check_name LIKE 'date_check%' THEN (SELECT max(o_orderdate) FROM orders) END AS last_date FROM ({_BRONZE_SQL}) b""",
+)
 def bronze_validation_suite(spark, sf_dir):
-    found = F.coalesce(F.col("details")["row_count"], F.col("details")["duplicate_count"], F.lit("0")).cast("bigint")
-    return _bronze_results(spark, sf_dir).select("check_name", "passed", "level", found.alias("found"))
+    detail = lambda k: F.col("details")[k]
+    found = F.coalesce(detail("row_count"), detail("duplicate_count"), F.lit("0")).cast("bigint")
+    dates = [detail(k).cast("timestamp").alias(f"{k}_date") for k in ("first", "last")]
+    return _bronze_results(spark, sf_dir).select("check_name", "passed", "level", found.alias("found"), *dates)
 
 
 @query(
@@ -266,3 +276,64 @@ def silver_validation_suite(spark, sf_dir):
     return v.run_checks(loans, v.silver_checks("loans")).select("check_name", "passed", "level")
 
 
+def _silver_sql(rows: str, missing: str) -> str:
+    return f"""
+    SELECT 'row_count_check' AS check_name, count(*) >= 10 AS passed, 'warning' AS level FROM ({rows})
+    UNION ALL
+    SELECT 'missing_values_check', n = 0, CASE WHEN n = 0 THEN 'warning' ELSE 'critical' END
+    FROM (SELECT count(*) FILTER ({missing}) AS n FROM ({rows}))"""
+
+
+def _silver(df, name) -> DataFrame:
+    return v.run_checks(df, v.silver_checks(name)).select("check_name", "passed", "level")
+
+
+@query(
+    "silver_suite_attributes",
+    with_views("attr_snapshots", body=_silver_sql("SELECT * FROM attr_snapshots WHERE Age BETWEEN 18 AND 75", "Customer_ID IS NULL OR Age IS NULL")),
+)
+def silver_suite_attributes(spark, sf_dir):
+    return _silver(clean_attributes(view(spark, sf_dir, "attr_snapshots")), "attributes")
+
+
+@query(
+    "silver_suite_financials",
+    with_views(
+        "fin_snapshots",
+        body=_silver_sql("SELECT * FROM fin_snapshots WHERE Annual_Income IS NULL OR Annual_Income BETWEEN 0 AND 10000000", "Customer_ID IS NULL"),
+    ),
+)
+def silver_suite_financials(spark, sf_dir):
+    return _silver(clean_financials(view(spark, sf_dir, "fin_snapshots")), "financials")
+
+
+@query(
+    "silver_suite_clickstream",
+    with_views("click_months", body=_silver_sql("SELECT * FROM click_months", "Customer_ID IS NULL OR snapshot_date IS NULL")),
+)
+def silver_suite_clickstream(spark, sf_dir):
+    return _silver(clean_clickstream(view(spark, sf_dir, "click_months")), "clickstream")
+
+
+@query(
+    "validate_nan",
+    with_views(
+        "holed_orders",
+        body="""
+    SELECT 'missing_values_check' AS check_name, missing = 0 AS passed, missing AS found, CAST(NULL AS DOUBLE) AS share FROM n
+    UNION ALL SELECT 'range_check_amount', outside = 0, outside, round(CAST(outside AS DOUBLE) / there, 6) FROM n""",
+        more={
+            "n": """SELECT count(*) FILTER (amount IS NULL OR isnan(amount)) AS missing,
+                 count(*) FILTER (NOT isnan(amount)) AS there,
+                 count(*) FILTER (NOT isnan(amount) AND (amount < 1000 OR amount > 200000)) AS outside FROM holed_orders"""
+        },
+    ),
+)
+def validate_nan(spark, sf_dir):
+    """NaN is missing: it counts for the share of missing cells and not for the range."""
+    found = v.run_checks(view(spark, sf_dir, "holed_orders"), [v.MissingShare(["amount"]), v.InRange("amount", 1000, 200_000)])
+    count = F.coalesce(F.col("details")["amount.count"], F.col("details")["violations"]).cast("bigint")
+    share = F.round(F.col("details")["violation_percentage"].cast("double"), 6)
+    return found.select("check_name", "passed", count.alias("found"), share.alias("share"))
+
+

@@ -101,12 +101,38 @@ _STRIPPED = "regexp_replace(number_text, '[^0-9.-]', '', 'g')"
 
 @query(
     "strip_non_numeric",
-    with_views("dirty_rows", body=f"SELECT id, {_NUMBER_SQL.format(_STRIPPED)} AS x FROM dirty_rows"),
+    with_views("dirty_rows", body=f"SELECT id, coalesce({_NUMBER_SQL.format('number_text')}, {_NUMBER_SQL.format(_STRIPPED)}) AS x FROM dirty_rows"),
 )
 def strip_non_numeric(spark, sf_dir):
     return _dirty(spark, sf_dir).select("id", text.strip_non_numeric(F.col("number_text")).alias("x"))
 
 
+@query(
+    "strip_exponents",
+    with_views(
+        "part_numbers",
+        body=f"SELECT id, coalesce({_NUMBER_SQL.format('exponent_text')}, {_NUMBER_SQL.format(_STRIPPED.replace('number_text', 'exponent_text'))}) AS x FROM part_numbers",
+    ),
+)
+def strip_exponents(spark, sf_dir):
+    """A column of clean numbers, some of them with exponents."""
+    return view(spark, sf_dir, "part_numbers").select("id", text.strip_non_numeric(F.col("exponent_text")).alias("x"))
+
+
+@query(
+    "parse_dates",
+    with_views(
+        "order_dates",
+        body="""
+    SELECT id, coalesce(TRY_CAST(date_text AS TIMESTAMP), try_strptime(date_text, '%m/%d/%Y'), try_strptime(date_text, '%Y/%m/%d'),
+           try_strptime(date_text, '%Y%m%d'), try_strptime(date_text, '%d-%b-%Y')) AS parsed FROM order_dates""",
+    ),
+)
+def parse_dates(spark, sf_dir):
+    rows = clean.coerce_dates(view(spark, sf_dir, "order_dates"), ["date_text"])
+    return rows.select("id", F.col("date_text").alias("parsed"))
+
+
 _MONTHS_SQL = r"""CASE WHEN duration_text IS NOT NULL THEN
         12 * coalesce(TRY_CAST(regexp_extract(duration_text, '(\d+)\s+Years?', 1, 'i') AS BIGINT), 0)
            + coalesce(TRY_CAST(regexp_extract(duration_text, '(\d+)\s+Months?', 1, 'i') AS BIGINT), 0) END"""
@@ -174,7 +200,7 @@ def clean_attributes(spark, sf_dir):
         body=rf"""
     SELECT * FROM (
       SELECT id AS Customer_ID,
-             {_NUMBER_SQL.format("regexp_replace(number_text, '[^0-9.-]', '', 'g')")} AS Annual_Income,
+             coalesce({_NUMBER_SQL.format("number_text")}, {_NUMBER_SQL.format("regexp_replace(number_text, '[^0-9.-]', '', 'g')")}) AS Annual_Income,
              price AS Outstanding_Debt,
              CASE WHEN placeholder_text NOT IN ('_', 'NA', 'na', 'N/A', '!@9#%8', '', ' ')
                   THEN trim(placeholder_text) END AS Credit_Mix,

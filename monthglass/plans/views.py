@@ -89,6 +89,27 @@ VIEWS = {
                CASE WHEN p_partkey % 6 = 0 THEN NULL ELSE p_retailprice END AS price,
                p_brand AS brand, p_type AS kind
         FROM {part}""",
+    "part_numbers": """
+        SELECT p_partkey AS id,
+               CASE p_partkey % 5 WHEN 0 THEN '1e-05' WHEN 1 THEN '1.5e3' WHEN 2 THEN concat(CAST(p_size AS STRING), 'E2')
+                    WHEN 3 THEN NULL ELSE CAST(p_partkey AS STRING) END AS exponent_text
+        FROM {part}""",
+    # One date in the ways that raw files write it.
+    "order_dates": """
+        SELECT o_orderkey AS id,
+               CASE o_orderkey % 6
+                    WHEN 0 THEN concat(CAST(m AS STRING), '/', CAST(d AS STRING), '/', CAST(y AS STRING))
+                    WHEN 1 THEN concat(CAST(y AS STRING), '/', mm, '/', dd)
+                    WHEN 2 THEN concat(CAST(y AS STRING), mm, dd)
+                    WHEN 3 THEN concat(dd, '-', substr('JanFebMarAprMayJunJulAugSepOctNovDec', CAST(3 * m - 2 AS INT), 3), '-', CAST(y AS STRING))
+                    WHEN 4 THEN NULL
+                    ELSE concat(CAST(y AS STRING), '-', mm, '-', dd) END AS date_text
+        FROM (SELECT o_orderkey, y, m, d, lpad(CAST(m AS STRING), 2, '0') AS mm, lpad(CAST(d AS STRING), 2, '0') AS dd
+              FROM (SELECT o_orderkey, year(o_orderdate) AS y, month(o_orderdate) AS m, day(o_orderdate) AS d FROM {orders}) x) z""",
+    "holed_orders": """
+        SELECT o_orderkey, o_custkey,
+               CASE WHEN o_orderkey % 5 = 0 THEN CAST('NaN' AS DOUBLE) WHEN o_orderkey % 7 = 0 THEN NULL ELSE o_totalprice END AS amount
+        FROM {orders}""",
     "scored_orders": """
         SELECT o_orderkey AS Customer_ID, o_orderdate AS feature_snapshot_date,
                CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END AS label,

@@ -25,7 +25,7 @@ def test_attributes(spark):
 
 def test_bad_date_stops_the_job(spark):
     df = spark.createDataFrame([("C1", "20", "not a date")], "Customer_ID string, Age string, snapshot_date string")
-    with pytest.raises(Exception, match="(?i)cast|date"):
+    with pytest.raises(Exception, match="(?i)no date|not a date|USER_RAISED"):
         clean.clean_attributes(df).collect()
 
 

@@ -80,3 +80,16 @@ def test_months(spark):
         dates.elapsed_days(F.col("a"), F.lit("2023-08-30 12:00:00").cast("timestamp")).alias("d"),
     ).first()
     assert (row.later, row.m, row.label, row.none, row.d) == (dt(2024, 2, 29, 5), 9, "2023-08", "NaT", 0)
+
+
+def test_numbers_with_exponents_are_kept(spark):
+    got = values(spark, text.strip_non_numeric(F.col("x")), ["1e-05", "1.5e3", "25_", "5d", "1-2"])
+    assert got == [1e-05, 1500.0, 25.0, 5.0, None]
+
+
+def test_dates_in_several_formats(spark):
+    from monthglass.functions.dates import parse_date
+
+    texts = ["2023-01-02", "2023-01-02 03:04:05", "01/02/2023", "1/2/2023", "2023/01/02", "20230102", "02-Jan-2023", "2 Jan 2023", "Jan 2, 2023", "January 2, 2023", " 2023-01-02 "]
+    got = values(spark, parse_date(F.col("x")), [*texts, "02.01.2023", "x", "", None])
+    assert {d.date().isoformat() for d in got[: len(texts)]} == {"2023-01-02"} and got[len(texts) :] == [None] * 4

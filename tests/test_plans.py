@@ -55,11 +55,14 @@ def test_quality_reads_the_rows_twice_and_sorts_inside_ranges(spark):
     assert "SinglePartition" not in text and "Python" not in text
 
 
-def test_checks_are_one_scan(orders):
+def test_checks_shuffle_the_keys_only(orders):
     from monthglass.operators import validate as v
     from monthglass.sources.registry import SourceSpec
 
     spec = SourceSpec("orders", "orders.csv", ("o_custkey", "o_orderdate"))
-    text = plan(v.run_checks(orders, v.bronze_checks(orders, spec, "o_orderdate")))
-    assert text.count("FileScan") == 1
-    assert "ReadSchema: struct<o_custkey:bigint,o_orderdate" in text
+    text = plan(v.run_checks(orders, [*v.bronze_checks(orders, spec, "o_orderdate"), v.InRange("o_totalprice", 0, 1e9)]))
+    # Once for the sums, which leave a task as one row, and once for the keys.
+    assert text.count("FileScan") == 2
+    exchanges = [line for line in text.splitlines() if "Exchange hashpartitioning" in line]
+    assert len(exchanges) == 1 and "o_custkey" in exchanges[0] and "o_totalprice" not in exchanges[0]
+    assert "ReadSchema: struct<o_custkey:bigint,o_orderdate:timestamp>" in text.replace("timestamp_ntz", "timestamp")
