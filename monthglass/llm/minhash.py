@@ -25,7 +25,8 @@ from .words import U64, mix, pieces, runs, seeds, strings, word_hashes
 MANTISSA = 10
 BITS = 48  # of a hash that the leading zeros are counted in
 ROWS = 6  # registers in a band
-BLOCK = 1024  # members of a candidate group that one task compares with as many
+BLOCK = 1024  # members of a cluster that one task compares with as many
+BLOCK_BYTES = 16 << 20  # of their sets
 
 
 class Shape:
@@ -223,7 +224,7 @@ def _verify(shape: Shape):
             if batch.num_rows:
                 side = lambda k: (
                     _rows(batch.column(f"regs_{k}"), np.uint16, shape.registers),
-                    np.unpackbits(_rows(batch.column(f"own_{k}"), np.uint8, (shape.registers + 7) // 8), axis=1, count=shape.registers).astype(bool),
+                    _bits(batch.column(f"own_{k}"), shape.registers),
                     batch.column(f"n_{k}").to_numpy(),
                 )
                 (r1, o1, n1), (r2, o2, n2) = side("a"), side("b")
@@ -236,74 +237,121 @@ def _verify(shape: Shape):
     return run
 
 
-def _cross(shape: Shape, lowest: int, highest: int):
-    """Blocks of one bucket's members -> pairs of different components that may pass.
+def common_counts(one: list[np.ndarray], two: list[np.ndarray], wide: int = 2048) -> np.ndarray:
+    """Sizes of all intersections of the sets in `one` with those in `two`, exact.
 
-    Rows come sorted by (key, i, j). Members of block i (not of the bucket's largest
-    component) meet those of block j. Of one member's pairs with one component, those
-    ranked lowest to highest by the estimate are given; `more` says that others remain.
+    Over the values that both sides hold, 0/1 matrices are multiplied slice by slice.
     """
-    schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("more", pa.bool_())])
-
-    def group(ids, comps, left, right, regs, own, n):
-        order = np.flatnonzero(left)
-        other = np.flatnonzero(right)
-        for x in order.tolist():
-            rest = other[comps[other] != comps[x]]
-            if not len(rest):
-                continue
-            value, ok = may_pass(regs[x], regs[rest], own[x], own[rest], n[x], n[rest], shape)
-            rest, value = rest[ok], value[ok]
-            for c in np.unique(comps[rest]).tolist():
-                mine = rest[comps[rest] == c]
-                best = mine[np.argsort(-value[comps[rest] == c], kind="stable")]
-                for y in best[lowest:highest].tolist():
-                    yield min(ids[x], ids[y]), max(ids[x], ids[y]), len(best) > highest
+    sides = []
+    for sets in (one, two):
+        sides.append((np.concatenate(sets), np.repeat(np.arange(len(sets)), [len(x) for x in sets])))
+    both = np.intersect1d(np.unique(sides[0][0]), np.unique(sides[1][0]), assume_unique=True)
+    out = np.zeros((len(one), len(two)), np.int64)
+    if not len(both):
+        return out
+    placed = []
+    for values, row in sides:
+        at = np.minimum(np.searchsorted(both, values), len(both) - 1)
+        there = both[at] == values
+        at, row = at[there], row[there]
+        order = np.argsort(at, kind="stable")
+        placed.append((at[order], row[order]))
+    for low in range(0, len(both), wide):
+        parts = []
+        for (at, row), n in zip(placed, out.shape):
+            a, b = np.searchsorted(at, [low, low + wide])
+            part = np.zeros((n, min(wide, len(both) - low)), np.float32)
+            part[row[a:b], at[a:b] - low] = 1
+            parts.append(part)
+        out += np.rint(parts[0] @ parts[1].T).astype(np.int64)
+    return out
+
+
+def forest(ids, comps, left, right, regs, own, n, sets, shape: Shape) -> list[tuple[int, int]]:
+    """Links between members of different components, left ones with right ones, without cycles.
+
+    The estimate rules pairs out; the rest is verified on the full sets.
+    """
+    lefts, rights = np.flatnonzero(left), np.flatnonzero(right)
+    passing = np.zeros((len(lefts), len(rights)), bool)
+    for k, x in enumerate(lefts.tolist()):
+        other = comps[rights] != comps[x]
+        if other.any():
+            y = rights[other]
+            passing[k, other] = may_pass(regs[x], regs[y], own[x], own[y], n[x], n[y], shape)[1]
+    rows, cols = np.flatnonzero(passing.any(axis=1)), np.flatnonzero(passing.any(axis=0))
+    if not len(rows):
+        return []
+    lefts, rights, passing = lefts[rows], rights[cols], passing[np.ix_(rows, cols)]
+    common = common_counts([sets[x] for x in lefts], [sets[y] for y in rights])
+    union = n[lefts][:, None] + n[rights][None, :] - common
+    passing &= 100 * common >= shape.percent * union
+    parent: dict[int, int] = {}
+
+    def root(c):
+        while parent.get(c, c) != c:
+            c = parent[c]
+        return c
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.RecordBatch] = []
+    out = []
+    for k, x in enumerate(lefts.tolist()):
+        ys = rights[passing[k]]
+        _, one_each = np.unique(comps[ys], return_index=True)
+        for y in ys[one_each].tolist():
+            p, q = root(int(comps[x])), root(int(comps[y]))
+            if p != q:
+                parent[max(p, q)] = min(p, q)
+                out.append((min(int(ids[x]), int(ids[y])), max(int(ids[x]), int(ids[y]))))
+    return out
+
+
+def _cross(shape: Shape):
+    """Rows sorted by (cluster, i, j): the left members of a block meet the right ones -> links."""
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
-        def done():
-            table = pa.Table.from_batches(held)
-            keys = np.column_stack([table.column(c).to_numpy() for c in ("key", "i", "j")])
-            cuts = np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1
-            regs = _rows(table.column("regs"), np.uint16, shape.registers)
-            own = np.unpackbits(_rows(table.column("own"), np.uint8, (shape.registers + 7) // 8), axis=1, count=shape.registers).astype(bool)
-            cols = [table.column(c).to_numpy(zero_copy_only=False) for c in ("set_id", "comp", "left", "right")]
-            n = table.column("n").to_numpy()
-            for s in np.split(np.arange(len(keys)), cuts):
-                yield from group(*(c[s] for c in cols), regs[s], own[s], n[s])
-
-        def flush():
-            if held:
-                found = list(done())
-                held.clear()
-                if found:
-                    yield pa.RecordBatch.from_pylist([dict(zip(("a", "b", "more"), map(_plain, f))) for f in found], schema=schema)
+    def links(held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = pa.Table.from_batches(held).combine_chunks()
+        keys = _keys(table)
+        for s in np.split(np.arange(len(keys)), np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1):
+            part = table.slice(int(s[0]), len(s))
+            col = {c: part.column(c).to_numpy(zero_copy_only=False) if isinstance(part.column(c), pa.Array) else part.column(c).to_numpy() for c in ("set_id", "comp", "left", "right", "n")}
+            regs = _rows(part.column("regs"), np.uint16, shape.registers)
+            own = _bits(part.column("own"), shape.registers)
+            sets = [np.frombuffer(x, U64) for x in part.column("grams").to_pylist()]
+            found = forest(col["set_id"], col["comp"], col["left"], col["right"], regs, own, col["n"], sets, shape)
+            if found:
+                yield pa.RecordBatch.from_arrays([pa.array([f[k] for f in found], pa.int64()) for k in (0, 1)], schema=schema)
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
         last = None
         for batch in batches:
             if not batch.num_rows:
                 continue
-            # A group may go on in the next batch: hold back its rows until it has ended.
-            keys = np.column_stack([batch.column(c).to_numpy() for c in ("key", "i", "j")])
+            # A group may go on in the next batch: its rows are held until it has ended.
+            keys = _keys(batch)
+            if held and (keys[0] != last).any():
+                yield from links(held)
+                held = []
             change = np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1
-            if last is not None and (keys[0] != last).any():
-                yield from flush()
             if len(change):
-                held.append(batch.slice(0, int(change[-1])))
-                yield from flush()
-                held.append(batch.slice(int(change[-1])))
+                yield from links([*held, batch.slice(0, int(change[-1]))])
+                held = [batch.slice(int(change[-1]))]
             else:
                 held.append(batch)
             last = keys[-1]
-        yield from flush()
+        if held:
+            yield from links(held)
 
     return run
 
 
-def _plain(x):
-    return x.item() if hasattr(x, "item") else x
+def _keys(rows) -> np.ndarray:
+    return np.column_stack([rows.column(c).to_numpy() for c in ("cluster", "i", "j")])
+
+
+def _bits(column, m: int) -> np.ndarray:
+    return np.unpackbits(_rows(column, np.uint8, (m + 7) // 8), axis=1, count=m).astype(bool)
 
 
 # --- the operator ------------------------------------------------------------------
@@ -315,10 +363,11 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col:
     1. Signatures. Equal sets are one class from here on, so copies cost one row each.
     2. Each band key's members are paired with its least and greatest member only.
        Estimate, then verification on the full sets, then components.
-    3. Keys whose members are still in different components: members outside the
-       key's largest component meet the other components' members, in blocks; pairs
-       the estimate lets through are verified, best first, 8 to a component, then
-       more of them until no pair between different components is left unseen.
+    3. Keys of four or more members that are still in different components make
+       clusters of documents. In a cluster, blocks of the members outside its largest
+       component meet blocks of all its members; the estimate rules pairs out, the rest
+       is verified on the full sets. A task gives links without cycles, so no pair list
+       grows with the square of a group.
 
     So every pair that shares a band key is either verified, ruled out by the
     estimate (four deviations below the threshold), or already connected.
@@ -352,16 +401,9 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col:
     sets = stage_table(sets, "sets")
 
     links = stage_table(_verified(pairs, sets, shape), "found")
-    low, high = 0, 8
-    while True:
-        labels = stage_table(connected(links), "labels")
-        named = members.join(labels, members.set_id == labels.node, "left")
-        named = named.select("key", "set_id", F.coalesce("root", "set_id").alias("comp"))
-        left = stage_table(_unsettled(named, sets, shape, low, high), "unsettled")
-        links = stage_table(links.union(_verified(left.select("a", "b").distinct(), sets, shape)), "found")
-        if left.where("more").isEmpty():
-            break
-        low, high = high, 4 * high
+    labels = stage_table(connected(links), "labels")
+    rest = _unsettled(members, labels, sets)
+    links = stage_table(links.union(rest.mapInArrow(_cross(shape), "a long, b long")), "found")
     labels = stage_table(connected(links), "labels")
     return _result(rows, classes.select("set_id", "doc_id"), labels)
 
@@ -372,25 +414,29 @@ def _verified(pairs: DataFrame, sets: DataFrame, shape: Shape) -> DataFrame:
     return both.drop("set_id_a", "set_id_b").mapInArrow(_verify(shape), "a long, b long")
 
 
-def _unsettled(named: DataFrame, sets: DataFrame, shape: Shape, low: int, high: int) -> DataFrame:
-    """Pairs of different components in one bucket that may pass, ranked low to high."""
-    parts = named.groupBy("key", "comp").agg(F.count("*").alias("n"))
-    keys = parts.groupBy("key").agg(
-        F.max(F.struct("n", "comp")).alias("top"), F.sum("n").alias("size"), F.count("*").alias("comps")
-    ).where("comps > 1")
-    keys = keys.select("key", F.col("top.comp").alias("largest"), F.ceil(F.col("size") / BLOCK).alias("blocks"))
-    at = named.join(keys, "key").withColumn("minor", F.col("comp") != F.col("largest"))
-    block = F.pmod(F.xxhash64("set_id"), F.col("blocks"))
+def _unsettled(members: DataFrame, labels: DataFrame, sets: DataFrame) -> DataFrame:
+    """Rows of the blocks in which members of still separate components meet."""
+    named = members.where("size > 3").join(labels, members.set_id == labels.node, "left")
+    named = named.select("key", "set_id", F.coalesce("root", "set_id").alias("comp"))
+    apart = named.groupBy("key").agg(F.min("comp").alias("c1"), F.max("comp").alias("c2"), F.min("set_id").alias("head")).where("c1 < c2")
+    named = stage_table(named.join(apart.select("key", "head"), "key").select("set_id", "comp", "head"), "apart")
+    clusters = connected(named.select(F.col("set_id").alias("a"), F.col("head").alias("b")).distinct())
+    member = named.select("set_id", "comp").distinct().join(clusters, F.col("set_id") == F.col("node"))
+    rows = stage_table(member.select(F.col("root").alias("cluster"), "set_id", "comp").join(sets, "set_id"), "clusters")
+
+    parts = rows.groupBy("cluster", "comp").agg(F.count("*").alias("n"), F.sum(F.length("grams")).alias("bytes"))
+    whole = parts.groupBy("cluster").agg(F.max(F.struct("n", "comp")).alias("top"), F.sum("n").alias("n"), F.sum("bytes").alias("bytes"))
+    blocks = F.ceil(F.greatest(F.col("n") / BLOCK, F.col("bytes") / BLOCK_BYTES))
+    whole = whole.select(F.col("cluster").alias("c"), F.col("top.comp").alias("largest"), blocks.alias("blocks"))
+    at = rows.join(whole, F.col("cluster") == F.col("c")).withColumn("block", F.pmod(F.xxhash64("set_id"), F.col("blocks")))
     every = F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)
-    at = at.withColumn("block", block)
-    # As a right member in all (i, block); as a left one, if outside the largest component, in all (block, j).
-    right = at.select("key", "set_id", "comp", F.explode(every).alias("i"), F.col("block").alias("j"), F.lit(False).alias("left"), F.lit(True).alias("right"))
-    left = at.where("minor").select("key", "set_id", "comp", F.col("block").alias("i"), F.explode(every).alias("j"), F.lit(True).alias("left"), F.lit(False).alias("right"))
-    regs = sets.select("set_id", "n", "regs", "own")
-    rows = right.union(left).join(regs, "set_id")
-    rows = rows.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
-    rows = rows.select("key", "i", "j", "set_id", "comp", "left", "right", "n", "regs", "own")
-    return rows.mapInArrow(_cross(shape, low, high), "a long, b long, more boolean")
+    # All are right members of their block, in each (i, own); those outside the largest component left ones in each (own, j).
+    ends = [
+        at.select("*", F.explode(every).alias("i"), F.col("block").alias("j"), F.lit(False).alias("left"), F.lit(True).alias("right")),
+        at.where("comp <> largest").select("*", F.col("block").alias("i"), F.explode(every).alias("j"), F.lit(True).alias("left"), F.lit(False).alias("right")),
+    ]
+    both = ends[0].union(ends[1]).repartition("cluster", "i", "j").sortWithinPartitions("cluster", "i", "j")
+    return both.select("cluster", "i", "j", "set_id", "comp", "left", "right", "n", "regs", "own", "grams")
 
 
 def _result(rows: DataFrame, classes: DataFrame, labels: DataFrame) -> DataFrame:
