@@ -15,7 +15,7 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import stage_table
@@ -358,7 +358,7 @@ def _bits(column, m: int) -> np.ndarray:
 
 
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per document: doc_id, n_shingles, component_id, kept, set_id.
+    """One row per document: doc_id, text_hash, n_shingles, component_id, kept, group_id.
 
     1. Signatures. Equal sets are one class from here on, so copies cost one row each.
     2. Each band key's members are paired with its least and greatest member only.
@@ -374,8 +374,9 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col:
 
     Empty and null texts are linked with nothing and kept. Rows with the same id stay
     separate rows; a null id is never a component's label unless nothing else is in it
-    (then component_id is null and kept is true). No rows give no rows. Other columns
-    of ``docs`` are not looked at.
+    (then component_id is null and kept is true). group_id names the component where
+    ids can't; it is null for empty texts. No rows give no rows. Other columns of
+    ``docs`` are not looked at.
     """
     shape = Shape(percent, words)
     plain = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
@@ -442,9 +443,28 @@ def _unsettled(members: DataFrame, labels: DataFrame, sets: DataFrame) -> DataFr
 def _result(rows: DataFrame, classes: DataFrame, labels: DataFrame) -> DataFrame:
     named = classes.join(labels, classes.set_id == labels.node, "left").select("set_id", "doc_id", F.coalesce("root", "set_id").alias("root"))
     least = named.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    named = stage_table(named.join(least, "root").select("set_id", "component_id"), "classes")
-    out = rows.select("doc_id", "n_shingles", "set_id").join(named.withColumnRenamed("set_id", "cid"), F.col("set_id") == F.col("cid"), "left")
+    named = stage_table(named.join(least, "root").select("set_id", "component_id", "root"), "classes")
+    out = rows.select("doc_id", "text_hash", "n_shingles", "set_id").join(named.withColumnRenamed("set_id", "cid"), F.col("set_id") == F.col("cid"), "left")
     component = F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("component_id"))
-    return out.select("doc_id", "n_shingles", component.alias("component_id"), "set_id").withColumn(
+    return out.select("doc_id", "text_hash", "n_shingles", component.alias("component_id"), F.col("root").alias("group_id")).withColumn(
         "kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.col("component_id").isNull())
     )
+
+
+def keep_one(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` without all but one of each group of near copies; all columns stay.
+
+    The row with the smallest id stays (null ids last, then by the text's hash); of rows
+    that agree in id and text any one. Empty and null texts are in no group and all stay.
+    """
+    found = near_duplicates(docs, words, percent, id_col, text_col)
+    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "text_hash")).alias("f")
+    chosen = found.where("group_id is not null").groupBy("group_id").agg(first).select("f.doc_id", "f.text_hash", F.lit(True).alias("_one"))
+    empty = found.where("group_id is null").select("doc_id", "text_hash", F.lit(False).alias("_one")).distinct()
+    stay = chosen.distinct().union(empty).select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), "_one")
+    own_id, own_hash = F.col(f"`{id_col}`").cast("long"), F.xxhash64(F.col(f"`{text_col}`"))
+    kept = docs.join(stay, own_id.eqNullSafe(F.col("_id")) & (own_hash == F.col("_hash")))
+    # Rows that agree in id and text meet here; they are one document.
+    number = F.row_number().over(Window.partitionBy("_id", "_hash").orderBy(F.lit(0)))
+    kept = kept.withColumn("_number", number).where(~F.col("_one") | (F.col("_number") == 1))
+    return kept.select([F.col(f"`{c}`") for c in docs.columns])

@@ -159,3 +159,18 @@ def mix_sources(
     names = targets.select(F.col("source").alias("s"), "source_size", "target")
     out = out.join(names, out.source.eqNullSafe(names.s)).drop("s")
     return out.select("doc_id", "text_hash", "source", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken"))
+
+
+def copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **settings) -> DataFrame:
+    """``docs`` with each row as often as the mix takes it, numbered from 1 in ``copy`` (replaced if there)."""
+    mixed = mix_sources(docs, id_col=id_col, text_col=text_col, source_col=source_col, **settings)
+    mixed = mixed.where("copies > 0").select(
+        F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), F.col("source").alias("_source"), F.col("copies").alias("_copies")
+    )
+    same = (
+        docs[id_col].cast("long").eqNullSafe(F.col("_id"))
+        & (F.xxhash64(docs[text_col]) == F.col("_hash"))
+        & docs[source_col].cast("string").eqNullSafe(F.col("_source"))
+    )
+    kept = [F.col(f"`{c}`") for c in docs.columns if c != "copy"]
+    return docs.join(mixed.distinct(), same).select(*kept, F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies"))).alias("copy"))

@@ -13,6 +13,7 @@ from dataclasses import dataclass, field
 from functools import cached_property
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -210,3 +211,15 @@ def quality_rules(docs: DataFrame, rules: Sequence[Rule] = RULES, sample: int =
 
     schema = "doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, kept boolean"
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, schema)
+
+
+def keep_good(docs: DataFrame, rules: Sequence[Rule] = RULES, sample: int = 512, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that pass the base rules and the cascade, unchanged; nothing is shuffled."""
+    order = [*BASE, *by_worth(rules, measure(docs, rules, sample, text_col))]
+
+    def run(column: pd.Series) -> pd.Series:
+        texts = pa.array(column, pa.string(), from_pandas=True)
+        out = [cascade(texts.slice(lo, hi - lo), order, np.ones(hi - lo, bool)) for lo, hi in pieces(texts)]
+        return pd.Series(np.concatenate(out) if out else np.zeros(0, bool))
+
+    return docs.where(F.pandas_udf(run, "boolean")(F.col(f"`{text_col}`")))
