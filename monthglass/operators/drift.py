@@ -7,6 +7,7 @@ both, as the first months are reference and window at once.
 
 from __future__ import annotations
 
+import math
 from bisect import bisect_right
 from collections.abc import Sequence
 from dataclasses import dataclass
@@ -17,14 +18,14 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.dates import plus_months
-from .features import numeric_columns, text_columns
-from .quantiles import exact_quantiles
-from .running import BUCKET, add_running, known, sums_before, unfold, value_splits, with_ranges
+from ..session import stage_table
+from .features import ROW, numeric_columns, text_columns
+from .running import BUCKET, add_bucket, add_running, known, sums_before, unfold, value_splits, with_ranges
 
 # Columns that are no features, bin count, alert thresholds.
-NOT_FEATURES = ("Customer_ID", "label", "prediction", "prediction_proba_0", "prediction_proba_1")
+NOT_FEATURES = ("Customer_ID", ROW, "label", "prediction", "prediction_proba_0", "prediction_proba_1")
 NOT_REPORTED = (
-    "Customer_ID", "feature_snapshot_date", "label_snapshot_date",
+    "Customer_ID", ROW, "feature_snapshot_date", "label_snapshot_date",
     "prediction_timestamp", "model_name", "model_version",
 )
 BINS = 10
@@ -285,9 +286,25 @@ def stability_over_time(
 
 
 def median_date(df: DataFrame, date: str, prob: float = 0.5) -> Column:
-    """The exact ``prob`` quantile of a date column, as a literal of that column's type."""
-    micros = df.select(F.unix_micros(F.col(date).cast("timestamp")).cast("double").alias("t"))
-    t = exact_quantiles(micros, ["t"], [prob])["t"][0]
+    """The exact ``prob`` quantile of a date column, as a literal of that column's type.
+
+    The rows are read once, to count them per date; the wanted ranks are then looked
+    for among the distinct dates, with running sums inside ranges of dates.
+    """
+    micros = F.unix_micros(F.col(date).cast("timestamp")).cast("double")
+    dated = df.where(F.col(date).isNotNull())
+    counts = stage_table(dated.groupBy(micros.alias("t")).agg(F.count(F.lit(1)).alias("n")), "dates")
+    total = counts.agg(F.sum("n")).first()[0]
+    t = None
+    if total:
+        at = prob * (total - 1)
+        rows = add_bucket(counts.withColumn("_all", F.lit(0)), "t", value_splits(counts, ["t"])["t"])
+        ranges = rows.groupBy("_all", BUCKET).agg(F.sum("n").alias("n"))
+        offsets = ranges.select("_all", BUCKET, *sums_before(["_all"], ["n"]))
+        upto = add_running(rows, offsets, ["_all"], "t", ["n"])
+        first_to = lambda rank: F.min(F.when(F.col("n_run") > rank, F.col("t")))
+        low, high = upto.agg(first_to(math.floor(at)), first_to(math.ceil(at))).first()
+        t = low + (high - low) * (at - math.floor(at))
     return F.timestamp_micros(F.lit(None if t is None else int(t)).cast("bigint")).cast(df.schema[date].dataType)
 
 
@@ -398,9 +415,9 @@ def psi_level(value: Column, warning: float = PSI_WARNING, critical: float = PSI
 
 def drift_alerts(performance: DataFrame, stability: DataFrame, drop: float = F1_DROP) -> DataFrame:
     """Alert level per window; F1 is compared with the first window's F1."""
-    # One row per calendar window, so the unpartitioned window is a handful of rows.
-    by_date = W.orderBy("snapshot_date").rowsBetween(W.unboundedPreceding, 0)
-    fallen = performance.select("snapshot_date", "f1", (F.first("f1").over(by_date) - F.col("f1")).alias("f1_drop"))
+    first = performance.agg(F.min_by("f1", "snapshot_date").alias("_first")).first()[0]
+    base = F.lit(first).cast("double")
+    fallen = performance.select("snapshot_date", "f1", (base - F.col("f1")).alias("f1_drop"))
     joined = fallen.join(stability.select("snapshot_date", "mean_psi", "max_psi"), "snapshot_date")
     fell = F.coalesce(F.col("f1_drop") > drop, F.lit(False))
     return joined.withColumns(

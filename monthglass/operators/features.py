@@ -12,6 +12,8 @@ from ..functions.numeric import AGE_EDGES, AGE_LABELS, bin_right_closed, log1p_f
 
 # Keys, dropped and uncapped columns, and what each engineered column is made of.
 KEYS = ("Customer_ID", "feature_snapshot_date", "label_snapshot_date")
+# Number of a stored row, the same in the feature store, the label store and the predictions.
+ROW = "store_row"
 LABEL_COLUMNS = ("label", "dpd", "overdue_amt")
 PII = ("Name", "SSN")
 NEVER_CAPPED = (
@@ -75,7 +77,7 @@ def binary_label(metric: Column, threshold: float) -> Column:
 
 
 def label_store(df: DataFrame) -> DataFrame:
-    return df.select(*KEYS, *LABEL_COLUMNS)
+    return df.select(*KEYS, *[c for c in (ROW,) if c in df.columns], *LABEL_COLUMNS)
 
 
 def feature_columns(df: DataFrame) -> DataFrame:

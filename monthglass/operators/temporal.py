@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.dates import plus_months
-from .features import KEYS, binary_label
+from .features import KEYS, ROW, binary_label
 
 FEATURE_DATE, LABEL_DATE = "feature_snapshot_date", "label_snapshot_date"
 
@@ -94,14 +94,28 @@ def join_attributes(
     return joined.withColumn("_copy", F.explode(F.sequence(F.lit(1), "_copies"))).drop("_copy", "_copies")
 
 
-def feature_label_join(features: DataFrame, labels: DataFrame) -> DataFrame:
-    return features.join(labels.select(*KEYS, "label"), list(KEYS), "inner")
+def _row_keys(keys: Sequence[str], left: DataFrame, right: DataFrame, by_key_only: bool) -> list[str]:
+    """The keys, and the row's number where both sides have it."""
+    numbered = ROW in left.columns and ROW in right.columns and not by_key_only
+    return [*keys, *([ROW] if numbered else [])]
 
 
-def scored_join(labelled: DataFrame, predictions: DataFrame) -> DataFrame:
-    """Labelled rows with the scores of the same key and feature date."""
-    scores = predictions.select("Customer_ID", FEATURE_DATE, "prediction", "prediction_proba_1")
-    return labelled.join(scores, ["Customer_ID", FEATURE_DATE], "inner")
+def feature_label_join(features: DataFrame, labels: DataFrame, by_key_only: bool = False) -> DataFrame:
+    """Each feature row with its own label.
+
+    A key with k loans has k times k rows in either store. They are told apart by the
+    row's number; with ``by_key_only`` each meets each, which gives k to the power of 4.
+    """
+    on = _row_keys(KEYS, features, labels, by_key_only)
+    side = features.drop(ROW) if by_key_only else features
+    return side.join(labels.select(*on, "label"), on, "inner")
+
+
+def scored_join(labelled: DataFrame, predictions: DataFrame, by_key_only: bool = False) -> DataFrame:
+    """Labelled rows with their own scores; with ``by_key_only`` all of the same key and feature date."""
+    on = _row_keys(("Customer_ID", FEATURE_DATE), labelled, predictions, by_key_only)
+    scores = predictions.select(*on, "prediction", "prediction_proba_1")
+    return labelled.join(scores, on, "inner")
 
 
 def in_date_range(df: DataFrame, date: str, start: str | None = None, end: str | None = None) -> DataFrame:

@@ -6,18 +6,23 @@ lazy plan. Paths are folders any Spark file system can serve.
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..operators import clean
 from ..operators.charts import confusion_evolution, dashboard, performance_long, rate_comparison, sample_counts, stability_long
-from ..operators.classify import performance_over_time
+from ..operators.classify import performance, performance_over_time
 from ..operators.drift import (
     NOT_REPORTED,
+    category_shares,
+    drift_alerts,
     drift_report,
+    drift_summary,
     median_date,
     missing_values_report,
     stability_over_time,
@@ -26,6 +31,7 @@ from ..operators.drift import (
 from ..operators.features import (
     LABEL_COLUMNS,
     NEVER_CAPPED,
+    ROW,
     attribute_features,
     feature_columns,
     fill_category,
@@ -35,7 +41,7 @@ from ..operators.features import (
     text_columns,
 )
 from ..operators.learn import ALGORITHMS, Training, score, temporal_split, train_all
-from ..operators.lookback import add_lookback
+from ..operators.lookback import lookback
 from ..operators.quantiles import apply_caps, apply_fill, fit_caps_and_medians
 from ..operators.temporal import (
     FEATURE_DATE,
@@ -56,7 +62,7 @@ from ..operators.validate import (
     run_checks,
     silver_checks,
 )
-from ..session import stage_table
+from ..session import stage_table, staged_files, tune
 from ..sources.registry import SOURCES, source
 from ..sources.stores import (
     load_model,
@@ -69,6 +75,8 @@ from ..sources.stores import (
 )
 from ..sources.tables import read_raw, read_table, write_monthly
 
+log = logging.getLogger(__name__)
+
 # Train and test months of the published runs.
 TRAIN_DATES = ("2023-01-01", "2023-09-30")
 TEST_DATES = ("2023-10-01", "2024-03-01")
@@ -103,13 +111,23 @@ class Folders:
         return f"{self.base}/monitoring/{name}"
 
 
-def ingest(spark: SparkSession, folders: Folders, name: str, validate: bool = True) -> DataFrame:
-    """Raw CSV to the month-partitioned Bronze table."""
+def ingest(
+    spark: SparkSession, folders: Folders, name: str, validate: bool = True, columns: Sequence[str] | None = None
+) -> DataFrame:
+    """Raw CSV to the month-partitioned Bronze table.
+
+    The text is parsed once, into a staged table; the checks and the final write read
+    that. ``columns`` declares the file's header and saves the job that looks it up.
+    """
     spec = source(name)
-    df = clean.coerce_dates(read_raw(spark, f"{folders.raw}/{spec.file}"), ["snapshot_date"])
-    if validate:
-        require_no_critical(run_checks(df, bronze_checks(df, spec)), name)
-    write_monthly(df, folders.bronze(name))
+    raw = read_raw(spark, f"{folders.raw}/{spec.file}", columns=columns)
+    if not validate:
+        write_monthly(clean.coerce_dates(raw, ["snapshot_date"]), folders.bronze(name))
+        return read_table(spark, folders.bronze(name))
+    with staged_files(spark):
+        parsed = stage_table(raw, f"raw-{name}")
+        require_no_critical(run_checks(parsed, bronze_checks(parsed, spec)), name)
+        write_monthly(clean.coerce_dates(parsed, ["snapshot_date"]), folders.bronze(name))
     return read_table(spark, folders.bronze(name))
 
 
@@ -129,6 +147,7 @@ def _each(names: Sequence[str], run: Callable[[str], object]) -> dict[str, str]:
 
 def ingest_all(spark: SparkSession, folders: Folders, names: Sequence[str] = tuple(SOURCES)) -> None:
     """Every source; failures are gathered and raised together at the end."""
+    tune(spark)
     failed = _each(names, lambda name: ingest(spark, folders, name))
     if failed:
         raise ValueError(f"failed to ingest {sorted(failed)}: {failed}")
@@ -152,16 +171,29 @@ def input_report(df: DataFrame, name: str) -> DataFrame | None:
 
 
 def refine(spark: SparkSession, folders: Folders, name: str, validate: bool = True) -> DataFrame:
-    """Bronze to the cleaned Silver table."""
+    """Bronze to the cleaned Silver table.
+
+    The rows are cleaned once, into a staged table that the checks and the final write
+    read. Values that cleaning drops or lets pass are logged as warnings.
+    """
     source(name)
-    df = CLEANERS[name](read_table(spark, folders.bronze(name)))
-    if validate:
-        require_no_critical(run_checks(df, silver_checks(name)), name)
-    write_monthly(df, folders.silver(name))
+    raw = read_table(spark, folders.bronze(name))
+    if not validate:
+        write_monthly(CLEANERS[name](raw), folders.silver(name))
+        return read_table(spark, folders.silver(name))
+    report = input_report(raw, name)
+    for row in report.where(~F.col("passed")).collect() if report is not None else ():
+        log.warning("%s: %s: %s", name, row.check_name, row.message)
+    with staged_files(spark):
+        cleaned = stage_table(CLEANERS[name](raw), f"clean-{name}")
+        require_no_critical(run_checks(cleaned, silver_checks(name)), name)
+        write_monthly(cleaned, folders.silver(name))
     return read_table(spark, folders.silver(name))
 
 
 def refine_all(spark: SparkSession, folders: Folders, names: Sequence[str] = tuple(SOURCES)) -> None:
+    """Every source, side by side; all are tried, and failures are raised together at the end."""
+    tune(spark)
     failed = _each(names, lambda name: refine(spark, folders, name))
     if failed:
         raise ValueError(f"failed to clean {sorted(failed)}: {failed}")
@@ -179,19 +211,23 @@ def build_stores(
 ) -> tuple[DataFrame, DataFrame]:
     """(feature store, label store) from the four cleaned tables.
 
-    The joined frame is stored in the staging folder before and after the look-back:
-    the look-back reads its keys and dates apart from the rows, the exact quantiles
-    read a few columns several times, and neither should repeat the joins.
+    The joined frame is stored once in the staging folder: the exact quantiles read a
+    few columns several times and should not repeat the joins, and the number that ties
+    the rows of both stores together must not change.
     """
     labelled = financial_features(temporal_label_join(financials, loans, months, threshold))
     people = attribute_features(attributes)
     joined = join_attributes(labelled, people, loans, ["Age", "Occupation", "age_group"], months)
-    staged = require_rows(stage_table(joined, "joined"), f"no feature date has outcomes {months} months later")
     clicks = clean.clickstream_columns(clickstream)
     if clicks:
-        staged = stage_table(add_lookback(staged, clickstream, clicks), "gold")
-
-    numbers = numeric_columns(staged, LABEL_COLUMNS)
+        # The look-back needs keys and dates alone, so it doesn't wait for the joins.
+        dates = financials.select("Customer_ID", F.col("snapshot_date").alias(FEATURE_DATE)).distinct()
+        joined = joined.join(lookback(dates, clickstream, clicks), ["Customer_ID", FEATURE_DATE], "left")
+    # The number is given while the rows are stored, so both stores hold the same one.
+    numbered = joined.withColumn(ROW, F.monotonically_increasing_id())
+    staged = require_rows(stage_table(numbered, "gold"), f"no feature date has outcomes {months} months later")
+
+    numbers = numeric_columns(staged, (*LABEL_COLUMNS, ROW))
     caps, medians = fit_caps_and_medians(
         staged,
         [c for c in numbers if c not in NEVER_CAPPED],
@@ -205,10 +241,12 @@ def build_stores(
 
 def write_stores(spark: SparkSession, folders: Folders, **options) -> None:
     """Silver to the feature and label stores."""
+    tune(spark)
     silver = [read_table(spark, folders.silver(n)) for n in ("financials", "attributes", "clickstream", "loans")]
-    features, labels = build_stores(*silver, **options)
-    write_store(features, folders.gold("feature_store"))
-    write_store(labels, folders.gold("label_store"))
+    with staged_files(spark):
+        features, labels = build_stores(*silver, **options)
+        write_store(features, folders.gold("feature_store"))
+        write_store(labels, folders.gold("label_store"))
 
 
 def labelled_rows(spark: SparkSession, folders: Folders) -> DataFrame:
@@ -226,13 +264,26 @@ def train_models(
     algorithms: Sequence[str] = ALGORITHMS,
     parameters: Mapping[str, Mapping] | None = None,
     metric: str = "roc_auc",
+    categorical: Sequence[str] | None = None,
+    partitions: int | None = None,
+    strict: bool = True,
 ) -> Training:
-    """Fit all algorithms on the stores and save the best one."""
-    rows = stage_table(labelled_rows(spark, folders), "labelled")
-    trained = train_all(*temporal_split(rows, FEATURE_DATE, train, test), algorithms, parameters)
+    """Fit all algorithms on the stores and save the best one.
+
+    ``categorical`` names the text columns to encode; without it all of the store's are.
+    An algorithm that fails is an error after the others were fitted and the best was
+    saved, unless ``strict`` is off; the failures are in the result.
+    """
+    tune(spark)
+    with staged_files(spark):
+        rows = stage_table(labelled_rows(spark, folders), "labelled")
+        split = temporal_split(rows, FEATURE_DATE, train, test)
+        trained = train_all(*split, algorithms, parameters, categorical=categorical, partitions=partitions)
     best = trained.best(metric)
     numbers = {k: float(v) for k, v in best.items() if isinstance(v, (int, float))}
     save_model(spark, trained.models[best["model_name"]], folders.models, best["model_name"], timestamp, numbers, metric)
+    if strict and trained.failures:
+        raise ValueError(f"failed to train {sorted(trained.failures)}: {trained.failures}")
     return trained
 
 
@@ -240,6 +291,7 @@ def score_all(
     spark: SparkSession, folders: Folders, timestamp: str, start: str | None = None, end: str | None = None
 ) -> DataFrame:
     """Score the feature store, optionally within a date range, with the model saved last; stored."""
+    tune(spark)
     model, row = load_model(spark, folders.models)
     rows = in_date_range(read_store(spark, folders.gold("feature_store")), FEATURE_DATE, start, end)
     write_predictions(score(model, rows, timestamp, row["model_name"], row["version"]), folders.gold("predictions"))
@@ -254,7 +306,11 @@ def score_snapshot(spark: SparkSession, folders: Folders, timestamp: str, date:
 
 
 def monitor(spark: SparkSession, folders: Folders, unit: str = "month") -> dict[str, DataFrame]:
-    """Quality and drift per window, the two-halves report and the chart tables."""
+    """Quality and drift per window, the two-halves report with its quality, alerts, and the chart tables.
+
+    The tables are lazy and read frames in the staging folder; keep it until they are used.
+    """
+    tune(spark)
     joined = scored_join(labelled_rows(spark, folders), read_predictions(spark, folders.gold("predictions")))
     data = stage_table(joined, "scored")
     quality = stage_table(
@@ -265,10 +321,16 @@ def monitor(spark: SparkSession, folders: Folders, unit: str = "month") -> dict[
     write_csv(stability, folders.monitoring("stability_metrics"))
     first_half = data[FEATURE_DATE] <= median_date(data, FEATURE_DATE)
     reported = [c for c in data.columns if c not in NOT_REPORTED]
+    report = stage_table(drift_report(data, first_half), "report")
+    halves = data.withColumn("half", F.when(first_half, "reference").otherwise("current"))
     return {
+        "drift_summary": drift_summary(report),
+        "category_shares": category_shares(data, first_half, text_columns(data, NOT_REPORTED)),
+        "quality_by_half": performance(halves, "label", "prediction", "prediction_proba_1", ["half"], keep_counts=True),
+        "alerts": drift_alerts(quality, stability),
         "performance": quality,
         "stability": stability,
-        "drift_report": drift_report(data, first_half),
+        "drift_report": report,
         "missing_values": missing_values_report(data, first_half, reported),
         "target_shift": target_shift(data, first_half, "label"),
         "performance_long": performance_long(quality),

@@ -121,6 +121,13 @@ VIEWS = {
                o_orderpriority AS priority,
                CASE WHEN o_orderkey % 19 = 0 THEN NULL ELSE o_orderstatus END AS status
         FROM {orders}""",
+    # Loan rows by customer and month of order; many customers have several in a month.
+    "store_rows": """
+        SELECT l.l_orderkey * 10 + l.l_linenumber AS loan_id, o.o_custkey AS Customer_ID,
+               date_trunc('month', o.o_orderdate) AS feature_snapshot_date, l.l_extendedprice AS amount,
+               CASE WHEN l.l_returnflag = 'R' THEN 1 ELSE 0 END AS label,
+               CASE WHEN l.l_linenumber > 3 THEN 1 ELSE 0 END AS prediction, l.l_discount AS prediction_proba_1
+        FROM {lineitem} l JOIN {orders} o ON l.l_orderkey = o.o_orderkey""",
     "scored_docs": """
         SELECT d.doc_id, d.lang, l.quality AS label, CASE WHEN d.n_chars > 500 THEN 1 ELSE 0 END AS prediction,
                CAST(d.n_chars AS DOUBLE) AS score

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import contextlib
+import contextvars
 import functools
 import tempfile
 import uuid
@@ -28,8 +29,8 @@ def _test_folder() -> str:
     return tempfile.mkdtemp(prefix="monthglass-")
 
 
-#: Lists that take down the staged paths of the open `staged_files` blocks.
-_OPEN: list[list[str]] = []
+#: Lists that take down the staged paths of the `staged_files` blocks open in this context.
+_OPEN: contextvars.ContextVar[tuple[list[str], ...]] = contextvars.ContextVar("staged", default=())
 
 
 def staging_path(spark: SparkSession, name: str) -> str:
@@ -40,20 +41,24 @@ def staging_path(spark: SparkSession, name: str) -> str:
             raise ValueError(f"set {CHECKPOINT_KEY} to a folder that all executors share")
         base = _test_folder()
     path = f"{base.rstrip('/')}/monthglass/{name}-{uuid.uuid4().hex}"
-    for paths in _OPEN:
+    for paths in _OPEN.get():
         paths.append(path)
     return path
 
 
 @contextlib.contextmanager
 def staged_files(spark: SparkSession) -> Iterator[None]:
-    """Removes, at its end, the files staged inside; for stages that write their results elsewhere."""
+    """Removes, at its end, the files staged inside; for stages that write their results elsewhere.
+
+    Blocks of other threads are apart; a thread started inside belongs to the block if
+    it runs in a copy of this context.
+    """
     paths: list[str] = []
-    _OPEN.append(paths)
+    token = _OPEN.set((*_OPEN.get(), paths))
     try:
         yield
     finally:
-        _OPEN.remove(paths)
+        _OPEN.reset(token)
         hadoop = spark._jvm.org.apache.hadoop.fs
         for path in paths:
             at = hadoop.Path(path)
