@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.numeric import AGE_EDGES, AGE_LABELS, bin_right_closed, log1p_filled, safe_ratio
+from ..session import split_count
+from .running import BUCKET, add_running, sums_before
 
 # Keys, dropped and uncapped columns, and what each engineered column is made of.
 KEYS = ("Customer_ID", "feature_snapshot_date", "label_snapshot_date")
@@ -91,12 +93,26 @@ def one_hot(df: DataFrame, column: str, categories: Sequence[str]) -> DataFrame:
     return df.withColumns(hot).drop(column)
 
 
-def categories_of(df: DataFrame, column: str, most: int = 10_000) -> list[str]:
-    """The distinct values, sorted, for the names of new columns."""
-    rows = df.select(column).where(F.col(column).isNotNull()).distinct().limit(most + 1).collect()
-    if len(rows) > most:
-        raise ValueError(f"{column} has more than {most} categories; index it instead of widening the table")
-    return sorted(r[0] for r in rows)
+def category_index(df: DataFrame, column: str) -> DataFrame:
+    """(category, index): the distinct values numbered from 0 without gaps, however many there are.
+
+    They are numbered inside hash ranges, and the sizes of the earlier ranges are added;
+    the number depends on the set of values alone (and on the number of ranges).
+    """
+    ranges = split_count(df.sparkSession)
+    kinds = df.where(F.col(column).isNotNull()).select(F.col(column).alias("category")).distinct()
+    kinds = kinds.withColumn("_all", F.lit(0)).withColumn(BUCKET, F.pmod(F.xxhash64("category"), F.lit(ranges)).cast("int"))
+    sizes = kinds.groupBy("_all", BUCKET).agg(F.count(F.lit(1)).alias("n"))
+    numbered = add_running(
+        kinds.withColumn("n", F.lit(1)), sizes.select("_all", BUCKET, *sums_before(["_all"], ["n"])), ["_all"], "category", ["n"]
+    )
+    return numbered.select("category", (F.col("n_run") - 1).cast("bigint").alias("index"))
+
+
+def one_hot_sparse(df: DataFrame, column: str, index: DataFrame, into: str) -> DataFrame:
+    """The place of the row's only 1 in ``into``; NULL (all zeros) for NULL and unknown categories."""
+    known = index.select(F.col("category").alias("_category"), F.col("index").alias(into))
+    return df.join(known, F.col(column) == F.col("_category"), "left").drop("_category", column)
 
 
 def target_encode(df: DataFrame, train: DataFrame, column: str, target: str, into: str) -> DataFrame:

@@ -9,39 +9,30 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-# Snapshot dates come from a calendar; ten thousand days are 27 years.
-MAX_DATES = 10_000
+# Pieces that time is cut into, however many query dates there are.
+CUTS = 4096
 
 
 def _micros(c: str):
-    return F.unix_micros(F.col(c).cast("timestamp"))
+    return F.unix_micros(F.col(c).cast("timestamp")).cast("double")
 
 
-def _keep_reachable(
-    history: DataFrame, cuts: Sequence[int], key: str, date: str, order: Sequence[str], k: int
-) -> DataFrame:
-    """Drop history rows that no query date can reach.
-
-    The distinct query dates cut time into half-open pieces (previous, this]. Of
-    one key's rows inside one piece only the newest k can be among the newest k of
-    this or any later date. Spark applies the ``row_number <= k`` limit inside each
-    map task before the shuffle, so even a key holding a third of all rows sends at
-    most k rows per piece and task. The cut uses negated time because the pieces
-    are closed on the right.
+def _cut_points(pairs: DataFrame, query_date: str, cuts: int) -> list[float]:
+    """Query dates that divide them into pieces of about equal size: all of them, or evenly spread ones."""
+    times = pairs.select(_micros(query_date).alias("t")).where("t IS NOT NULL").distinct()
+    probs = [i / (cuts - 1) for i in range(cuts)]
+    return sorted(set(times.approxQuantile("t", probs, 1 / (2 * cuts))))
+
+
+def _in_pieces(df: DataFrame, date: str, points: Sequence[float]) -> DataFrame:
+    """``_piece``: time is cut into (previous point, this point]; a larger number is earlier.
+
+    The bucketizer's ranges are closed on the left, so the time is negated.
     """
-    splits = [float("-inf"), *sorted(-float(c) for c in cuts), float("inf")]
-    piece = Bucketizer(splits=splits, inputCol="_neg", outputCol="_piece")
-    dated = history.withColumn("_neg", (-_micros(date)).cast("double"))
-    newest = W.partitionBy(key, "_piece").orderBy(*[F.col(c).desc() for c in order])
-    return (
-        piece.transform(dated)
-        .withColumn("_piece", F.col("_piece").cast("int"))
-        # Piece 0 lies after the last query date.
-        .where(F.col("_piece") > 0)
-        .withColumn("_rn", F.row_number().over(newest))
-        .where(F.col("_rn") <= k)
-        .drop("_neg", "_piece", "_rn")
-    )
+    splits = [float("-inf"), *sorted(-p for p in points), float("inf")]
+    piece = Bucketizer(splits=splits, inputCol="_neg", outputCol="_at", handleInvalid="keep")
+    timed = piece.transform(df.withColumn("_neg", -_micros(date)))
+    return timed.withColumn("_piece", F.col("_at").cast("int")).drop("_neg", "_at")
 
 
 def lookback(
@@ -53,7 +44,7 @@ def lookback(
     date: str = "snapshot_date",
     tie_break: str | None = None,
     k: int = 6,
-    max_dates: int = MAX_DATES,
+    cuts: int = CUTS,
 ) -> DataFrame:
     """Mean, max and sum of each column over the k newest rows with ``date <= query_date``.
 
@@ -62,26 +53,45 @@ def lookback(
     dates are ordered by ``tie_break`` (the value columns where none is given), so
     the result does not depend on row order.
 
-    History and query rows are laid in one sequence per key, query rows after the
-    history rows of the same instant. The running number of history rows then gives
-    every query row a numeric frame that holds exactly its k newest rows, so there
-    is neither a range join nor a pair per history row.
+    Time is cut into pieces that end at query dates. Of one key's rows inside a piece
+    only the newest k matter to the date at its end and to all later pieces; Spark
+    applies that limit inside the map tasks, so a key holding a third of all rows sends
+    at most k rows per piece and task. What a piece needs of earlier ones is carried
+    into it: k rows per key and piece. Pieces with query dates before their end (with
+    more distinct dates than cut points) get all their rows as well. The look-back
+    itself runs inside (key, piece): history and query rows are laid in one sequence,
+    query rows after history rows of the same instant, and a numeric frame over the
+    running number of history rows picks the k newest. There is no range join, no pair
+    per history row, and no window over all rows of a key.
     """
     order = [date, *([tie_break] if tie_break else columns)]
     keep = list(dict.fromkeys([key, *order, *columns]))
     pairs = queries.select(key, query_date).where(F.col(key).isNotNull()).distinct()
+    points = _cut_points(pairs, query_date, cuts)
     past = history.select(*keep).where(F.col(key).isNotNull() & F.col(date).isNotNull())
-    dates = pairs.select(_micros(query_date).alias("t")).distinct().limit(max_dates + 1).collect()
-    cuts = [r.t for r in dates if r.t is not None]
-    if not cuts or len(dates) <= max_dates:
-        past = _keep_reachable(past, cuts or [0], key, date, order, k)
-
-    rows = past.withColumn("_is_query", F.lit(0)).unionByName(
-        pairs.select(key, F.col(query_date).alias(date), F.lit(1).alias("_is_query")), allowMissingColumns=True
+    past = _in_pieces(past, date, points).where(F.col("_piece") > 0)
+    asked = _in_pieces(pairs, query_date, points)
+    # One row per cut point, made here.
+    ends = pairs.sparkSession.createDataFrame([(p,) for p in points], "_end double")
+    asked = asked.join(F.broadcast(ends), _micros(query_date) == F.col("_end"), "left")
+    places = asked.groupBy(key, "_piece").agg(F.bool_or(F.col("_end").isNull()).alias("_inside"))
+
+    newest_first = W.partitionBy(key, "_piece").orderBy(*[F.col(c).desc() for c in order])
+    newest = past.withColumn("_rn", F.row_number().over(newest_first)).where(F.col("_rn") <= k).drop("_rn")
+    needed = newest.join(places.where("NOT _inside"), [key, "_piece"], "left_semi").unionByName(
+        past.join(places.where("_inside"), [key, "_piece"], "left_semi")
+    )
+    rows = (
+        _carried(newest, places, key, keep, order, k)
+        .unionByName(needed)
+        .withColumn("_is_query", F.lit(0))
+        .unionByName(
+            asked.select(key, "_piece", F.col(query_date).alias(date), F.lit(1).alias("_is_query")), allowMissingColumns=True
+        )
     )
-    in_time = W.partitionBy(key).orderBy(date, "_is_query", *order[1:]).rowsBetween(W.unboundedPreceding, 0)
+    in_time = W.partitionBy(key, "_piece").orderBy(date, "_is_query", *order[1:]).rowsBetween(W.unboundedPreceding, 0)
     numbered = rows.withColumn("_n", F.sum(1 - F.col("_is_query")).over(in_time))
-    frame = W.partitionBy(key).orderBy("_n").rangeBetween(-(k - 1), 0)
+    frame = W.partitionBy(key, "_piece").orderBy("_n").rangeBetween(-(k - 1), 0)
     found = numbered.select(
         key,
         F.col(date).alias(query_date),
@@ -100,6 +110,23 @@ def lookback(
     )
 
 
+def _carried(newest: DataFrame, places: DataFrame, key: str, keep: Sequence[str], order: Sequence[str], k: int) -> DataFrame:
+    """For each (key, piece) asked for, the k newest rows of earlier pieces.
+
+    ``newest`` holds at most k rows per key and piece, so one key has no more of them
+    than k times the number of pieces.
+    """
+    marks = places.select(key, "_piece", F.lit(1).alias("_mark"))
+    line = newest.withColumn("_mark", F.lit(0)).unionByName(marks, allowMissingColumns=True)
+    # From early to late; a piece's mark stands before its own rows.
+    along = W.partitionBy(key).orderBy(F.col("_piece").desc(), F.col("_mark").desc(), *order).rowsBetween(W.unboundedPreceding, 0)
+    line = line.withColumn("_n", F.sum(1 - F.col("_mark")).over(along))
+    frame = W.partitionBy(key).orderBy("_n").rangeBetween(-(k - 1), 0)
+    row = F.when(F.col("_mark") == 0, F.struct(*[c for c in keep if c != key]))
+    gathered = line.withColumn("_rows", F.collect_list(row).over(frame)).where("_mark = 1")
+    return gathered.select(key, "_piece", F.inline("_rows"))
+
+
 _FUNCTIONS = (("mean", F.avg), ("max", F.max), ("sum", F.sum))
 
 

@@ -12,21 +12,18 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.numeric import clip, safe_ratio
-from .running import BUCKET, range_of, unfold, with_ranges
+from .running import BUCKET, add_running, range_of, sums_before, unfold, value_splits, with_ranges
 
 
 # Half-width, as a share of the rows, of the range cut out around a wanted quantile.
 BRACKET = 0.0005
-# Ranges with more rows than this are cut again before their values are sorted.
-SORTABLE_ROWS = 50_000_000
 
 
 def order_statistics(
-    df: DataFrame, columns: Sequence[str], probs: Sequence[float], sortable: int = SORTABLE_ROWS
+    df: DataFrame, columns: Sequence[str], probs: Sequence[float]
 ) -> dict[str, list[tuple[float, float, float] | None]]:
     """(lower value, upper value, weight of the upper one) per column and quantile.
 
@@ -34,17 +31,17 @@ def order_statistics(
     ``percentile`` gathers all value counts of a column in one task. Here the search
     is narrowed instead: (1) a sketch gives two cut points closely around each wanted
     quantile, (2) one aggregate counts the rows of each range so made, which tells
-    the range holding each wanted rank, (3) a range that is still large is cut again
-    in the same way, and the others are counted by value and numbered, each in its
-    own window partition. The cut points only steer the work; a bad one makes a
-    range larger, never the result wrong. The driver sees a few numbers per column.
+    the range holding each wanted rank, (3) these ranges are cut finely, and their
+    values are counted and numbered inside the fine ranges. The cut points only steer
+    the work; a bad one makes a range larger, never the result wrong. The driver sees
+    a few numbers per column.
     """
     columns = list(columns)
     if not columns:
         return {}
     sizes, total = _range_sizes(df, {c: list(probs) for c in columns})
     ranks = {c: {r for q in probs if total[c] for r in _ranks(q, total[c])} for c in columns}
-    values = _values_at(sizes, ranks, sortable)
+    values = _values_at(sizes, ranks)
 
     def pick(c: str, q: float) -> tuple[float, float, float] | None:
         if not total[c]:
@@ -93,59 +90,36 @@ def _range_sizes(df: DataFrame, wanted: dict[str, list[float]]) -> tuple[_Ranges
     return _Ranges(wide, rows), {c: sum(n.values()) for c, n in rows.items()}
 
 
-def _values_at(
-    ranges: _Ranges, wanted: dict[str, set[int]], sortable: int
-) -> dict[tuple[str, int], float]:
-    """The value at each wanted rank of each column."""
+def _values_at(ranges: _Ranges, wanted: dict[str, set[int]]) -> dict[tuple[str, int], float]:
+    """The value at each wanted rank of each column.
+
+    Every wanted range becomes a column of its own, is cut into finer ranges, and its
+    values are counted and numbered inside those; counts of the earlier ones are added.
+    """
     inside: dict[tuple[str, int], dict[int, int]] = {}
     for c, ranks in wanted.items():
         for r in ranks:
             b, rest = ranges.locate(c, r)
             inside.setdefault((c, b), {})[rest] = r
-    small, large = {}, {}
-    for (c, b), ranks in inside.items():
-        n, whole = ranges.rows[c][b], sum(ranges.rows[c].values())
-        (large if sortable < n < whole else small)[c, b] = ranks
-
-    out: dict[tuple[str, int], float] = {}
-    for (c, b, rest), value in _sorted_values(ranges.wide, {k: set(v) for k, v in small.items()}).items():
-        out[c, small[c, b][rest]] = value
-    if large:
-        # Every large range becomes a column of its own, searched for the ranks inside it.
-        names = {(c, b): f"{c}__{b}" for c, b in large}
-        cut = ranges.wide.selectExpr(
-            *[f"if(`{range_of(c)}` = {b}, `{c}`, NULL) AS `{name}`" for (c, b), name in names.items()]
-        )
-        size = {names[k]: ranges.rows[k[0]][k[1]] for k in large}
-        sub, _ = _range_sizes(cut, {names[k]: [r / max(1, size[names[k]] - 1) for r in v] for k, v in large.items()})
-        deeper = _values_at(sub, {names[k]: set(v) for k, v in large.items()}, sortable)
-        for k, ranks in large.items():
-            for rest, r in ranks.items():
-                out[k[0], r] = deeper[names[k], rest]
-    return out
-
-
-def _sorted_values(wide: DataFrame, wanted: dict[tuple[str, int], set[int]]) -> dict[tuple[str, int, int], float]:
-    """Count the wanted ranges by value and number the values of each."""
-    if not wanted:
+    if not inside:
         return {}
-    ranges: dict[str, list[int]] = {}
-    for c, b in wanted:
-        ranges.setdefault(c, []).append(b)
-    # Values outside the wanted ranges become NULL before they are unfolded.
-    inside = unfold(
-        wide, {c: f"if(`{range_of(c)}` IN ({', '.join(map(str, bs))}), `{c}`, NULL)" for c, bs in ranges.items()}
+    names = {key: f"{key[0]}__{key[1]}" for key in inside}
+    # Values outside the wanted ranges are NULL and take no part.
+    cut = ranges.wide.selectExpr(
+        *[f"if(`{range_of(c)}` = {b}, `{c}`, NULL) AS `{name}`" for (c, b), name in names.items()]
     )
-    counted = inside.groupBy("feature", BUCKET, "value").agg(F.count(F.lit(1)).alias("n"))
-    along = W.partitionBy("feature", BUCKET).orderBy("value").rowsBetween(W.unboundedPreceding, 0)
-    numbered = counted.withColumn("upto", F.sum("n").over(along))
+    fine = with_ranges(cut, value_splits(cut, list(names.values())))
+    cells = unfold(fine, {name: f"`{name}`" for name in names.values()})
+    counts = cells.groupBy("feature", BUCKET, "value").agg(F.count(F.lit(1)).alias("n"))
+    sizes = counts.groupBy("feature", BUCKET).agg(F.sum("n").alias("n"))
+    numbered = add_running(counts, sizes.select("feature", BUCKET, *sums_before(["feature"], ["n"])), ["feature"], "value", ["n"])
     # A handful of rows made here: two ranks per column and quantile.
-    ranks = wide.sparkSession.createDataFrame(
-        [(c, b, r) for (c, b), rs in wanted.items() for r in sorted(rs)], f"feature string, {BUCKET} int, rank bigint"
-    )
-    covers = (F.col("upto") - F.col("n") <= F.col("rank")) & (F.col("rank") < F.col("upto"))
-    found = numbered.join(F.broadcast(ranks), ["feature", BUCKET]).where(covers)
-    return {(r.feature, r[BUCKET], r.rank): r.value for r in found.collect()}
+    asked = [(names[key], rank) for key, ranks in inside.items() for rank in sorted(ranks)]
+    ranks = cut.sparkSession.createDataFrame(asked, "feature string, rank bigint")
+    covers = (F.col("n_run") - F.col("n") <= F.col("rank")) & (F.col("rank") < F.col("n_run"))
+    found = numbered.join(F.broadcast(ranks), "feature").where(covers).collect()
+    values = {(r.feature, r.rank): r.value for r in found}
+    return {(c, r): values[names[c, b], rest] for (c, b), ranks in inside.items() for rest, r in ranks.items()}
 
 
 def interpolate(found: tuple[float, float, float] | None, lo: float | None = None, hi: float | None = None) -> float | None:

@@ -13,21 +13,20 @@ from pyspark.sql import functions as F
 from ..session import split_count
 
 BUCKET = "_bucket"
-# Cut points of all columns together; they travel inside the plan.
-MAX_SPLITS = 20_000
 
 
 def value_splits(df: DataFrame, columns: Sequence[str], n: int | None = None) -> dict[str, list[float]]:
     """Cut points that divide each column into ranges of about equal size.
 
     One sketch aggregate for all columns; the driver receives at most ``n`` numbers
-    per column. The cut points only balance the work, any choice gives the same
-    results. Returned as plain numbers they are literals of the later plans, so
-    every task, also one that is run again, cuts alike.
+    per column (as many as there are shuffle partitions, which is how the cluster is
+    told of the data's size). The cut points only balance the work, any choice gives
+    the same results. Being plain numbers, they make every task, also one that is run
+    again, cut alike.
     """
     if not columns:
         return {}
-    n = n or max(8, min(split_count(df.sparkSession), MAX_SPLITS // len(columns)))
+    n = n or split_count(df.sparkSession)
     probs = [i / n for i in range(1, n)]
     found = df.approxQuantile(list(columns), probs, 1.0 / (2 * n))
     return {c: sorted({float(x) for x in xs if math.isfinite(x)}) for c, xs in zip(columns, found)}

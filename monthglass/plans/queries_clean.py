@@ -584,7 +584,29 @@ _STATUSES = ("F", "O", "P")
 )
 def one_hot(spark, sf_dir):
     rows = view(spark, sf_dir, "scored_orders").select("Customer_ID", "status")
-    return ft.one_hot(rows, "status", ft.categories_of(rows, "status"))
+    return ft.one_hot(rows, "status", _STATUSES)
+
+
+@query(
+    "one_hot_sparse",
+    with_views(
+        "scored_orders",
+        body="""
+    SELECT count(*) AS n, count(DISTINCT customer_group) AS categories, 0 AS lowest, count(DISTINCT customer_group) - 1 AS highest,
+           count(*) - count(customer_group) AS without FROM scored_orders""",
+    ),
+)
+def one_hot_sparse(spark, sf_dir):
+    """Any number of categories as places; they are numbered without gaps."""
+    rows = view(spark, sf_dir, "scored_orders").select("Customer_ID", F.col("customer_group").cast("string").alias("g"))
+    hot = ft.one_hot_sparse(rows, "g", ft.category_index(rows, "g"), "place")
+    return hot.agg(
+        F.count(F.lit(1)).alias("n"),
+        F.count_distinct("place").alias("categories"),
+        F.min("place").cast("int").alias("lowest"),
+        F.max("place").alias("highest"),
+        F.count_if(F.col("place").isNull()).alias("without"),
+    )
 
 
 @query(

@@ -79,4 +79,4 @@ def stage_table(df: DataFrame, name: str) -> DataFrame:
 
 def split_count(spark: SparkSession) -> int:
     """How many value ranges a per-group running sum is cut into."""
-    return min(2048, max(8, int(spark.conf.get("spark.sql.shuffle.partitions"))))
+    return max(8, int(spark.conf.get("spark.sql.shuffle.partitions")))

@@ -85,8 +85,11 @@ def test_one_hot_and_target_encoding(spark):
     assert hot == {1: (1, 0), 2: (0, 1), 3: (0, 0), 4: (0, 0)}
     enc = {r.id: r.e for r in features.target_encode(df, df.where("id < 4"), "k", "y", "e").collect()}
     assert enc == {1: 1.0, 2: 0.0, 3: 1.0, 4: pytest.approx(2 / 3)}
-    with pytest.raises(ValueError):
-        features.categories_of(df, "k", most=2)
+    index = features.category_index(df, "k")
+    assert sorted(r["index"] for r in index.collect()) == [0, 1, 2]
+    places = {r.id: r.place for r in features.one_hot_sparse(df, "k", index, "place").collect()}
+    assert places[3] is None and sorted(p for p in places.values() if p is not None) == [0, 1, 2]
+    assert features.fill_category(df, ["k"], None).where("k IS NULL").count() == 1
 
 
 def test_input_report(spark):

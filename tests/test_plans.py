@@ -66,3 +66,16 @@ def test_checks_shuffle_the_keys_only(orders):
     exchanges = [line for line in text.splitlines() if "Exchange hashpartitioning" in line]
     assert len(exchanges) == 1 and "o_custkey" in exchanges[0] and "o_totalprice" not in exchanges[0]
     assert "ReadSchema: struct<o_custkey:bigint,o_orderdate:timestamp>" in text.replace("timestamp_ntz", "timestamp")
+
+
+def test_no_window_over_a_whole_range_of_a_quantile(spark, monkeypatch, orders):
+    """Values are numbered inside fine ranges of the range that holds the rank."""
+    from monthglass.operators import quantiles as qt
+
+    seen = []
+    collect = type(orders).collect
+    monkeypatch.setattr(type(orders), "collect", lambda self: seen.append(plan(self)) or collect(self))
+    qt.exact_quantiles(orders.select("o_totalprice"), ["o_totalprice"], [0.5])
+    windows = [line for text in seen for line in text.splitlines() if "Window [sum(n" in line]
+    assert windows and any("value" in w for w in windows)
+    assert all("_bucket" in w for w in windows)
