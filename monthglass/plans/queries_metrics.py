@@ -8,7 +8,6 @@ from ..operators import charts
 from ..operators import classify as cl
 from ..operators import drift as dr
 from ..operators.learn import temporal_split as split_rows
-from ..session import stage_table
 from .registry import query
 from .views import view, with_views
 
@@ -330,9 +329,31 @@ def _stability(spark, sf_dir):
     return dr.stability_over_time(_orders(spark, sf_dir), DATE, FEATURES)
 
 
-@query("stability_over_time", with_views("scored_orders", body=_STABILITY_SQL))
+def _scores_sql(name: str, scores: str) -> str:
+    """One column per feature from the scores of each window."""
+    columns = ", ".join(f"max(CASE WHEN feature = '{f}' THEN {name} END) AS {name}_{f}" for f in FEATURES)
+    return f"(SELECT w, {columns} FROM {scores} GROUP BY w)"
+
+
+_SCORE_COLUMNS = [f"{name}_{f}" for name in ("psi", "ks") for f in FEATURES]
+
+
+@query(
+    "stability_over_time",
+    with_views(
+        "scored_orders",
+        body=f"""
+    SELECT s.*, {", ".join(_SCORE_COLUMNS)} FROM ({_STABILITY_SQL.replace(", 4) AS", ", 6) AS")}) s
+    JOIN (SELECT w, min({DATE}) AS snapshot_date FROM {_MARKED} GROUP BY w) d USING (snapshot_date)
+    JOIN {_scores_sql("psi", _psi_sql(_MARKED, FEATURES))} USING (w)
+    JOIN {_scores_sql("ks", _ks_sql(_MARKED, FEATURES))} USING (w)""",
+    ),
+)
 def stability_over_time(spark, sf_dir):
-    return _round(_stability(spark, sf_dir).drop("psi_scores", "ks_scores"), _STABILITY_COLUMNS, 4)
+    """With the scores of each feature, from the maps, as columns."""
+    found = _stability(spark, sf_dir)
+    scores = {f"{name}_{f}": F.col(f"{name}_scores")[f] for name in ("psi", "ks") for f in FEATURES}
+    return _round(found.withColumns(scores).drop("psi_scores", "ks_scores"), [*_STABILITY_COLUMNS, *scores])
 
 
 @query(
@@ -522,9 +543,7 @@ def chart_sample_counts(spark, sf_dir):
     ),
 )
 def chart_stability_long(spark, sf_dir):
-    # Stored once: the chart reads the table six times.
-    stored = stage_table(_stability(spark, sf_dir), "stability")
-    return _round(charts.stability_long(stored), ["value"], 4)
+    return _round(charts.stability_long(_stability(spark, sf_dir)), ["value"], 4)
 
 
 @query(
