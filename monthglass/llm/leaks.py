@@ -69,12 +69,18 @@ class Functions:
         self.maybe[(self.anchor & U64((1 << 20) - 1)).astype(np.int64)] = True
 
 
-def functions(items: list[np.ndarray], rounds: int) -> Functions:
-    """`rounds` functions per item; the first step is drawn among the item's rarer words."""
+def holders(items: list[np.ndarray]) -> dict[int, int]:
+    """In how many items each word occurs."""
     held: dict[int, int] = {}
     for words in items:
         for w in np.unique(words).tolist():
             held[w] = held.get(w, 0) + 1
+    return held
+
+
+def functions(items: list[np.ndarray], rounds: int, held: dict[int, int] | None = None) -> Functions:
+    """`rounds` functions per item; the first step is drawn among the item's rarer words."""
+    held = holders(items) if held is None else held
     rows = []
     for k, words in enumerate(items):
         if not len(words):
@@ -190,9 +196,9 @@ def rounds_for(items: list[np.ndarray], share: float, recall: float, trials: int
     chosen = [chosen[i] for i in draw.permutation(len(chosen))[:sample]]
     if not chosen:
         return 1
-    f = functions(items, MOST)
+    f = functions([items[k] for k in chosen], MOST, holders(items))
     texts, owner = [], []
-    for k in chosen:
+    for at, k in enumerate(chosen):
         for _ in range(trials):
             w = items[k].tolist()
             for _ in range(allowed(len(w), share)):
@@ -200,7 +206,7 @@ def rounds_for(items: list[np.ndarray], share: float, recall: float, trials: int
                 new = int(draw.integers(1 << 62))
                 w = w[:i] + ([new] if kind == 0 else [new, w[i]] if kind == 1 else []) + w[i + 1 :]
             texts.append(np.array(w, U64))
-            owner.append(k)
+            owner.append(at)
     first = np.concatenate([[0], np.cumsum([len(t) for t in texts])])
     row, item, _, seed = collisions(np.concatenate(texts), first, f)
     earliest = np.full(len(texts), MOST)

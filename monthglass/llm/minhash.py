@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from ..session import stage_table
 from .components import connected
+from .names import fresh
 from .words import U64, mix, pieces, runs, seeds, strings, word_hashes
 
 MANTISSA = 10
@@ -373,7 +374,8 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col:
     estimate (four deviations below the threshold), or already connected.
 
     Empty and null texts are linked with nothing and kept. Rows with the same id stay
-    separate rows; a null id is never a component's label unless nothing else is in it
+    separate rows. A set is known by 64 bits of a hash of its shingles, which two of 10^9
+    different sets share with a chance of some percent. A null id is never a component's label unless nothing else is in it
     (then component_id is null and kept is true). group_id names the component where
     ids can't; it is null for empty texts. No rows give no rows. Other columns of
     ``docs`` are not looked at.
@@ -461,10 +463,11 @@ def keep_one(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str = "
     first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "text_hash")).alias("f")
     chosen = found.where("group_id is not null").groupBy("group_id").agg(first).select("f.doc_id", "f.text_hash", F.lit(True).alias("_one"))
     empty = found.where("group_id is null").select("doc_id", "text_hash", F.lit(False).alias("_one")).distinct()
-    stay = chosen.distinct().union(empty).select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), "_one")
+    ids, hashes, one, nth = fresh(docs, "_id", "_hash", "_one", "_nth")
+    stay = chosen.distinct().union(empty).select(F.col("doc_id").alias(ids), F.col("text_hash").alias(hashes), F.col("_one").alias(one))
     own_id, own_hash = F.col(f"`{id_col}`").cast("long"), F.xxhash64(F.col(f"`{text_col}`"))
-    kept = docs.join(stay, own_id.eqNullSafe(F.col("_id")) & (own_hash == F.col("_hash")))
+    kept = docs.join(stay, own_id.eqNullSafe(F.col(ids)) & (own_hash == F.col(hashes)))
     # Rows that agree in id and text meet here; they are one document.
-    number = F.row_number().over(Window.partitionBy("_id", "_hash").orderBy(F.lit(0)))
-    kept = kept.withColumn("_number", number).where(~F.col("_one") | (F.col("_number") == 1))
+    number = F.row_number().over(Window.partitionBy(ids, hashes).orderBy(F.lit(0)))
+    kept = kept.withColumn(nth, number).where(~F.col(one) | (F.col(nth) == 1))
     return kept.select([F.col(f"`{c}`") for c in docs.columns])

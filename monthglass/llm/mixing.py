@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import stage_table
+from .names import fresh
 from .words import U64, mix
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -164,13 +165,14 @@ def mix_sources(
 def copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **settings) -> DataFrame:
     """``docs`` with each row as often as the mix takes it, numbered from 1 in ``copy`` (replaced if there)."""
     mixed = mix_sources(docs, id_col=id_col, text_col=text_col, source_col=source_col, **settings)
+    ids, hashes, source, number = fresh(docs, "_id", "_hash", "_source", "_copies")
     mixed = mixed.where("copies > 0").select(
-        F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), F.col("source").alias("_source"), F.col("copies").alias("_copies")
+        F.col("doc_id").alias(ids), F.col("text_hash").alias(hashes), F.col("source").alias(source), F.col("copies").alias(number)
     )
     same = (
-        docs[id_col].cast("long").eqNullSafe(F.col("_id"))
-        & (F.xxhash64(docs[text_col]) == F.col("_hash"))
-        & docs[source_col].cast("string").eqNullSafe(F.col("_source"))
+        F.col(f"`{id_col}`").cast("long").eqNullSafe(F.col(ids))
+        & (F.xxhash64(F.col(f"`{text_col}`")) == F.col(hashes))
+        & F.col(f"`{source_col}`").cast("string").eqNullSafe(F.col(source))
     )
     kept = [F.col(f"`{c}`") for c in docs.columns if c != "copy"]
-    return docs.join(mixed.distinct(), same).select(*kept, F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies"))).alias("copy"))
+    return docs.join(mixed.distinct(), same).select(*kept, F.explode(F.sequence(F.lit(1).cast("long"), F.col(number))).alias("copy"))

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import stage_table
+from .names import fresh
 
 SIZE = 3
 BLANK = " \t\r\x0b\x0c"
@@ -55,13 +56,14 @@ def drop_repeated_windows(docs: DataFrame, id_col: str = "doc_id", text_col: str
     """
     windows = stage_table(line_windows(docs, id_col, text_col), "windows")
     cut = later_windows(windows).groupBy("doc_id", "text_hash").agg(F.collect_set("at").alias("late"))
-    cut = cut.select(F.col("doc_id").alias("_cut_id"), F.col("text_hash").alias("_cut_hash"), F.col("late").alias("_late"))
-    same = F.col(f"`{id_col}`").cast("long").eqNullSafe(F.col("_cut_id")) & (F.xxhash64(text_col) == F.col("_cut_hash"))
+    ids, hashes, late, made = fresh(docs, "_id", "_hash", "_late", "_made")
+    cut = cut.select(F.col("doc_id").alias(ids), F.col("text_hash").alias(hashes), F.col("late").alias(late))
+    same = F.col(f"`{id_col}`").cast("long").eqNullSafe(F.col(ids)) & (F.xxhash64(F.col(f"`{text_col}`")) == F.col(hashes))
     kept_columns = [c for c in docs.columns if c not in ("n_lines", "n_removed")]
-    out = docs.select([F.col(f"`{c}`") for c in kept_columns]).join(cut, same, "left").drop("_cut_id", "_cut_hash")
-    out = out.withColumn("_cut", F.pandas_udf(_cut_text, "text string, n_lines long, n_removed long")(F.col(f"`{text_col}`"), F.col("_late")))
-    filled = [F.col("_cut.text").alias(c) if c == text_col else F.col(f"`{c}`") for c in kept_columns]
-    return out.select(*filled, F.col("_cut.n_lines").alias("n_lines"), F.col("_cut.n_removed").alias("n_removed"))
+    out = docs.select([F.col(f"`{c}`") for c in kept_columns]).join(cut, same, "left").drop(ids, hashes)
+    out = out.withColumn(made, F.pandas_udf(_cut_text, "text string, n_lines long, n_removed long")(F.col(f"`{text_col}`"), F.col(late)))
+    filled = [F.col(made)["text"].alias(c) if c == text_col else F.col(f"`{c}`") for c in kept_columns]
+    return out.select(*filled, *[F.col(made)[c].alias(c) for c in ("n_lines", "n_removed")])
 
 
 def _cut_text(texts: pd.Series, lates: pd.Series) -> pd.DataFrame:

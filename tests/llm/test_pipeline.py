@@ -128,7 +128,7 @@ def test_edges(spark, tables):
     """Empty tables, repeated rows, null ids and extra columns go through every stage."""
     folder, rows, _ = tables
     text = next(t for _, t, *_ in rows if good(t))
-    schema = SCHEMA + ", copy string, key int, set_id string"
+    schema = SCHEMA + ", copy string, _id int, _made string"
     same = (7, text, "en", "s", len(text), "c", 1, "x")
     given = [same, same, (None, text, "en", "s", len(text), "c", 1, "x"), (None, None, None, None, None, None, None, None)]
     # Of the copies one keeps its lines; the row without id loses them, and empty texts stay.
