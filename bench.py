@@ -51,7 +51,8 @@ def stage_runs(spark: SparkSession):
     yield "stage_bronze", lambda: st.ingest_all(spark, folders)
     yield "stage_silver", lambda: st.refine_all(spark, folders)
     yield "stage_gold", lambda: st.write_stores(spark, folders)
-    yield "stage_train", lambda: st.train_models(spark, folders, stamp, None, None)
+    # A few thousand training rows: two partitions keep the learners' many small jobs short.
+    yield "stage_train", lambda: st.train_models(spark, folders, stamp, None, None, partitions=2)
     yield "stage_score", lambda: st.score_all(spark, folders, text)
     yield "stage_monitor", lambda: [consume(df) for df in st.monitor(spark, folders).values()]
 

@@ -134,9 +134,10 @@ def best_model(results: DataFrame, metric: str = "roc_auc") -> DataFrame:
 
 
 def label_distribution(df: DataFrame, label: str = "label") -> DataFrame:
+    """(label, n, share); the total is added up from the one row per label."""
     n = df.groupBy(label).agg(F.count(F.lit(1)).alias("n"))
-    total = df.agg(F.count(F.lit(1)).alias("total")).first().total
-    return n.withColumn("share", F.try_divide(F.col("n").cast("double"), F.lit(float(total))))
+    total = F.sum("n").over(W.partitionBy(F.lit(0)))
+    return n.withColumn("share", F.try_divide(F.col("n").cast("double"), total.cast("double")))
 
 
 def prediction_summary(df: DataFrame, date: str = "feature_snapshot_date") -> DataFrame:

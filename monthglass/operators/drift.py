@@ -340,12 +340,13 @@ def category_shares(df: DataFrame, is_ref: Column, columns: Sequence[str]) -> Da
         .groupBy("feature", "category")
         .agg(F.count_if(REF).alias("n_reference"), F.count_if(~F.col(REF)).alias("n_current"))
     )
-    # Every feature sees every row, so the two totals are the same for all of them.
-    totals = marked.agg(F.count_if(REF).alias("r"), F.count_if(~F.col(REF)).alias("c")).first()
-    share = lambda c, n: F.try_divide(F.col(c).cast("double"), F.lit(float(n)))
-    return counts.withColumns(
-        {"share_reference": share("n_reference", totals.r), "share_current": share("n_current", totals.c)}
-    ).withColumn("share_change", F.col("share_current") - F.col("share_reference"))
+    # One row per feature, from the counts: the rows are read once.
+    totals = counts.groupBy("feature").agg(F.sum("n_reference").alias("_r"), F.sum("n_current").alias("_c"))
+    share = lambda c, n: F.try_divide(F.col(c).cast("double"), F.col(n).cast("double"))
+    shared = counts.join(F.broadcast(totals), "feature").withColumns(
+        {"share_reference": share("n_reference", "_r"), "share_current": share("n_current", "_c")}
+    )
+    return shared.withColumn("share_change", F.col("share_current") - F.col("share_reference")).drop("_r", "_c")
 
 
 def categorical_psi(df: DataFrame, is_ref: Column, columns: Sequence[str]) -> DataFrame:

@@ -2,6 +2,8 @@ from datetime import datetime as dt
 
 import pytest
 
+from monthglass.operators.features import KEYS
+from monthglass.operators.temporal import feature_label_join
 from monthglass.plans import stages as st
 from monthglass.plans.views import view
 from monthglass.sources import stores, tables
@@ -144,7 +146,7 @@ def test_whole_run(spark, tmp_path):
 
     quick = {"logistic_regression": {"max_iter": [5]}, "random_forest": {"n_estimators": 3, "max_depth": [2]}}
     trained = st.train_models(
-        spark, folders, "20240101_000000", None, None, ["logistic_regression", "random_forest", "nope"], quick
+        spark, folders, "20240101_000000", None, None, ["logistic_regression", "random_forest", "nope"], quick, strict=False
     )
     assert set(trained.models) == {"logistic_regression", "random_forest"} and "nope" in trained.failures
     assert trained.best()["roc_auc"] == max(r["roc_auc"] for r in trained.results)
@@ -152,6 +154,14 @@ def test_whole_run(spark, tmp_path):
         (tn, fp), (fn, tp) = r["confusion_matrix"]
         assert tn + fp + fn + tp == r["test_samples"] and fn + tp == r["positive_class_count"]
 
+    with pytest.raises(ValueError, match="nope"):
+        st.train_models(spark, folders, "20240101_000000", None, None, ["logistic_regression", "nope"], quick)
+    features = stores.read_store(spark, folders.gold("feature_store"))
+    # Row by row, although keys repeat; on the keys alone each of k rows meets all k.
+    assert rows.count() == features.count() == stores.read_store(spark, folders.gold("label_store")).count()
+    by_key = feature_label_join(features, stores.read_store(spark, folders.gold("label_store")), by_key_only=True)
+    assert by_key.count() == features.groupBy(*KEYS).count().selectExpr("sum(count * count)").first()[0] > rows.count()
+
     scores = st.score_all(spark, folders, "2024-01-01 00:00:00")
     assert scores.count() == stores.read_store(spark, folders.gold("feature_store")).count()
     top = scores.first()
@@ -166,5 +176,9 @@ def test_whole_run(spark, tmp_path):
     n = out["performance"].count()
     assert out["stability"].count() == n == out["dashboard"].count()
     assert out["performance_long"].count() == 5 * n and out["stability_long"].count() == 6 * n
+    assert out["alerts"].count() == n and out["drift_summary"].first().features == out["drift_report"].count()
+    assert {r.half: r.n for r in out["quality_by_half"].collect()}.keys() == {"reference", "current"}
+    assert sum(r.n for r in out["quality_by_half"].collect()) == scores.count()
+    assert out["category_shares"].count() > 0
     assert out["drift_report"].where("kind = 'categorical'").count() > 0
     assert (tmp_path / "base" / "monitoring" / "performance_metrics" / "_SUCCESS").exists()
