@@ -9,7 +9,7 @@ from ..operators import validate as v
 from ..operators.clean import clean_attributes, clean_clickstream, clean_financials, clean_loans
 from ..session import staging_path
 from ..sources.registry import SourceSpec
-from ..sources.stores import read_predictions, write_predictions
+from ..sources.stores import read_csv, read_predictions, write_predictions
 from ..sources.tables import read_month, read_raw, read_table, write_monthly
 from .registry import query
 from .views import table, view, with_views
@@ -100,6 +100,20 @@ def predictions_roundtrip(spark, sf_dir):
     return read_predictions(spark, path)
 
 
+@query(
+    "predictions_csv",
+    with_views("scored_orders", body="SELECT Customer_ID, feature_snapshot_date, prediction, prediction_proba_1 FROM scored_orders"),
+)
+def predictions_csv(spark, sf_dir):
+    """The half written for people, read back with its types."""
+    path = staging_path(spark, "predictions")
+    columns = ["Customer_ID", "feature_snapshot_date", "prediction", "prediction_proba_1"]
+    rows = view(spark, sf_dir, "scored_orders").select(columns)
+    write_predictions(rows, path)
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema)
+    return read_csv(spark, f"{path}/csv", schema)
+
+
 def _typed(results: DataFrame, **details: str) -> DataFrame:
     """Check rows with some of their details as typed columns."""
     return results.select(

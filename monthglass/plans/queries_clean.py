@@ -176,7 +176,7 @@ def days_past_due(spark, sf_dir):
     SELECT * FROM (
       SELECT id AS Customer_ID, {_NUMBER_SQL.format('age_text')} AS Age, ssn_text AS SSN,
              CASE WHEN trim(placeholder_text) NOT IN ('_______', 'N/A', 'na', 'NA', '') THEN trim(placeholder_text) END AS Occupation,
-             CASE WHEN s NOT IN ('_______', '') THEN s END AS Name
+             CASE WHEN s NOT IN ('_______', '') THEN s END AS Name, CAST(date_text AS TIMESTAMP) AS snapshot_date
       FROM (SELECT *, regexp_replace(regexp_replace(spaced_text, '^\s+', ''), '\s+$', '') AS s FROM dirty_rows)
       WHERE ssn_text IS NULL OR regexp_matches(ssn_text, '^\d{{3}}-\d{{2}}-\d{{4}}$'))
     WHERE Age BETWEEN 18 AND 75""",
@@ -189,6 +189,7 @@ def clean_attributes(spark, sf_dir):
         F.col("ssn_text").alias("SSN"),
         F.col("placeholder_text").alias("Occupation"),
         F.col("spaced_text").alias("Name"),
+        F.col("date_text").alias("snapshot_date"),
     )
     return clean.clean_attributes(raw)
 
@@ -204,7 +205,8 @@ def clean_attributes(spark, sf_dir):
              price AS Outstanding_Debt,
              CASE WHEN placeholder_text NOT IN ('_', 'NA', 'na', 'N/A', '!@9#%8', '', ' ')
                   THEN trim(placeholder_text) END AS Credit_Mix,
-             duration_text AS Credit_History_Age, {_MONTHS_SQL} AS Credit_History_Age_Months
+             duration_text AS Credit_History_Age, {_MONTHS_SQL} AS Credit_History_Age_Months,
+             CAST(date_text AS TIMESTAMP) AS snapshot_date
       FROM dirty_rows)
     WHERE Annual_Income IS NULL OR Annual_Income BETWEEN 0 AND 10000000""",
     ),
@@ -216,6 +218,7 @@ def clean_financials(spark, sf_dir):
         F.col("price").alias("Outstanding_Debt"),
         F.col("placeholder_text").alias("Credit_Mix"),
         F.col("duration_text").alias("Credit_History_Age"),
+        F.col("date_text").alias("snapshot_date"),
     )
     return clean.clean_financials(raw)
 
@@ -224,12 +227,15 @@ def clean_financials(spark, sf_dir):
     "clean_clickstream",
     with_views(
         "dirty_rows",
-        body=f"SELECT id AS Customer_ID, {_NUMBER_SQL.format('number_text')} AS fe_1, price AS fe_2 FROM dirty_rows",
+        body=f"SELECT id AS Customer_ID, {_NUMBER_SQL.format('number_text')} AS fe_1, price AS fe_2, CAST(date_text AS TIMESTAMP) AS snapshot_date FROM dirty_rows",
     ),
 )
 def clean_clickstream(spark, sf_dir):
     raw = _dirty(spark, sf_dir).select(
-        F.col("id").alias("Customer_ID"), F.col("number_text").alias("fe_1"), F.col("price").alias("fe_2")
+        F.col("id").alias("Customer_ID"),
+        F.col("number_text").alias("fe_1"),
+        F.col("price").alias("fe_2"),
+        F.col("date_text").alias("snapshot_date"),
     )
     return clean.clean_clickstream(raw)
 

@@ -117,10 +117,11 @@ def ingest(
     """Raw CSV to the month-partitioned Bronze table.
 
     The text is parsed once, into a staged table; the checks and the final write read
-    that. ``columns`` declares the file's header and saves the job that looks it up.
+    that. ``columns`` (or the source's own) declares the file's header and saves the job
+    that looks it up; a file that differs fails.
     """
     spec = source(name)
-    raw = read_raw(spark, f"{folders.raw}/{spec.file}", columns=columns)
+    raw = read_raw(spark, f"{folders.raw}/{spec.file}", columns=columns or spec.columns)
     if not validate:
         write_monthly(clean.coerce_dates(raw, ["snapshot_date"]), folders.bronze(name))
         return read_table(spark, folders.bronze(name))

@@ -87,7 +87,8 @@ VIEWS = {
                     WHEN p_partkey % 8 = 2 THEN CAST(-p_size AS STRING)
                     ELSE CAST(10 + p_partkey % 80 AS STRING) END AS age_text,
                CASE WHEN p_partkey % 6 = 0 THEN NULL ELSE p_retailprice END AS price,
-               p_brand AS brand, p_type AS kind
+               p_brand AS brand, p_type AS kind,
+               concat('2023-0', CAST(1 + p_partkey % 9 AS STRING), '-01') AS date_text
         FROM {part}""",
     "part_numbers": """
         SELECT p_partkey AS id,

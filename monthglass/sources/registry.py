@@ -10,6 +10,8 @@ class SourceSpec:
     name: str
     file: str
     keys: tuple[str, ...]
+    #: The file's header, where it is agreed on; None takes the first file's.
+    columns: tuple[str, ...] | None = None
 
 
 # File names and keys of the four raw sources.
