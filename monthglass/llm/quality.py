@@ -162,7 +162,11 @@ def measure(docs: DataFrame, rules: Sequence[Rule] = RULES, sample: int = 512, t
                     took[k] += time.perf_counter() - began
         yield pa.RecordBatch.from_pydict({"k": list(range(len(rules))), "cost": [x / max(n, 1) for x in took], "share": [x / max(n, 1) for x in hits]})
 
-    chosen = docs.select(F.col(text_col).alias("text")).where("text is not null").orderBy(F.xxhash64("text")).limit(sample)
+    # A share of about four samples is drawn by hash first, so that few rows are ordered however large the table is.
+    share = min(1.0, 4 * sample / max(docs.count(), 1))
+    by_hash = F.xxhash64(*docs.columns[:1], F.col(text_col))
+    texts = docs.select(F.col(text_col).alias("text"), by_hash.alias("h")).where("text is not null")
+    chosen = texts.where(F.pmod("h", F.lit(1 << 30)) < share * (1 << 30)).orderBy("h").limit(sample).select("text")
     found = chosen.coalesce(1).mapInArrow(run, "k long, cost double, share double").groupBy("k").agg(F.max("cost"), F.max("share")).collect()
     return [(rules[k].name, cost, share) for k, cost, share in sorted(found)]
 
