@@ -143,7 +143,7 @@ RULES = (
 )
 
 
-def measure(docs: DataFrame, rules: Sequence[Rule] = RULES, sample: int = 512, text_col: str = "text") -> list[tuple[str, float, float]]:
+def measure(docs: DataFrame, rules: Sequence[Rule] = RULES, sample: int = 512, id_col: str = "doc_id", text_col: str = "text") -> list[tuple[str, float, float]]:
     """(rule, seconds per text, share rejected) on `sample` texts chosen by hash.
 
     One task works on the sample; one row per rule reaches the driver.
@@ -164,8 +164,8 @@ def measure(docs: DataFrame, rules: Sequence[Rule] = RULES, sample: int = 512, t
 
     # A share of about four samples is drawn by hash first, so that few rows are ordered however large the table is.
     share = min(1.0, 4 * sample / max(docs.count(), 1))
-    by_hash = F.xxhash64(*docs.columns[:1], F.col(text_col))
-    texts = docs.select(F.col(text_col).alias("text"), by_hash.alias("h")).where("text is not null")
+    by_hash = F.xxhash64(F.col(f"`{id_col}`"), F.col(f"`{text_col}`"))
+    texts = docs.select(F.col(f"`{text_col}`").alias("text"), by_hash.alias("h")).where("text is not null")
     chosen = texts.where(F.pmod("h", F.lit(1 << 30)) < share * (1 << 30)).orderBy("h").limit(sample).select("text")
     found = chosen.coalesce(1).mapInArrow(run, "k long, cost double, share double").groupBy("k").agg(F.max("cost"), F.max("share")).collect()
     return [(rules[k].name, cost, share) for k, cost, share in sorted(found)]
@@ -198,7 +198,7 @@ def quality_rules(docs: DataFrame, rules: Sequence[Rule] = RULES, sample: int =
     pass the base rules. A null or empty text has no words and so fails them. Rows
     are judged one by one: repeated ids, null ids and other columns change nothing.
     """
-    order = by_worth(rules, measure(docs, rules, sample, text_col))
+    order = by_worth(rules, measure(docs, rules, sample, id_col, text_col))
     names = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -217,9 +217,9 @@ def quality_rules(docs: DataFrame, rules: Sequence[Rule] = RULES, sample: int =
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, schema)
 
 
-def keep_good(docs: DataFrame, rules: Sequence[Rule] = RULES, sample: int = 512, text_col: str = "text") -> DataFrame:
+def keep_good(docs: DataFrame, rules: Sequence[Rule] = RULES, sample: int = 512, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that pass the base rules and the cascade, unchanged; nothing is shuffled."""
-    order = [*BASE, *by_worth(rules, measure(docs, rules, sample, text_col))]
+    order = [*BASE, *by_worth(rules, measure(docs, rules, sample, id_col, text_col))]
 
     def run(column: pd.Series) -> pd.Series:
         texts = pa.array(column, pa.string(), from_pandas=True)
