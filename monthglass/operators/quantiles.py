@@ -93,33 +93,33 @@ def _range_sizes(df: DataFrame, wanted: dict[str, list[float]]) -> tuple[_Ranges
 def _values_at(ranges: _Ranges, wanted: dict[str, set[int]]) -> dict[tuple[str, int], float]:
     """The value at each wanted rank of each column.
 
-    Every wanted range becomes a column of its own, is cut into finer ranges, and its
-    values are counted and numbered inside those; counts of the earlier ones are added.
+    Of each column the ranges that hold wanted ranks are kept, cut into finer ranges,
+    and their values are counted and numbered inside those; counts of the earlier ones
+    are added.
     """
-    inside: dict[tuple[str, int], dict[int, int]] = {}
+    kept: dict[str, list[int]] = {}
+    among: dict[tuple[str, int], int] = {}  # rank among the kept values -> rank among all
     for c, ranks in wanted.items():
-        for r in ranks:
-            b, rest = ranges.locate(c, r)
-            inside.setdefault((c, b), {})[rest] = r
-    if not inside:
+        found = {r: ranges.locate(c, r) for r in sorted(ranks)}
+        kept[c] = sorted({b for b, _ in found.values()})
+        for r, (b, rest) in found.items():
+            among[c, sum(ranges.rows[c][x] for x in kept[c] if x < b) + rest] = r
+    kept = {c: bs for c, bs in kept.items() if bs}
+    if not kept:
         return {}
-    names = {key: f"{key[0]}__{key[1]}" for key in inside}
-    # Values outside the wanted ranges are NULL and take no part.
+    # Values outside the kept ranges are NULL and take no part.
     cut = ranges.wide.selectExpr(
-        *[f"if(`{range_of(c)}` = {b}, `{c}`, NULL) AS `{name}`" for (c, b), name in names.items()]
+        *[f"if(`{range_of(c)}` IN ({', '.join(map(str, bs))}), `{c}`, NULL) AS `{c}`" for c, bs in kept.items()]
     )
-    fine = with_ranges(cut, value_splits(cut, list(names.values())))
-    cells = unfold(fine, {name: f"`{name}`" for name in names.values()})
-    counts = cells.groupBy("feature", BUCKET, "value").agg(F.count(F.lit(1)).alias("n"))
+    fine = with_ranges(cut, value_splits(cut, list(kept)))
+    counts = unfold(fine, {c: f"`{c}`" for c in kept}).groupBy("feature", BUCKET, "value").agg(F.count(F.lit(1)).alias("n"))
     sizes = counts.groupBy("feature", BUCKET).agg(F.sum("n").alias("n"))
     numbered = add_running(counts, sizes.select("feature", BUCKET, *sums_before(["feature"], ["n"])), ["feature"], "value", ["n"])
     # A handful of rows made here: two ranks per column and quantile.
-    asked = [(names[key], rank) for key, ranks in inside.items() for rank in sorted(ranks)]
-    ranks = cut.sparkSession.createDataFrame(asked, "feature string, rank bigint")
+    ranks = cut.sparkSession.createDataFrame(list(among), "feature string, rank bigint")
     covers = (F.col("n_run") - F.col("n") <= F.col("rank")) & (F.col("rank") < F.col("n_run"))
-    found = numbered.join(F.broadcast(ranks), "feature").where(covers).collect()
-    values = {(r.feature, r.rank): r.value for r in found}
-    return {(c, r): values[names[c, b], rest] for (c, b), ranks in inside.items() for rest, r in ranks.items()}
+    rows = numbered.join(F.broadcast(ranks), "feature").where(covers).collect()
+    return {(r.feature, among[r.feature, r.rank]): r.value for r in rows}
 
 
 def interpolate(found: tuple[float, float, float] | None, lo: float | None = None, hi: float | None = None) -> float | None:

@@ -221,8 +221,10 @@ def build_stores(
     joined = join_attributes(labelled, people, loans, ["Age", "Occupation", "age_group"], months)
     clicks = clean.clickstream_columns(clickstream)
     if clicks:
-        # The look-back needs keys and dates alone, so it doesn't wait for the joins.
-        dates = financials.select("Customer_ID", F.col("snapshot_date").alias(FEATURE_DATE)).distinct()
+        # The look-back needs the keys and dates with an outcome alone, so it doesn't wait for the wide joins.
+        keys = financials.select("Customer_ID", "snapshot_date")
+        dates = temporal_label_join(keys, loans, months, threshold, carry=()).select("Customer_ID", FEATURE_DATE).distinct()
+        dates = stage_table(dates, "dates")
         joined = joined.join(lookback(dates, clickstream, clicks), ["Customer_ID", FEATURE_DATE], "left")
     # The number is given while the rows are stored, so both stores hold the same one.
     numbered = joined.withColumn(ROW, F.monotonically_increasing_id())
