@@ -29,7 +29,7 @@ SAMPLED = 3  # steps in a hash function
 SPAN = 16  # steps that they lie within
 MOST = 64  # functions per item that the target recall may ask for
 ITEM_WORDS = 2_000_000  # words of the items that are compared with the texts in one pass
-MEET = 1 << 20  # walks followed at a time
+MEET = 1 << 17  # walks followed at a time
 
 
 def _bit(seed: np.ndarray, step: np.ndarray, word: np.ndarray) -> np.ndarray:
