@@ -11,24 +11,29 @@ from ..session import stage_table
 def connected(links: DataFrame) -> DataFrame:
     """(node, root) for every node of ``links(a, b)``; root is the component's smallest node.
 
-    Alternates two steps until nothing changes: each node hands its larger
-    neighbours, then its smaller ones, to the smallest node it knows. A node's
-    neighbours are never gathered in one row, only their minimum, which is added
-    up before the shuffle. Null ends and self links are ignored; no links give an
-    empty table.
+    Alternates two steps: each node hands its larger neighbours, then its smaller ones,
+    to the smallest node it knows. A node's neighbours are never gathered in one row,
+    only their minimum, which is added up before the shuffle. It ends when the links
+    are stars: each node hangs on one smaller node that itself hangs on none. Null ends
+    and self links are ignored; no links give an empty table.
     """
     edges = stage_table(
         links.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "links"
     )
-    state = None
     while True:
-        edges = stage_table(_towards_least(_towards_least(edges, True), False), "links")
-        now = edges.agg(F.count("*"), F.expr("bit_xor(xxhash64(u, v))")).first()
-        if now == state:
+        edges = stage_table(_towards_least(_towards_least(edges, True), False).distinct(), "links")
+        if _all_stars(edges):
             return edges.select(F.col("u").alias("node"), F.col("v").alias("root")).union(
                 edges.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct()
             )
-        state = now
+
+
+def _all_stars(edges: DataFrame) -> bool:
+    ends = edges.select(F.col("u").alias("node"), F.lit(1).alias("below"), F.lit(0).alias("above")).union(
+        edges.select("v", F.lit(0), F.lit(1))
+    )
+    seen = ends.groupBy("node").agg(F.sum("below").alias("below"), F.max("above").alias("above"))
+    return seen.where((F.col("below") > 1) | ((F.col("below") > 0) & (F.col("above") > 0))).isEmpty()
 
 
 def _towards_least(edges: DataFrame, larger: bool) -> DataFrame:
@@ -39,6 +44,6 @@ def _towards_least(edges: DataFrame, larger: bool) -> DataFrame:
     least = sides.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
     moved = sides.join(least, "u")
     if larger:
-        return moved.where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        return moved.where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
     rest = moved.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-    return rest.union(least.select("u", F.col("m").alias("v"))).distinct()
+    return rest.union(least.select("u", F.col("m").alias("v")))
