@@ -18,11 +18,11 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .batches import small_batches
 from .words import SYMBOLS, U64, mix, pieces, strings, word_hashes
 
 SAMPLED = 3  # steps in a hash function
@@ -250,7 +250,7 @@ def find_leaks(
     is never found. Null and empty texts hold nothing; rows with the same id are found
     one by one, a null id stays null. Items are read in blocks of a bounded size.
     """
-    plain = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    plain = small_batches(docs).select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     out = None
     for ids, words in item_blocks(items, item_col, item_text):
         run = _finder(ids, words, functions(words, rounds_for(words, share, recall)), share)
@@ -278,18 +278,19 @@ def _finder(ids: list[int], items: list[np.ndarray], f: Functions, share: float)
 
 def without_leaks(docs: DataFrame, items: DataFrame, share: float = 0.2, recall: float = 0.99, text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` whose text holds no item; all columns stay as they are, nothing is shuffled."""
+    small_batches(docs)
     for _, words in item_blocks(items):
         docs = docs.where(~_holds(words, functions(words, rounds_for(words, share, recall)), share)(F.col(f"`{text_col}`")))
     return docs
 
 
 def _holds(items: list[np.ndarray], f: Functions, share: float):
-    def run(column: pd.Series) -> pd.Series:
-        texts = pa.array(column, pa.string(), from_pandas=True)
+    def run(column: pa.Array) -> pa.Array:
+        texts = strings(column)
         out = np.zeros(len(texts), bool)
         for lo, hi in pieces(texts):
             words, first = word_hashes(texts, lo, hi, stops=SYMBOLS)
             out[[lo + r for r, _ in matches(words, first, items, f, share)]] = True
-        return pd.Series(out)
+        return pa.array(out)
 
-    return F.pandas_udf(run, "boolean")
+    return F.arrow_udf(run, "boolean")

@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import stage_table
+from .batches import small_batches
 from .components import connected
 from .names import fresh
 from .words import U64, mix, pieces, runs, seeds, strings, word_hashes
@@ -381,7 +382,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col:
     ``docs`` are not looked at.
     """
     shape = Shape(percent, words)
-    plain = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    plain = small_batches(docs).select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     plain = plain.withColumn("text_hash", F.xxhash64("text"))
     rows = stage_table(plain.mapInArrow(_signatures(shape), SIGNATURE), "signatures")
 

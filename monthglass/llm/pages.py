@@ -17,6 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .batches import small_batches
 from .names import fresh
 from .words import strings
 
@@ -389,6 +390,6 @@ def extract_text(pages: DataFrame, html_col: str = "html") -> DataFrame:
     made = F.pandas_udf(run, "title string, text string, n_lines long")(F.col(f"`{html_col}`"))
     kept = [c for c in pages.columns if c not in (html_col, "title", "text", "n_lines")]
     (name,) = fresh(pages, "_made")
-    return pages.select([F.col(f"`{c}`") for c in kept] + [made.alias(name)]).select(
+    return small_batches(pages).select([F.col(f"`{c}`") for c in kept] + [made.alias(name)]).select(
         [F.col(f"`{c}`") for c in kept] + [F.col(name)[c].alias(c) for c in ("title", "text", "n_lines")]
     )

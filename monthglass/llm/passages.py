@@ -16,6 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .batches import small_batches
 from .words import LOWER, SPACES, U64, hashed, mix, pieces, raw, strings, word_marks
 
 PASSAGE = 64  # words in a passage; a text's last one has what is left
@@ -194,7 +195,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, id_col: str
     known = known.where("y = y2 and l is not null").select("l", "y", F.xxhash64("l").alias("h"))
     share = min(1.0, 4 * sample / max(known.count(), 1))
     known = known.where(~held_out("l")).where(F.pmod("h", F.lit(1 << 30)) < share * (1 << 30)).orderBy("h", "l").limit(sample)
-    rows = docs.select(F.col(id_col).alias("d"), F.col(text_col).alias("text")).join(F.broadcast(known), F.col("d") == F.col("l")).select("h", "d", "text", "y")
+    rows = small_batches(docs).select(F.col(id_col).alias("d"), F.col(text_col).alias("text")).join(F.broadcast(known), F.col("d") == F.col("l")).select("h", "d", "text", "y")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -239,5 +240,5 @@ def score(docs: DataFrame, model: Attention, id_col: str = "doc_id", text_col: s
                 best = a[begin[:-1] + np.array(top, int)]
                 yield pa.RecordBatch.from_arrays([b.column("doc_id").slice(lo, hi - lo), pa.array(y), pa.array(np.diff(begin)), pa.array(top, pa.int64()), pa.array(best)], names=names)
 
-    plain = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    plain = small_batches(docs).select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     return plain.mapInArrow(run, "doc_id long, score double, n_passages long, top_passage long, top_weight double")

@@ -13,11 +13,11 @@ from dataclasses import dataclass, field
 from functools import cached_property
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .batches import small_batches
 from .words import SPACES, U64, hashed, mix, pieces, raw, strings, word_marks
 
 NEWLINE = np.zeros(256, bool)
@@ -198,7 +198,7 @@ def quality_rules(docs: DataFrame, rules: Sequence[Rule] = RULES, sample: int =
     pass the base rules. A null or empty text has no words and so fails them. Rows
     are judged one by one: repeated ids, null ids and other columns change nothing.
     """
-    order = by_worth(rules, measure(docs, rules, sample, id_col, text_col))
+    order = by_worth(rules, measure(small_batches(docs), rules, sample, id_col, text_col))
     names = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -219,11 +219,11 @@ def quality_rules(docs: DataFrame, rules: Sequence[Rule] = RULES, sample: int =
 
 def keep_good(docs: DataFrame, rules: Sequence[Rule] = RULES, sample: int = 512, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that pass the base rules and the cascade, unchanged; nothing is shuffled."""
-    order = [*BASE, *by_worth(rules, measure(docs, rules, sample, id_col, text_col))]
+    order = [*BASE, *by_worth(rules, measure(small_batches(docs), rules, sample, id_col, text_col))]
 
-    def run(column: pd.Series) -> pd.Series:
-        texts = pa.array(column, pa.string(), from_pandas=True)
+    def run(column: pa.Array) -> pa.Array:
+        texts = strings(column)
         out = [cascade(texts.slice(lo, hi - lo), order, np.ones(hi - lo, bool)) for lo, hi in pieces(texts)]
-        return pd.Series(np.concatenate(out) if out else np.zeros(0, bool))
+        return pa.array(np.concatenate(out) if out else np.zeros(0, bool))
 
-    return docs.where(F.pandas_udf(run, "boolean")(F.col(f"`{text_col}`")))
+    return docs.where(F.arrow_udf(run, "boolean")(F.col(f"`{text_col}`")))

@@ -20,6 +20,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .batches import small_batches
 from .words import strings
 
 #: The public splitting pattern of byte-level vocabularies, and its byte alphabet.
@@ -179,7 +180,7 @@ def token_counts(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: s
             sizes = [len(x.encode("utf-8", "surrogatepass")) for x in texts]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(map(count, texts), pa.int64())], names=names)
 
-    plain = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    plain = small_batches(docs).select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     return plain.mapInArrow(run, "doc_id long, n_bytes long, n_tokens long")
 
 
@@ -198,7 +199,7 @@ def token_marks(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: st
                 [batch.column("doc_id"), pa.array([f[0] for f in found], kind), pa.array([f[1] for f in found], kind)], names=["doc_id", "ends", "counts"]
             )
 
-    plain = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    plain = small_batches(docs).select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     return plain.mapInArrow(run, "doc_id long, ends array<long>, counts array<long>")
 
 
@@ -232,5 +233,5 @@ def prefix_counts(docs: DataFrame, path: str, id_col: str = "doc_id", text_col:
                 rows.append(row)
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(rows, pa.list_(pa.int64()))], names=["doc_id", "counts"])
 
-    plain = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    plain = small_batches(docs).select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     return plain.mapInArrow(run, "doc_id long, counts array<long>")

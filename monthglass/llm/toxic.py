@@ -16,6 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .batches import small_batches
 from .words import SYMBOLS, U64, pieces, strings, word_hashes
 
 SLOTS = 1 << 18  # hashed words
@@ -152,7 +153,7 @@ def train(docs: DataFrame, labels: DataFrame, categories: Mapping[str, str] = CA
     share = min(1.0, 4 * sample / max(known.count(), 1))
     known = known.where(F.pmod("h", F.lit(1 << 30)) < share * (1 << 30)).orderBy("h", "l").limit(sample)
     heads = ["h", "l", *(f"c{k}" for k in range(len(categories)))]
-    rows = docs.select(F.col(id_col).alias("d"), F.col(text_col).alias("text")).join(F.broadcast(known), F.col("d") == F.col("l")).select(*heads, "text")
+    rows = small_batches(docs).select(F.col(id_col).alias("d"), F.col(text_col).alias("text")).join(F.broadcast(known), F.col("d") == F.col("l")).select(*heads, "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -189,4 +190,4 @@ def score(docs: DataFrame, chain: Chain, id_col: str = "doc_id", text_col: str =
                 yield pa.RecordBatch.from_arrays([b.column("doc_id").slice(lo, hi - lo), *columns], names=names)
 
     schema = ", ".join(["doc_id long", *(f"`{c}` {'double' if c.startswith('p_') else 'boolean'}" for c in names[1:])])
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, schema)
+    return small_batches(docs).select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, schema)

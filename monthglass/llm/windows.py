@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import stage_table
+from .batches import small_batches
 from .names import fresh
 
 SIZE = 3
@@ -54,7 +55,7 @@ def drop_repeated_windows(docs: DataFrame, id_col: str = "doc_id", text_col: str
     is empty. Ties between documents without id are decided by the text's hash. Columns
     named n_lines or n_removed in the input are replaced.
     """
-    windows = stage_table(line_windows(docs, id_col, text_col), "windows")
+    windows = stage_table(line_windows(small_batches(docs), id_col, text_col), "windows")
     cut = later_windows(windows).groupBy("doc_id", "text_hash").agg(F.collect_set("at").alias("late"))
     ids, hashes, late, made = fresh(docs, "_id", "_hash", "_late", "_made")
     cut = cut.select(F.col("doc_id").alias(ids), F.col("text_hash").alias(hashes), F.col("late").alias(late))
