@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import stage_table
+from .batches import small_batches
 from .names import fresh
 from .words import U64, mix
 
@@ -115,7 +116,7 @@ def mix_sources(
     null sources are one source, the last; a null id is an id like others. A source
     without words has target 0 and its documents no copies. No rows give no rows.
     """
-    rows = docs.select(
+    rows = small_batches(docs).select(
         F.col(id_col).cast("long").alias("doc_id"),
         F.xxhash64(text_col).alias("text_hash"),
         F.col(source_col).cast("string").alias("source"),
