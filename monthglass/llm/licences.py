@@ -1,7 +1,7 @@
 """Licence scan: a positional index of rare words, in DataFrame functions only.
 
 Templates are short public licence notices. The index holds, for each word of a
-template that is rare enough in the corpus, its places in the templates. Of a text's
+template that is among its rarest in the corpus, its places in the templates. Of a text's
 licence words those with the highest IDF are looked up; places that stand at the same
 distance in the text and in a template support each other. A template with enough
 support is reported if its mandatory key phrases stand in the text as well. Plain
@@ -87,13 +87,17 @@ def document_frequency(texts: DataFrame, words: Sequence[str], text_col: str = "
     return found.pop("", 0), found
 
 
-def positional_index(df: Mapping[str, int], n: int, rare: float, templates=TEMPLATES) -> dict[str, tuple[float, list[tuple[int, int]]]]:
-    """word -> (idf, its (template, place) postings), for words in at most the share `rare` of the texts."""
+def positional_index(df: Mapping[str, int], n: int, kept: int, templates=TEMPLATES) -> dict[str, tuple[float, list[tuple[int, int]]]]:
+    """word -> (idf, its (template, place) postings), for the `kept` rarest words of each template.
+
+    However frequent a template's words are, its rarest ones are in the index.
+    """
     out: dict[str, tuple[float, list[tuple[int, int]]]] = {}
     for k, (text, _) in enumerate(templates.values()):
-        for place, w in enumerate(text.split()):
-            # On a handful of texts every word is common: a word of a template counts as rare up to 20 texts.
-            if df.get(w, 0) <= max(20, rare * n):
+        words = text.split()
+        own = sorted(set(words), key=lambda w: (df.get(w, 0), w))[:kept]
+        for place, w in enumerate(words):
+            if w in own:
                 out.setdefault(w, (math.log((n + 1) / (df.get(w, 0) + 1)), []))[1].append((k, place))
     return out
 
@@ -128,7 +132,7 @@ def scan(
     docs: DataFrame,
     templates: Mapping[str, tuple[str, Sequence[str]]] = TEMPLATES,
     phrases: Sequence[tuple[str, str]] = PHRASES,
-    rare: float = 0.05,
+    kept: int = 16,
     looked_up: int = 16,
     support: float = 0.6,
     id_col: str = "doc_id",
@@ -144,12 +148,14 @@ def scan(
     """
     vocab = vocabulary(templates)
     n, df = document_frequency(docs.select(F.col(text_col).alias("text")), vocab)
-    index = positional_index(df, n, rare, templates)
-    heads = sorted({p.split()[0] for p, _ in phrases})
+    index = positional_index(df, n, kept, templates)
+    heads = {p.split()[0] for p, _ in phrases}
+    # A template needs all its key phrases, hence the rarest word of any one of them.
+    needed = {min(keys[0].split(), key=lambda w: (df.get(w, 0), w)) for _, keys in templates.values()}
 
     plain = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     # Texts without any of the words that a finding needs are not looked at further.
-    anything = F.col("text").rlike("(?i)" + "|".join(sorted({*heads, *index})))
+    anything = F.col("text").rlike("(?i)" + "|".join(sorted(heads | needed)))
     listed = plain.select("doc_id", words_of(F.col("text")).alias("all"), F.coalesce(anything, F.lit(False)).alias("any"))
     nothing = F.array().cast("array<string>")
     listed = listed.select("doc_id", F.size("all").cast("long").alias("n_words"), F.when(F.col("any"), F.col("all")).otherwise(nothing).alias("words"))

@@ -49,6 +49,15 @@ def test_templates(spark):
     assert len(got[300].found) >= 3
 
 
+def test_notices_in_many_texts(spark):
+    """Notices that a third of the texts hold each, and one that all hold, are found in each of them."""
+    filler = [" ".join(f"w{i}x{j}" for j in range(5)) for i in range(90)]
+    for labels in (("bsd", "mpl-2.0", "unlicense"), ("isc",)):
+        rows = [(i, f"{f} {TEMPLATES[labels[i % len(labels)]][0]} {f}") for i, f in enumerate(filler)]
+        for x in scan(spark.createDataFrame(rows, "doc_id long, text string")).collect():
+            assert (x.labels, x.score) == (labels[x.doc_id % len(labels)], 1.0), x
+
+
 def test_edges(spark):
     none = spark.createDataFrame([], "doc_id long, text string")
     assert scan(none).count() == 0
