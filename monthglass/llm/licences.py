@@ -1,11 +1,11 @@
 """Licence scan: a positional index of rare words, in DataFrame functions only.
 
 Templates are short public licence notices. The index holds, for each word of a
-template that is among its rarest in the corpus, its places in the templates. Of a text's
-licence words those with the highest IDF are looked up; places that stand at the same
-distance in the text and in a template support each other. A template with enough
-support is reported if its mandatory key phrases stand in the text as well. Plain
-names (`PHRASES`) are found by themselves and always reported.
+template that is among its rarest in the corpus, its places in the templates. Where a
+template's mandatory key phrases stand in a text, all the text's words of its index are
+looked up; places that stand at the same distance in the text and in the template
+support each other, each by its word's IDF. A template with enough support is reported. Plain names (`PHRASES`)
+are found by themselves and always reported.
 """
 
 from __future__ import annotations
@@ -117,15 +117,18 @@ def _all(conditions: list[Column]) -> Column:
     return out
 
 
-def _longest_run(sorted_values: Column) -> Column:
-    """How often the most frequent value of a sorted array occurs."""
-    start = F.struct(F.lit(None).cast("int").alias("v"), F.lit(0).alias("run"), F.lit(0).alias("best"))
+def _heaviest_run(sorted_places: Column) -> Column:
+    """(weight, n) of the distance whose places weigh most; places are (d, weight) in the order of d."""
+    start = F.struct(F.lit(None).cast("int").alias("d"), *[F.lit(0).cast("long").alias(c) for c in ("weight", "n", "best", "best_n")])
 
     def step(acc, v):
-        run = F.when(acc["v"] == v, acc["run"] + 1).otherwise(F.lit(1))
-        return F.struct(v.alias("v"), run.alias("run"), F.greatest(acc["best"], run).alias("best"))
+        same = F.coalesce(acc["d"] == v["d"], F.lit(False))
+        weight, n = F.when(same, acc["weight"]).otherwise(F.lit(0)) + v["weight"], F.when(same, acc["n"]).otherwise(F.lit(0)) + 1
+        more = weight > acc["best"]
+        best, best_n = F.when(more, weight).otherwise(acc["best"]), F.when(more, n).otherwise(acc["best_n"])
+        return F.struct(v["d"].alias("d"), weight.alias("weight"), n.alias("n"), best.alias("best"), best_n.alias("best_n"))
 
-    return F.aggregate(sorted_values, start, step, lambda acc: acc["best"])
+    return F.aggregate(sorted_places, start, step, lambda acc: F.struct(acc["best"].alias("weight"), acc["best_n"].alias("n")))
 
 
 def scan(
@@ -133,7 +136,6 @@ def scan(
     templates: Mapping[str, tuple[str, Sequence[str]]] = TEMPLATES,
     phrases: Sequence[tuple[str, str]] = PHRASES,
     kept: int = 16,
-    looked_up: int = 16,
     support: float = 0.6,
     id_col: str = "doc_id",
     text_col: str = "text",
@@ -165,7 +167,7 @@ def scan(
     base = F.array_compact(F.array(*[F.when(F.size(f"p{k}") > 0, F.lit(label)) for k, (_, label) in enumerate(phrases)]))
     listed = listed.withColumn("places", places).withColumn("base", F.array_sort(F.array_distinct(base)))
 
-    found = _templates_found(listed, index, templates, looked_up, support)
+    found = _templates_found(listed, index, templates, support)
     labels = F.array_sort(F.array_distinct(F.concat("base", F.transform("found", lambda f: f["label"]))))
     best = F.coalesce(F.array_max(F.transform("found", lambda f: f["share"])), F.lit(0.0))
     return found.select(
@@ -179,37 +181,41 @@ def scan(
     )
 
 
-def _templates_found(listed: DataFrame, index, templates, looked_up: int, support: float) -> DataFrame:
-    """Adds found: the templates whose rare words stand in the text in their own order and distance."""
+def _templates_found(listed: DataFrame, index, templates, support: float) -> DataFrame:
+    """Adds found: the templates whose indexed words stand in the text in their own order and distance.
+
+    Templates whose key phrases are not all in the text are passed over before any posting
+    is met; for the others all hits of all their indexed words count.
+    """
     none = F.array().cast("array<struct<label:string,share:double>>")
     if not index:
         return listed.withColumn("found", none)
-    rarest = sorted(index, key=lambda w: (-index[w][0], w))
-    ranks = F.create_map(*[x for k, w in enumerate(rarest) for x in (F.lit(w), F.lit(k))])
-    at = F.transform(F.col("words"), lambda w, i: F.struct(F.when(w.isin(rarest), w).alias("w"), i.alias("i")))
-    held = listed.withColumn("hits", F.filter(at, lambda h: h["w"].isNotNull()))
-    # The text's own licence words, rarest first; the first few are looked up.
-    own = F.array_sort(F.array_distinct(F.transform("hits", lambda h: F.element_at(ranks, h["w"]))))
-    held = held.withColumn("own", F.slice(own, 1, looked_up)).withColumn(
-        "hits", F.transform("hits", lambda h: F.struct(F.element_at(ranks, h["w"]).alias("r"), h["i"].alias("i")))
-    )
-    held = held.withColumn("hits", F.filter("hits", lambda h: F.array_contains(F.col("own"), h["r"])))
-    postings = F.create_map(
-        *[x for k, w in enumerate(rarest) for x in (F.lit(k), F.array(*[F.struct(F.lit(t).alias("t"), F.lit(p).alias("p")) for t, p in index[w][1]]))]
-    )
-    offsets = F.flatten(F.transform("hits", lambda h: F.transform(F.element_at(postings, h["r"]), lambda q: F.struct(q["t"].alias("t"), (h["i"] - q["p"]).alias("d")))))
-    held = held.withColumn("offsets", offsets)
+    # No word holds a space, so the phrase between spaces is the phrase's words one after another.
+    spaced = listed.withColumn("spaced", F.concat(F.lit(" "), F.array_join("words", " "), F.lit(" ")))
+    keyed = [_all([F.contains(F.col("spaced"), F.lit(f" {' '.join(key.split())} ")) for key in keys]) for _, keys in templates.values()]
+    held = spaced.select("*", *[x.alias(f"k{k}") for k, x in enumerate(keyed)])
+    at = F.filter(F.transform(F.col("words"), lambda w, i: F.struct(w.alias("w"), i.alias("i"))), lambda h: h["w"].isin(sorted(index)))
+    any_key = F.array_contains(F.array(*[F.col(f"k{k}") for k in range(len(templates))]), True)
+    held = held.withColumn("hits", F.when(any_key, at).otherwise(F.array().cast("array<struct<w:string,i:int>>")))
     made = []
-    for k, (label, (text, keys)) in enumerate(templates.items()):
-        places = [(w, p) for w in index for t, p in index[w][1] if t == k]
-        if not places:
+    for k, label in enumerate(templates):
+        postings = {w: [p for t, p in found if t == k] for w, (_, found) in index.items()}
+        postings = {w: places for w, places in postings.items() if places}
+        if not postings:
             continue
-        ranked = sorted(rarest.index(w) for w, _ in places)
-        run = _longest_run(F.array_sort(F.transform(F.filter("offsets", lambda o: o["t"] == k), lambda o: o["d"])))
-        # What could be found at most: the template's places whose words were looked up.
-        within = F.size(F.filter(F.array(*map(F.lit, ranked)), lambda r: F.array_contains(F.col("own"), r)))
-        expected = F.greatest(within, F.lit(min(len(ranked), 2)))
-        share = run.cast("double") / expected
-        phrases = _all([F.size(_places(F.col("words"), key)) > 0 for key in keys])
-        made.append(F.when((F.size("offsets") > 0) & (run >= min(2, len(ranked))) & (share >= support) & phrases, F.struct(F.lit(label).alias("label"), F.least(share, F.lit(1.0)).alias("share"))))
+        # A word weighs as its IDF says, in thousandths; words that all texts hold count among themselves.
+        weigh = {w: max(1, round(1000 * index[w][0])) for w in postings}
+        at_ = lambda w, ps: F.array(*[F.struct(F.lit(p).alias("p"), F.lit(weigh[w]).cast("long").alias("weight")) for p in ps])  # noqa: B023, E731
+        places = F.create_map(*[x for w, ps in postings.items() for x in (F.lit(w), at_(w, ps))])
+        total = F.create_map(*[F.lit(x).cast("long") if isinstance(x, int) else F.lit(x) for w, ps in postings.items() for x in (w, weigh[w] * len(ps))])
+        own = F.filter("hits", lambda h: h["w"].isin(list(postings)))  # noqa: B023
+        held = held.withColumn(f"own{k}", F.when(F.col(f"k{k}"), own))
+        met = lambda h: F.transform(F.element_at(places, h["w"]), lambda q: F.struct((h["i"] - q["p"]).alias("d"), q["weight"].alias("weight")))  # noqa: B023, E731
+        held = held.withColumn(f"run{k}", F.when(F.col(f"k{k}"), _heaviest_run(F.sort_array(F.flatten(F.transform(f"own{k}", met))))))
+        # What could be found at most: the template's indexed places whose words stand in the text.
+        words = F.array_distinct(F.transform(f"own{k}", lambda h: h["w"]))
+        within = F.aggregate(words, F.lit(0).cast("long"), lambda n, w: n + F.element_at(total, w))  # noqa: B023
+        run, share = F.col(f"run{k}"), F.col(f"run{k}.weight").cast("double") / F.greatest(within, F.lit(1))
+        enough = (run["n"] >= min(2, sum(map(len, postings.values())))) & (share >= support)
+        made.append(F.when(enough, F.struct(F.lit(label).alias("label"), F.least(share, F.lit(1.0)).alias("share"))))
     return held.withColumn("found", F.array_compact(F.array(*made)) if made else none)

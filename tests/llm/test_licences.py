@@ -58,6 +58,17 @@ def test_notices_in_many_texts(spark):
             assert (x.labels, x.score) == (labels[x.doc_id % len(labels)], 1.0), x
 
 
+def test_all_notices_in_one_text(spark):
+    """A text that holds every notice gets every label, wherever the notices stand in it."""
+    joined = "\n".join(f"{t}\nother words {k} of and the use" for k, (t, _) in enumerate(TEMPLATES.values()))
+    other = " ".join(sorted({w for t, _ in TEMPLATES.values() for w in t.split()}))
+    rows = [(0, joined), (1, f"{other} {joined} {other}"), (2, other)]
+    got = {x.doc_id: x for x in scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for i in (0, 1):
+        assert set(TEMPLATES) <= set(got[i].labels.split(",")) and len(got[i].found) == len(TEMPLATES)
+    assert not got[2].labels and got[2].score == 0
+
+
 def test_edges(spark):
     none = spark.createDataFrame([], "doc_id long, text string")
     assert scan(none).count() == 0
