@@ -22,7 +22,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import stage_table
 from .batches import small_batches
+from .names import fresh
 from .words import SYMBOLS, U64, mix, pieces, strings, word_hashes
 
 SAMPLED = 3  # steps in a hash function
@@ -30,25 +32,34 @@ SPAN = 16  # steps that they lie within
 MOST = 64  # functions per item that the target recall may ask for
 ITEM_WORDS = 2_000_000  # words of the items that are compared with the texts in one pass
 MEET = 1 << 17  # walks followed at a time
+WALKED = 1 << 22  # steps of an item's walks that are held at a time
 
 
 def _bit(seed: np.ndarray, step: np.ndarray, word: np.ndarray) -> np.ndarray:
     return (mix(word ^ mix(seed * U64(1 << 20) + step)) & U64(1)).astype(np.int64)
 
 
-def embed(words: np.ndarray, seed: int, steps: int) -> np.ndarray:
-    """Place of the walk at each step; len(words) after its end."""
-    out = np.full(steps, len(words), np.int64)
-    bits = _bit(U64(seed), np.arange(steps, dtype=U64)[:, None], words[None, :]).tolist()
-    at = 0
-    for j, row in enumerate(bits):
-        if at >= len(words):
-            break
+def walks(words: np.ndarray, seeds: np.ndarray, steps: int) -> np.ndarray:
+    """(steps, walks): place of each seed's walk at each step; len(words) after its end.
+
+    Only the bit of the word stood on is taken at a step.
+    """
+    out = np.full((steps, len(seeds)), len(words), np.int64)
+    at = np.zeros(len(seeds), np.int64)
+    for j in range(steps if len(words) else 0):
         out[j] = at
-        at += row[at]
+        inside = at < len(words)
+        if not inside.any():
+            break
+        at = at + inside * _bit(seeds, U64(j), words[np.minimum(at, len(words) - 1)])
     return out
 
 
+def embed(words: np.ndarray, seed: int, steps: int) -> np.ndarray:
+    """Place of the walk at each step; len(words) after its end."""
+    return walks(words, np.array([seed], U64), steps)[:, 0]
+
+
 @dataclass
 class Functions:
     """Hash functions of all items, ordered by the word of their first sampled step."""
@@ -69,41 +80,39 @@ class Functions:
         self.maybe[(self.anchor & U64((1 << 20) - 1)).astype(np.int64)] = True
 
 
-def holders(items: list[np.ndarray]) -> dict[int, int]:
-    """In how many items each word occurs."""
-    held: dict[int, int] = {}
-    for words in items:
-        for w in np.unique(words).tolist():
-            held[w] = held.get(w, 0) + 1
-    return held
+def holders(items: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """The items' words in order, and in how many items each occurs."""
+    return np.unique(np.concatenate([np.unique(words) for words in items] or [np.zeros(0, U64)]), return_counts=True)
 
 
-def functions(items: list[np.ndarray], rounds: int, held: dict[int, int] | None = None) -> Functions:
+def functions(items: list[np.ndarray], rounds: int, held: tuple[np.ndarray, np.ndarray] | None = None) -> Functions:
     """`rounds` functions per item; the first step is drawn among the item's rarer words."""
-    held = holders(items) if held is None else held
-    rows = []
+    known, times = holders(items) if held is None else held
+    size = rounds * sum(len(words) > 0 for words in items)
+    anchor, item, seed, step, at = (np.zeros(size, kind) for kind in (U64, np.int64, U64, np.int64, np.int64))
+    later, value = np.zeros((size, SAMPLED - 1), np.int64), np.zeros((size, SAMPLED - 1), U64)
+    n = 0
     for k, words in enumerate(items):
         if not len(words):
             continue
-        common = np.array([held[w] for w in words.tolist()])
+        common = times[np.searchsorted(known, words)]
         rarer = common <= np.sort(common)[len(common) // 2]
+        steps = 3 * len(words)
+        some = max(1, WALKED // steps)
         for r in range(rounds):
+            if r % some == 0:
+                walked = walks(words, np.arange(r, min(r + some, rounds), dtype=U64), steps)
             draw = np.random.default_rng([len(words), int(words[0] & U64(0xFFFFFFFF)), r])
-            steps = 3 * len(words)
-            place = embed(words, r, steps)
+            place = walked[:, r % some]
             # Each place's last step: the next one stands on the next word.
             inside = np.flatnonzero(place < len(words))
             first = draw.choice(inside[rarer[place[inside]]])
             ahead = inside[(inside > first) & (inside <= first + SPAN) & (place[inside] > place[first])]
             take = np.sort(draw.choice(ahead, min(SAMPLED - 1, len(ahead)), replace=False)) if len(ahead) else np.zeros(0, np.int64)
-            later = np.zeros(SAMPLED - 1, np.int64)
-            value = np.zeros(SAMPLED - 1, U64)
-            later[: len(take)], value[: len(take)] = take, words[place[take]]
-            rows.append((words[place[first]], k, r, first, place[first], later, value))
-    columns = list(zip(*rows)) if rows else [[]] * 7
-    kinds = (U64, np.int64, U64, np.int64, np.int64)
-    flat = [np.array(c, kind) for c, kind in zip(columns, kinds)]
-    return Functions(*flat, np.array(columns[5], np.int64).reshape(-1, SAMPLED - 1), np.array(columns[6], U64).reshape(-1, SAMPLED - 1))
+            anchor[n], item[n], seed[n], step[n], at[n] = words[place[first]], k, r, first, place[first]
+            later[n, : len(take)], value[n, : len(take)] = take, words[place[take]]
+            n += 1
+    return Functions(anchor, item, seed, step, at, later, value)
 
 
 def collisions(words: np.ndarray, first: np.ndarray, f: Functions) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -215,8 +224,8 @@ def rounds_for(items: list[np.ndarray], share: float, recall: float, trials: int
     return int(min(MOST, np.sort(earliest)[min(len(texts) - 1, int(np.ceil(recall * len(texts))) - 1)] + 1))
 
 
-def item_blocks(items: DataFrame, id_col: str = "item_id", text_col: str = "text") -> Iterator[tuple[list[int], list[np.ndarray]]]:
-    """The items' ids and words, at most about ITEM_WORDS words at a time.
+def item_blocks(items: DataFrame, id_col: str = "item_id", text_col: str = "text") -> Iterator[tuple[list[int], list[np.ndarray], bool]]:
+    """The items' ids and words, at most about ITEM_WORDS words at a time, and whether more blocks follow.
 
     The size is measured first; items are dealt to blocks by hash, so each block is bounded.
     """
@@ -230,7 +239,7 @@ def item_blocks(items: DataFrame, id_col: str = "item_id", text_col: str = "text
         for lo, hi in pieces(texts):
             h, at = word_hashes(texts, lo, hi, stops=SYMBOLS)
             hashes += [h[x:y] for x, y in zip(at[:-1], at[1:])]
-        yield [r.id for r in rows], hashes
+        yield [r.id for r in rows], hashes, b < blocks - 1
 
 
 def find_leaks(
@@ -248,13 +257,15 @@ def find_leaks(
     A text holds an item if some part of it is within `share` of the item's words in
     edit distance. Words are letters and digits, A-Z made small; an item without words
     is never found. Null and empty texts hold nothing; rows with the same id are found
-    one by one, a null id stays null. Items are read in blocks of a bounded size.
+    one by one, a null id stays null. Items are read in blocks of a bounded size; a
+    block's matches are written before the next one is read.
     """
     plain = small_batches(docs).select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     out = None
-    for ids, words in item_blocks(items, item_col, item_text):
+    for ids, words, more in item_blocks(items, item_col, item_text):
         run = _finder(ids, words, functions(words, rounds_for(words, share, recall)), share)
         found = plain.mapInArrow(run, "doc_id long, item_id long, distance long, item_words long, first_word long")
+        found = stage_table(found, "leaks") if more else found
         out = found if out is None else out.union(found)
     return out
 
@@ -277,11 +288,27 @@ def _finder(ids: list[int], items: list[np.ndarray], f: Functions, share: float)
 
 
 def without_leaks(docs: DataFrame, items: DataFrame, share: float = 0.2, recall: float = 0.99, text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` whose text holds no item; all columns stay as they are, nothing is shuffled."""
+    """The rows of ``docs`` whose text holds no item; all columns stay as they are.
+
+    With one block of items nothing is shuffled. Of several, each but the last has the
+    hashes of the texts it was found in written before the next one is read.
+    """
     small_batches(docs)
-    for _, words in item_blocks(items):
-        docs = docs.where(~_holds(words, functions(words, rounds_for(words, share, recall)), share)(F.col(f"`{text_col}`")))
-    return docs
+    text = F.col(f"`{text_col}`")
+    keys = [F.xxhash64(text), F.xxhash64(F.lit(1), text)]
+    names = fresh(docs, "_key", "_key2")
+    found, out = None, docs
+    for _, words, more in item_blocks(items):
+        holds = _holds(words, functions(words, rounds_for(words, share, recall)), share)(text)
+        if more:
+            marks = stage_table(docs.where(holds).select(*[k.alias(n) for k, n in zip(keys, names)]).distinct(), "leaks")
+            found = marks if found is None else found.union(marks)
+        else:
+            out = out.where(~holds)
+    if found is None:
+        return out
+    same = [k == F.col(n) for k, n in zip(keys, names)]
+    return out.join(found.distinct(), same[0] & same[1], "left_anti")
 
 
 def _holds(items: list[np.ndarray], f: Functions, share: float):

@@ -2,10 +2,12 @@
 
 import random
 import re
+import tracemalloc
 
 import numpy as np
 import pytest
 
+from monthglass.llm import leaks
 from monthglass.llm.leaks import allowed, distance, embed, find_leaks, functions, without_leaks
 
 
@@ -79,6 +81,37 @@ def test_walk_moves_by_random_bits():
     assert len(functions([words[:5], words[:0], words[:1]], 4).anchor) == 8
 
 
+def test_long_items_need_little_memory():
+    words = np.arange(5000, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    tracemalloc.start()
+    place = embed(words, 5, 15000)
+    made = functions([words], 8)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 32 << 20 and len(made.anchor) == 8
+    at = 0
+    for j in range(300):
+        assert place[j] == at
+        at += int(leaks._bit(np.uint64(5), np.uint64(j), words[at : at + 1])[0])
+
+
+def test_blocks_are_found_one_after_another(spark, monkeypatch):
+    _, items = made(5, 30, 0)
+    docs = [(d, f"before {items[d % 30][1]} after" if d % 2 else f"nothing {d}") for d in range(120)] + [(None, None), (None, items[0][1])]
+    df = spark.createDataFrame([(d, t, "k") for d, t in docs], "doc_id long, text string, _key string").repartition(4)
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    monkeypatch.setattr(leaks, "ITEM_WORDS", 400)
+    blocks = [(len(ids), more) for ids, _, more in leaks.item_blocks(bench)]
+    assert len(blocks) > 2 and sum(n for n, _ in blocks) == 30 and [more for _, more in blocks] == [True] * (len(blocks) - 1) + [False]
+    out = find_leaks(df, bench)
+    # Only the last block is still to be searched; the others' matches are tables.
+    assert out._jdf.queryExecution().analyzed().toString().count("MapInArrow") == 1
+    got = {(x.doc_id, x.item_id): x.distance for x in out.collect()}
+    assert {x for x, far in got.items() if far == 0} == {(d, d % 30) for d, _ in docs if d and d % 2} | {(None, 0)}
+    kept = without_leaks(df, bench)
+    assert kept.columns == df.columns and sorted((str(x.doc_id), str(x.text)) for x in kept.collect()) == sorted((str(d), str(t)) for d, t in docs if not t or t.startswith("nothing"))
+
+
 @pytest.mark.parametrize("which", ["docs", "items", "both"])
 def test_empty_tables(spark, which):
     schema = "doc_id long, text string"
