@@ -69,7 +69,7 @@ class Functions:
     seed: np.ndarray
     step: np.ndarray  # number of the first step
     place: np.ndarray  # item place of the first step
-    later: np.ndarray  # (functions, SAMPLED - 1) steps after the first one, 0: none
+    later: np.ndarray  # (functions, SAMPLED - 1) steps after the first one, -1: none
     words: np.ndarray  # the item's words there
 
     def __post_init__(self):
@@ -90,7 +90,7 @@ def functions(items: list[np.ndarray], rounds: int, held: tuple[np.ndarray, np.n
     known, times = holders(items) if held is None else held
     size = rounds * sum(len(words) > 0 for words in items)
     anchor, item, seed, step, at = (np.zeros(size, kind) for kind in (U64, np.int64, U64, np.int64, np.int64))
-    later, value = np.zeros((size, SAMPLED - 1), np.int64), np.zeros((size, SAMPLED - 1), U64)
+    later, value = np.full((size, SAMPLED - 1), -1, np.int64), np.zeros((size, SAMPLED - 1), U64)
     n = 0
     for k, words in enumerate(items):
         if not len(words):

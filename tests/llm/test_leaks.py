@@ -95,6 +95,14 @@ def test_long_items_need_little_memory():
         at += int(leaks._bit(np.uint64(5), np.uint64(j), words[at : at + 1])[0])
 
 
+def test_every_function_finds_an_exact_copy():
+    """Also those of items of one to three words, which start at step 0 with fewer later steps."""
+    for n in (1, 2, 3, 9):
+        item = np.arange(7, 7 + n, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        row, _, begin, seed = leaks.collisions(item, np.array([0, n]), functions([item], 32))
+        assert set(seed.tolist()) == set(range(32)) and set(begin.tolist()) == {0}, n
+
+
 def test_blocks_are_found_one_after_another(spark, monkeypatch):
     _, items = made(5, 30, 0)
     docs = [(d, f"before {items[d % 30][1]} after" if d % 2 else f"nothing {d}") for d in range(120)] + [(None, None), (None, items[0][1])]
