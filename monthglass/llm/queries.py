@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..plans.registry import query
-from . import leaks, licences, minhash, mixing, pages, passages, quality, tokens, toxic, windows
+from . import leaks, licences, manifest, metric_join, minhash, mixing, pages, passages, quality, spelling, tokens, toxic, windows
+from .statements import MANIFEST, VARIANTS, VECTORS
 
 WORDS_SQL = "list_filter(regexp_split_to_array({}, '[\\x20\\x09-\\x0D]+'), lambda x: x <> '')"
 
@@ -137,3 +138,18 @@ def op10(spark, sf):
         "labels",
         "score",
     )
+
+
+@query("op11_metric_range_join", VECTORS)
+def op11(spark, sf):
+    return metric_join.near_vectors(table(spark, sf, "embeddings"))
+
+
+@query("op12_spelling_variants", VARIANTS)
+def op12(spark, sf):
+    return spelling.document_variants(table(spark, sf, "documents"))
+
+
+@query("op13_merkle_manifest", MANIFEST)
+def op13(spark, sf):
+    return manifest.verify_documents(table(spark, sf, "documents"))
