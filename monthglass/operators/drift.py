@@ -173,7 +173,12 @@ def _no_scores(marked: DataFrame, name: str) -> DataFrame:
 
 
 def ks(marked: DataFrame, ref: Reference, cells: Cells | None = None) -> DataFrame:
-    """(window, feature, ks): two-sample Kolmogorov-Smirnov distance of each window to the reference.
+    """(window, feature, ks): two-sample Kolmogorov-Smirnov distance of each window to the reference."""
+    return ks_samples(marked, ref, cells).select("window", "feature", "ks")
+
+
+def ks_samples(marked: DataFrame, ref: Reference, cells: Cells | None = None) -> DataFrame:
+    """(window, feature, ks, n_reference, n_current): the distance, and how many values each side has.
 
     Between two neighbouring values of a window its distribution function is flat
     while the reference's only grows, so the largest distance is found at a value of
@@ -183,7 +188,8 @@ def ks(marked: DataFrame, ref: Reference, cells: Cells | None = None) -> DataFra
     a value range plus the counts of the earlier ranges.
     """
     if not ref.edges:
-        return _no_scores(marked, "ks")
+        none = F.lit(0).cast("long")
+        return _no_scores(marked, "ks").withColumns({"n_reference": none, "n_current": none})
     cells = cells or unfold_cells(marked, {c: [] for c in ref.features} | value_splits(marked, ref.features))
     along_ranges = W.partitionBy("feature").orderBy(BUCKET).rangeBetween(W.unboundedPreceding, -1)
     offsets = (
@@ -212,7 +218,11 @@ def ks(marked: DataFrame, ref: Reference, cells: Cells | None = None) -> DataFra
     just_before = F.abs((r - F.col("ref_here")).cast("double") / rt - (c - F.col("n")).cast("double") / ct)
     return (
         curves.groupBy(WIN, "feature")
-        .agg(F.max(F.greatest(at, just_before)).alias("ks"))
+        .agg(
+            F.max(F.greatest(at, just_before)).alias("ks"),
+            F.max("ref_total").alias("n_reference"),
+            F.max("n_total").alias("n_current"),
+        )
         .withColumnRenamed(WIN, "window")
     )
 
@@ -334,7 +344,7 @@ def missing_values_report(df: DataFrame, is_ref: Column, columns: Sequence[str])
 def category_shares(df: DataFrame, is_ref: Column, columns: Sequence[str]) -> DataFrame:
     """(feature, category, n_reference, n_current, share change); NULL is a category of its own."""
     marked = df.withColumn(REF, F.coalesce(is_ref, F.lit(False)))
-    cells = [F.struct(F.lit(c).alias("feature"), F.col(c).alias("category")) for c in columns]
+    cells = [F.struct(F.lit(c).alias("feature"), F.col(c).cast("string").alias("category")) for c in columns]
     counts = (
         marked.select(REF, F.inline(F.array(*cells)))
         .groupBy("feature", "category")
@@ -351,7 +361,12 @@ def category_shares(df: DataFrame, is_ref: Column, columns: Sequence[str]) -> Da
 
 def categorical_psi(df: DataFrame, is_ref: Column, columns: Sequence[str]) -> DataFrame:
     """(feature, categories, psi) with categories as bins and the same +1 smoothing."""
-    shares = category_shares(df, is_ref, columns).select("feature", "n_reference", "n_current")
+    return categorical_psi_of(category_shares(df, is_ref, columns))
+
+
+def categorical_psi_of(shares: DataFrame) -> DataFrame:
+    """The same from counts (feature, n_reference, n_current), one row per category."""
+    shares = shares.select("feature", "n_reference", "n_current")
     k, nr, nc = F.col("k"), F.col("nr"), F.col("nc")
     totals = shares.groupBy("feature").agg(
         F.count(F.lit(1)).alias("k"), F.sum("n_reference").alias("nr"), F.sum("n_current").alias("nc")
@@ -379,6 +394,9 @@ def drift_report(
     if categories is None:
         categories = text_columns(df, NOT_REPORTED)
     marked = mark(df, is_ref, F.when(F.coalesce(is_ref, F.lit(False)), None).otherwise(F.lit("current")))
+    # Bounds, cut points, cells and categories read the stored columns, not the source.
+    df = stage_table(marked.select(REF, WIN, *dict.fromkeys([*features, *categories])), "halves")
+    marked, is_ref = df, F.col(REF) == 1
     ref = fit_reference(df.where(is_ref), features)
     cells = _shared_cells(marked, ref)
     numeric = psi(marked, ref, cells).join(ks(marked, ref, cells), ["window", "feature"]).select(

@@ -43,6 +43,7 @@ from ..operators.features import (
 from ..operators.learn import ALGORITHMS, Training, score, temporal_split, train_all
 from ..operators.lookback import lookback
 from ..operators.quantiles import apply_caps, apply_fill, fit_caps_and_medians
+from ..operators.shift_tests import all_tests, decide
 from ..operators.temporal import (
     FEATURE_DATE,
     exact_snapshot,
@@ -325,9 +326,13 @@ def monitor(spark: SparkSession, folders: Folders, unit: str = "month") -> dict[
     first_half = data[FEATURE_DATE] <= median_date(data, FEATURE_DATE)
     reported = [c for c in data.columns if c not in NOT_REPORTED]
     report = stage_table(drift_report(data, first_half), "report")
+    tests = stage_table(all_tests(data, first_half), "tests")
     halves = data.withColumn("half", F.when(first_half, "reference").otherwise("current"))
     return {
         "drift_summary": drift_summary(report),
+        "all_tests": tests,
+        "drift_tests": decide(tests),
+        "target_tests": decide(all_tests(data, first_half, [], ["label", "prediction"])),
         "category_shares": category_shares(data, first_half, text_columns(data, NOT_REPORTED)),
         "quality_by_half": performance(halves, "label", "prediction", "prediction_proba_1", ["half"], keep_counts=True),
         "alerts": drift_alerts(quality, stability),
