@@ -121,6 +121,44 @@ def train_gbt_deep(spark, sf_dir):
     return _result(spark, sf_dir, "lightgbm")
 
 
+# Labels that follow from the features: what a model that learned nothing can't tell.
+LEARNABLE = """(amount > 150000 AND priority IN ('1-URGENT', '2-HIGH')) OR (customer_group > 60 AND amount <= 250000)"""
+#: Area under the curve that each algorithm must reach on later months; a constant model has 0.5.
+LEAST_AREA = {"logistic_regression": 0.75, "random_forest": 0.97, "xgboost": 0.95, "lightgbm": 0.97}
+
+
+@query(
+    "models_learn",
+    with_views(
+        "scored_orders",
+        more={
+            "marked": f"SELECT feature_snapshot_date AS d, CASE WHEN {LEARNABLE} THEN 1 ELSE 0 END AS y FROM scored_orders",
+            "held": "SELECT y FROM marked WHERE epoch_us(d) > (SELECT quantile_cont(epoch_us(d), 0.7) FROM marked)",
+        },
+        body=" UNION ALL ".join(
+            f"SELECT '{n}' AS model_name, count(*) AS test_samples, CAST(sum(y) AS BIGINT) AS positive_class_count, TRUE AS learned, "
+            f"TRUE AS ranks_most_first FROM held"
+            for n in LEAST_AREA
+        ),
+    ),
+)
+def models_learn(spark, sf_dir):
+    """All algorithms on labels that the features decide; a weak or a constant model turns its row's marks to false."""
+    rows = view(spark, sf_dir, "scored_orders").withColumn("label", F.expr(f"CASE WHEN {LEARNABLE} THEN 1 ELSE 0 END"))
+    rows = stage_table(rows.select("Customer_ID", FEATURE_DATE, "label", "amount", "customer_group", "priority"), "learnable")
+    trained = ln.train_all(*ln.temporal_split(rows, FEATURE_DATE), list(LEAST_AREA), numeric=["amount", "customer_group"], categorical=["priority"])
+    least = F.element_at(F.create_map(*[F.lit(x) for pair in LEAST_AREA.items() for x in pair]), F.col("model_name"))
+    share = F.col("positive_class_count").cast("double") / F.col("test_samples")
+    return trained.results_frame(spark).select(
+        "model_name",
+        "test_samples",
+        "positive_class_count",
+        (F.col("roc_auc") >= least).alias("learned"),
+        # Average precision of a ranking at random is the share of positives.
+        (F.col("pr_auc") >= share + (1 - share) / 3).alias("ranks_most_first"),
+    )
+
+
 @query(
     "evaluate_model",
     with_views(
