@@ -29,7 +29,7 @@ def rows(spark, name):
 
 def test_one_query_per_operator():
     names = [re.match(r"op(\d+)_", q)[1] for q in entry.queries() if re.match(r"op\d+_", q)]
-    assert sorted(map(int, names)) == list(range(1, 11)) and "pipeline" in entry.queries()
+    assert sorted(map(int, names)) == list(range(1, 14)) and "pipeline" in entry.queries()
 
 
 def test_pages(spark):
