@@ -4,8 +4,10 @@ Templates are short public licence notices. The index holds, for each word of a
 template that is among its rarest in the corpus, its places in the templates. Where a
 template's mandatory key phrases stand in a text, all the text's words of its index are
 looked up; places that stand at the same distance in the text and in the template
-support each other, each by its word's IDF. A template with enough support is reported. Plain names (`PHRASES`)
-are found by themselves and always reported.
+support each other, each by its word's IDF. A template is reported if they hold enough of
+its whole indexed weight and at least half of its indexed places: a text that only
+mentions a licence, or holds its key phrase in other matters, is not marked. Plain names
+(`PHRASES`) are found by themselves and always reported.
 """
 
 from __future__ import annotations
@@ -207,15 +209,13 @@ def _templates_found(listed: DataFrame, index, templates, support: float) -> Dat
         weigh = {w: max(1, round(1000 * index[w][0])) for w in postings}
         at_ = lambda w, ps: F.array(*[F.struct(F.lit(p).alias("p"), F.lit(weigh[w]).cast("long").alias("weight")) for p in ps])  # noqa: B023, E731
         places = F.create_map(*[x for w, ps in postings.items() for x in (F.lit(w), at_(w, ps))])
-        total = F.create_map(*[F.lit(x).cast("long") if isinstance(x, int) else F.lit(x) for w, ps in postings.items() for x in (w, weigh[w] * len(ps))])
         own = F.filter("hits", lambda h: h["w"].isin(list(postings)))  # noqa: B023
         held = held.withColumn(f"own{k}", F.when(F.col(f"k{k}"), own))
         met = lambda h: F.transform(F.element_at(places, h["w"]), lambda q: F.struct((h["i"] - q["p"]).alias("d"), q["weight"].alias("weight")))  # noqa: B023, E731
         held = held.withColumn(f"run{k}", F.when(F.col(f"k{k}"), _heaviest_run(F.sort_array(F.flatten(F.transform(f"own{k}", met))))))
-        # What could be found at most: the template's indexed places whose words stand in the text.
-        words = F.array_distinct(F.transform(f"own{k}", lambda h: h["w"]))
-        within = F.aggregate(words, F.lit(0).cast("long"), lambda n, w: n + F.element_at(total, w))  # noqa: B023
-        run, share = F.col(f"run{k}"), F.col(f"run{k}.weight").cast("double") / F.greatest(within, F.lit(1))
-        enough = (run["n"] >= min(2, sum(map(len, postings.values())))) & (share >= support)
+        # Of the template's whole indexed weight, and of its indexed places, so a key phrase alone is not enough.
+        whole, n_places = sum(weigh[w] * len(ps) for w, ps in postings.items()), sum(map(len, postings.values()))
+        run, share = F.col(f"run{k}"), F.col(f"run{k}.weight").cast("double") / F.lit(float(whole))
+        enough = (run["n"] >= min(2, n_places)) & (2 * run["n"] >= n_places) & (share >= support)
         made.append(F.when(enough, F.struct(F.lit(label).alias("label"), F.least(share, F.lit(1.0)).alias("share"))))
     return held.withColumn("found", F.array_compact(F.array(*made)) if made else none)
