@@ -21,8 +21,8 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without later copies of three-line windows; n_chars follows the text."""
-    cut = windows.drop_repeated_windows(docs)
+    """Texts without later copies of three-line windows; n_chars follows the text. Documents that lose all their lines go."""
+    cut = windows.drop_repeated_windows(docs).where("n_removed = 0 OR n_removed < n_lines")
     changed = F.when(F.col("n_removed") > 0, F.length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType)
     return cut.withColumn("n_chars", changed).select(docs.columns)
 

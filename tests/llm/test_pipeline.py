@@ -64,6 +64,7 @@ def tables(spark, tmp_path_factory):
                 t[r.randrange(len(t))] = word()
             rows.append((d + 1, " ".join(t), "en", "s1", 0))
     rows += [(1001, None, None, None, None), (1002, "", "en", "s0", 0), (1003, "few words", "en", "s0", 0)]
+    rows.append((1004, next(t for _, t, *_ in rows if good(t) and t.count("\n") > 3), "en", "s0", 0))
     folder = str(tmp_path_factory.mktemp("pipeline"))
     spark.createDataFrame([(a, b, c, s, len(b) if b is not None else None) for a, b, c, s, _ in rows], SCHEMA).repartition(4).write.parquet(f"{folder}/documents.parquet")
     spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{folder}/benchmark.parquet")
@@ -88,8 +89,9 @@ def test_stages(spark, tables, tmp_path):
     assert {d: x.text for d, x in got.items()} == state and 40 < len(state) < len(rows) - 40
 
     docs, got = step("line_dedup", docs)
-    cut = {d: t for d, (t, _, _) in line_brute(list(state.items())).items()}
-    assert {d: x.text for d, x in got.items()} == cut and cut != state
+    # A document that lost all its lines goes.
+    cut = {d: t for d, (t, n, gone) in line_brute(list(state.items())).items() if not 0 < n == gone}
+    assert {d: x.text for d, x in got.items()} == cut and cut != state and len(cut) < len(state)
     assert all(x.n_chars == len(x.text) for x in got.values())
     state = cut
 
@@ -131,8 +133,8 @@ def test_edges(spark, tables):
     schema = SCHEMA + ", copy string, _id int, _made string"
     same = (7, text, "en", "s", len(text), "c", 1, "x")
     given = [same, same, (None, text, "en", "s", len(text), "c", 1, "x"), (None, None, None, None, None, None, None, None)]
-    # Of the copies one keeps its lines; the row without id loses them, and empty texts stay.
-    for rows_, left in (([], set()), (given, {(7, text), (None, "")})):
+    # Of the copies one keeps its lines; the row without id loses them all and goes.
+    for rows_, left in (([], set()), (given, {(7, text)})):
         docs = spark.createDataFrame(rows_, schema)
         for name, stage in corpus_pipeline.STAGES:
             docs = spark.createDataFrame(stage(spark, docs, folder).collect(), schema) if name != "mixing" else stage(spark, docs, folder)
