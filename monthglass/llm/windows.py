@@ -37,7 +37,8 @@ def later_windows(windows: DataFrame) -> DataFrame:
     """doc_id, text_hash, at of the windows that are not the first of their key.
 
     Counts and first places are added up before the shuffle, and only keys that occur
-    at two places are joined back; a key's windows never meet in one task.
+    at two places are joined back, each window with one row; a key with very many windows
+    is split by the join at run time.
     """
     place = F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "text_hash", "at")
     first = windows.groupBy("key", "key2").agg(F.min(place).alias("first"), F.max(place).alias("last")).where("first <> last")

@@ -114,6 +114,7 @@ def test_components(spark):
         p, q = sorted((root(a), root(b)))
         parent[q] = p
     df = spark.createDataFrame([*links, (None, 3), (7, 7)], "a long, b long")
-    got = {x.node: x.root for x in connected(df).collect()}
-    assert got == {x: root(x) for a, b in links if a != b for x in (a, b)}
+    for hub in (1, 40, 1000):
+        got = {x.node: x.root for x in connected(df, hub).collect()}
+        assert got == {x: root(x) for a, b in links if a != b for x in (a, b)}
     assert connected(df.limit(0)).count() == 0
