@@ -17,7 +17,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 from pyspark.sql import SparkSession  # noqa: E402
 
-from monthglass.plans import queries_checks, queries_clean, queries_drift, queries_metrics, queries_models  # noqa: E402, F401
+from monthglass.plans import queries_checks, queries_clean, queries_drift, queries_metrics, queries_models, queries_rejects  # noqa: E402, F401
 from monthglass.plans import stages as st  # noqa: E402
 from monthglass.plans.registry import QUERIES  # noqa: E402
 from monthglass.plans.views import view  # noqa: E402

@@ -97,7 +97,11 @@ def clean_attributes(
     out = filter_range(with_ages(df), "Age", age_min, age_max)
     if "SSN" in df.columns:
         out = filter_pattern(out, "SSN", ssn_pattern)
-    out = strip_columns(out, ["Occupation", "Name"])
+    return tidy_attributes(out)
+
+
+def tidy_attributes(df: DataFrame) -> DataFrame:
+    out = strip_columns(df, ["Occupation", "Name"])
     out = null_placeholders(out, ["Occupation"], OCCUPATION_NULLS)
     return null_placeholders(out, ["Name"], NAME_NULLS)
 
@@ -106,7 +110,11 @@ def with_amounts(df: DataFrame) -> DataFrame:
     """Known customers with placeholders as NULL and the amounts as numbers."""
     # The date is converted before the placeholders are looked at, so it is left alone.
     out = coerce_dates(df.na.drop(subset=["Customer_ID"]), ["snapshot_date"])
-    out = null_placeholders(out, out.columns, FINANCIAL_NULLS)
+    return amounts(out, out.columns)
+
+
+def amounts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    out = null_placeholders(df, columns, FINANCIAL_NULLS)
     return out.withColumns(
         {
             c: strip_non_numeric(F.col(c)) if _is_text(out, c) else finite(F.col(c).cast("double"))
@@ -119,7 +127,11 @@ def clean_financials(df: DataFrame, income_min: float = 0, income_max: float = 1
     out = with_amounts(df)
     if "Annual_Income" in out.columns:
         out = filter_range(out, "Annual_Income", income_min, income_max, keep_null=True)
-    out = strip_columns(out, FINANCIAL_CATEGORIES)
+    return tidy_financials(out)
+
+
+def tidy_financials(df: DataFrame) -> DataFrame:
+    out = strip_columns(df, FINANCIAL_CATEGORIES)
     if "Credit_History_Age" in out.columns:
         out = out.withColumn("Credit_History_Age_Months", parse_duration_months(F.col("Credit_History_Age")))
     return out
@@ -144,15 +156,18 @@ def add_days_past_due(
     date: str = "snapshot_date",
     overdue: str = "overdue_amt",
     into: str = "dpd",
+    first_of: DataFrame | None = None,
 ) -> DataFrame:
     """Days since the loan's first overdue snapshot; 0 before it and when there is none.
 
+    ``first_of`` gives the same rows from another plan, for the first dates.
+
     The first date is a partial aggregate (one row per overdue loan leaves each
     task) joined back, not a window over the loan: a loan with very many rows is
     then an ordinary skewed join side, which adaptive execution can split.
     """
     first = (
-        df.where(overdue_flag(F.col(overdue)) & F.col(loan).isNotNull())
+        (df if first_of is None else first_of).where(overdue_flag(F.col(overdue)) & F.col(loan).isNotNull())
         .groupBy(F.col(loan).alias("_loan"))
         .agg(F.min(date).alias("_first"))
     )

@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -244,19 +244,31 @@ def run_checks(df: DataFrame, checks: Sequence) -> DataFrame:
     One pass over the columns the checks read, and one over the keys that must be
     unique. A check that passed is reported at level ``warning`` whatever level it was given.
     """
+    plans, aggregates = _planned(df, checks)
+    stats = df.agg(*[a.alias(n) for n, a in aggregates.items()])
+    return _results(_with_keys(stats, df, plans), plans)
+
+
+def _planned(df: DataFrame, checks: Sequence) -> tuple[list[_Plan], dict[str, Column]]:
     plans = [_PLANNERS[type(c)](df, c, f"c{i}") for i, c in enumerate(checks)]
     aggregates = {"n_rows": F.count(F.lit(1))}
     for p in plans:
         aggregates.update(p.aggregates)
-    stats = df.agg(*[a.alias(n) for n, a in aggregates.items()])
+    return plans, aggregates
+
+
+def _with_keys(stats: DataFrame, df: DataFrame, plans: Sequence[_Plan]) -> DataFrame:
+    """The one row of sums, with the numbers of distinct keys of `df`."""
     counted = {n: columns for p in plans for n, columns in p.distinct.items()}
     for name, columns in counted.items():
         # NULL keys are one group, so they count as equal to each other.
         keys = df.groupBy(*[F.col(f"`{c}`") for c in columns]).agg(F.lit(1).alias("_one")).agg(F.count("_one").alias(name))
         stats = stats.unionByName(keys, allowMissingColumns=True)
-    if counted:
-        # Each part is one row with its own columns filled.
-        stats = stats.agg(*[F.max(c).alias(c) for c in stats.columns])
+    # Each part is one row with its own columns filled.
+    return stats.agg(*[F.max(c).alias(c) for c in stats.columns]) if counted else stats
+
+
+def _results(stats: DataFrame, plans: Sequence[_Plan]) -> DataFrame:
     rows = []
     for p in plans:
         pairs = [x for k, v in p.details.items() for x in (F.lit(k), v.cast("string"))]
@@ -273,6 +285,43 @@ def run_checks(df: DataFrame, checks: Sequence) -> DataFrame:
     return stats.select(F.inline(F.array(*rows)))
 
 
+@dataclass(frozen=True)
+class Watched:
+    """A frame whose next action also adds up what its checks need; see ``watch``."""
+
+    rows: DataFrame
+    seen: Observation
+    schema: T.StructType
+    plans: Sequence[_Plan]
+
+    def results(self, stored: DataFrame) -> DataFrame:
+        """As ``run_checks`` gives them; distinct keys are counted among the rows that the action stored."""
+        found = self.seen.get
+        stats = stored.sparkSession.createDataFrame([tuple(found[f.name] for f in self.schema)], self.schema)
+        micros = [f.name for f in self.schema if f.metadata.get("micros")]
+        stats = stats.withColumns({c: F.timestamp_micros(c) for c in micros})
+        return _results(_with_keys(stats, stored, self.plans), self.plans)
+
+
+def watch(df: DataFrame, checks: Sequence) -> Watched:
+    """The checks of ``run_checks`` as a by-product of an action on the frame, which must run once and in full.
+
+    All but the count of distinct keys: that is no sum, so it takes a pass over the key columns.
+    The frame must be of a session of its own, see ``session.apart``.
+    """
+    plans, aggregates = _planned(df, checks)
+    kinds = df.agg(*[a.alias(n) for n, a in aggregates.items()]).schema
+    fields, observed = [], []
+    for f in kinds:
+        when = isinstance(f.dataType, (T.TimestampType, T.TimestampNTZType, T.DateType))
+        value = aggregates[f.name]
+        # What is observed reaches the driver as plain numbers and text.
+        observed.append((F.unix_micros(value.cast("timestamp")) if when else value).alias(f.name))
+        fields.append(T.StructField(f.name, T.LongType() if when else f.dataType, True, {"micros": True} if when else {}))
+    seen = Observation()
+    return Watched(df.observe(seen, *observed), seen, T.StructType(fields), plans)
+
+
 def summarize(results: DataFrame) -> DataFrame:
     failed = ~F.col("passed")
     return results.agg(
@@ -284,11 +333,12 @@ def summarize(results: DataFrame) -> DataFrame:
     )
 
 
-def require_no_critical(results: DataFrame, what: str) -> None:
+def require_no_critical(results: DataFrame | Sequence, what: str) -> None:
     """Stop a stage when a critical check failed (``results`` has one row per check)."""
-    bad = results.where(~F.col("passed") & (F.col("level") == CRITICAL)).select("check_name", "message").collect()
+    rows = results.collect() if isinstance(results, DataFrame) else results
+    bad = [r for r in rows if not r.passed and r.level == CRITICAL]
     if bad:
-        raise ValueError(f"critical checks failed for {what}: " + "; ".join(f"{r[0]}: {r[1]}" for r in bad))
+        raise ValueError(f"critical checks failed for {what}: " + "; ".join(f"{r.check_name}: {r.message}" for r in bad))
 
 
 def bronze_checks(df: DataFrame, spec: SourceSpec, date_col: str = "snapshot_date") -> list:

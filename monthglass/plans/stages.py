@@ -11,7 +11,7 @@ from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import clean
@@ -43,6 +43,7 @@ from ..operators.features import (
 from ..operators.learn import ALGORITHMS, Training, score, temporal_split, train_all
 from ..operators.lookback import lookback
 from ..operators.quantiles import apply_caps, apply_fill, fit_caps_and_medians
+from ..operators.rejects import kept, reject_counts, rejected, tag
 from ..operators.shift_tests import all_tests, decide
 from ..operators.temporal import (
     FEATURE_DATE,
@@ -62,8 +63,9 @@ from ..operators.validate import (
     require_no_critical,
     run_checks,
     silver_checks,
+    watch,
 )
-from ..session import stage_table, staged_files, tune
+from ..session import apart, stage_table, staged_files, tune
 from ..sources.registry import SOURCES, source
 from ..sources.stores import (
     load_model,
@@ -74,7 +76,7 @@ from ..sources.stores import (
     write_predictions,
     write_store,
 )
-from ..sources.tables import read_raw, read_table, write_monthly
+from ..sources.tables import read_raw, read_table, write_monthly, write_rejects
 
 log = logging.getLogger(__name__)
 
@@ -101,6 +103,12 @@ class Folders:
     def silver(self, name: str) -> str:
         return f"{self.base}/silver/{name}_clean"
 
+    def torn(self, name: str) -> str:
+        return f"{self.base}/bronze/{name}_rejected"
+
+    def rejected(self, name: str) -> str:
+        return f"{self.base}/silver/{name}_rejected"
+
     def gold(self, name: str) -> str:
         return f"{self.base}/gold/{name}"
 
@@ -112,24 +120,46 @@ class Folders:
         return f"{self.base}/monitoring/{name}"
 
 
+LINE = "_line"
+
+
 def ingest(
-    spark: SparkSession, folders: Folders, name: str, validate: bool = True, columns: Sequence[str] | None = None
+    spark: SparkSession,
+    folders: Folders,
+    name: str,
+    validate: bool = True,
+    columns: Sequence[str] | None = None,
+    reject_lines: bool = False,
 ) -> DataFrame:
     """Raw CSV to the month-partitioned Bronze table.
 
-    The text is parsed once, into a staged table; the checks and the final write read
-    that. ``columns`` (or the source's own) declares the file's header and saves the job
-    that looks it up; a file that differs fails.
+    The text is parsed once, into a staged table, and the same pass adds up what the checks
+    need; the keys are counted among, and the table is written from, the staged rows.
+    ``columns`` (or the source's own) declares the file's header and saves the job that looks
+    it up; a file that differs fails. With ``reject_lines`` lines with too few or too many
+    cells go to a table beside the Bronze one instead of being filled up or cut.
     """
     spec = source(name)
-    raw = read_raw(spark, f"{folders.raw}/{spec.file}", columns=columns or spec.columns)
+    raw = read_raw(apart(spark), f"{folders.raw}/{spec.file}", columns=columns or spec.columns, line=LINE if reject_lines else None)
+    whole, torn = raw, Observation()
+    if reject_lines:
+        counted = raw.observe(torn, F.count(LINE).alias("n"))
+        whole = counted.where(F.col(LINE).isNull()).drop(LINE)
     if not validate:
-        write_monthly(clean.coerce_dates(raw, ["snapshot_date"]), folders.bronze(name))
-        return read_table(spark, folders.bronze(name))
-    with staged_files(spark):
-        parsed = stage_table(raw, f"raw-{name}")
-        require_no_critical(run_checks(parsed, bronze_checks(parsed, spec)), name)
-        write_monthly(clean.coerce_dates(parsed, ["snapshot_date"]), folders.bronze(name))
+        write_monthly(clean.coerce_dates(whole, ["snapshot_date"]), folders.bronze(name))
+    else:
+        with staged_files(spark):
+            watched = watch(whole, bronze_checks(whole, spec))
+            parsed = stage_table(watched.rows, f"raw-{name}")
+            require_no_critical(watched.results(parsed), name)
+            write_monthly(clean.coerce_dates(parsed, ["snapshot_date"]), folders.bronze(name))
+    if reject_lines:
+        n = torn.get["n"]
+        if n:
+            log.warning("%s: %s lines with too few or too many cells removed", name, n)
+        cells = F.to_json(F.struct(*[F.col(f"`{c}`") for c in raw.columns if c != LINE]))
+        lines = raw.where(F.col(LINE).isNotNull()).select(F.lit("malformed line").alias("rule"), F.col(LINE).alias("value"), cells.alias("row"))
+        write_rejects(lines if n else None, spark, folders.torn(name))
     return read_table(spark, folders.bronze(name))
 
 
@@ -156,7 +186,7 @@ def ingest_all(spark: SparkSession, folders: Folders, names: Sequence[str] = tup
 
 
 def input_report(df: DataFrame, name: str) -> DataFrame | None:
-    """Warnings about the values cleaning will drop, or let pass; None where there is nothing to check."""
+    """Checks of the values that cleaning drops, or lets pass, in a pass of their own; None where there is nothing to check."""
     if name == "attributes":
         ages = clean.with_ages(df)
         report = run_checks(ages, [InRange("Age", 18, 75, WARNING)])
@@ -172,24 +202,44 @@ def input_report(df: DataFrame, name: str) -> DataFrame | None:
     return None
 
 
+def range_warnings(df: DataFrame, name: str) -> list:
+    """Checks of values that cleaning lets pass."""
+    first = clean.clickstream_columns(df)[:1] if name == "clickstream" else []
+    return [InRange(c, -1000, 10_000, WARNING) for c in first]
+
+
 def refine(spark: SparkSession, folders: Folders, name: str, validate: bool = True) -> DataFrame:
-    """Bronze to the cleaned Silver table.
+    """Bronze to the cleaned Silver table, and the rows that cleaning removed to a table beside it.
 
-    The rows are cleaned once, into a staged table that the checks and the final write
-    read. Values that cleaning drops or lets pass are logged as warnings.
+    One pass cleans the rows into a staged table and adds up what the checks need and how
+    many rows each rule removed; only where there are some are they read again and
+    written, with rule, value and the row as it was. What is removed or out of range is
+    logged as a warning. Without validation nothing is counted, and a date that can't be
+    read makes the job fail.
     """
     source(name)
-    raw = read_table(spark, folders.bronze(name))
+    raw = read_table(apart(spark), folders.bronze(name))
     if not validate:
         write_monthly(CLEANERS[name](raw), folders.silver(name))
         return read_table(spark, folders.silver(name))
-    report = input_report(raw, name)
-    for row in report.where(~F.col("passed")).collect() if report is not None else ():
-        log.warning("%s: %s: %s", name, row.check_name, row.message)
+    tagged, removed = tag(raw, name), Observation()
+    counts = reject_counts(raw, name)
+    counted = tagged.observe(removed, *[n.alias(f"r{i}") for i, n in enumerate(counts.values())])
     with staged_files(spark):
-        cleaned = stage_table(CLEANERS[name](raw), f"clean-{name}")
-        require_no_critical(run_checks(cleaned, silver_checks(name)), name)
+        clean_rows = kept(tagged, name, counted)
+        watched = watch(clean_rows, [*silver_checks(name), *range_warnings(clean_rows, name)])
+        cleaned = stage_table(watched.rows, f"clean-{name}")
+        results = watched.results(cleaned).collect()
+        gone = {rule: removed.get[f"r{i}"] for i, rule in enumerate(counts)}
+        for rule, n in gone.items():
+            if n:
+                log.warning("%s: %s: %s rows removed", name, rule, n)
+        for row in results:
+            if not row.passed:
+                log.warning("%s: %s: %s", name, row.check_name, row.message)
+        require_no_critical(results, name)
         write_monthly(cleaned, folders.silver(name))
+        write_rejects(rejected(tagged) if any(gone.values()) else None, spark, folders.rejected(name))
     return read_table(spark, folders.silver(name))
 
 

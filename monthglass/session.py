@@ -24,6 +24,15 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def apart(spark: SparkSession) -> SparkSession:
+    """A session with the same settings and catalog, for frames that are observed.
+
+    Once a frame of a session was observed, that session can't be shipped to executors
+    any more, which MLlib's learners do; so what is observed has a session of its own.
+    """
+    return SparkSession(spark.sparkContext, spark._jsparkSession.cloneSession())
+
+
 @functools.cache
 def _test_folder() -> str:
     return tempfile.mkdtemp(prefix="monthglass-")

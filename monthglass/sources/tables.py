@@ -19,6 +19,7 @@ def read_raw(
     nulls: Sequence[str] = CSV_NULLS,
     multi_line: bool = False,
     columns: Sequence[str] | None = None,
+    line: str | None = None,
 ) -> DataFrame:
     """CSV with a header, every column as text, the usual "missing" words as NULL.
 
@@ -26,6 +27,9 @@ def read_raw(
     where none are given; a file whose columns differ in name or order fails the job.
     Quotes inside a quoted cell are doubled. ``multi_line`` allows line breaks in
     cells but stops Spark from splitting a file, so keep it off for large files.
+
+    A line with too few cells is filled up with NULL and one with too many is cut, unless
+    ``line`` names a column: it then holds the text of each such line, and NULL for the others.
     """
     reader = (
         spark.read.option("header", True)
@@ -33,10 +37,13 @@ def read_raw(
         .option("escape", '"')
         .option("multiLine", multi_line)
     )
+    if line:
+        columns = columns or reader.csv(path).columns
+        reader = reader.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", line)
     if columns:
-        reader = reader.schema(", ".join(f"`{c}` string" for c in columns))
+        reader = reader.schema(", ".join(f"`{c}` string" for c in [*columns, *([line] if line else [])]))
     raw = reader.csv(path)
-    return raw.select([null_if_in(F.col(f"`{c}`"), nulls).alias(c) for c in raw.columns])
+    return raw.select([F.col(f"`{c}`") if c == line else null_if_in(F.col(f"`{c}`"), nulls).alias(c) for c in raw.columns])
 
 
 def write_monthly(df: DataFrame, path: str, date_col: str = "snapshot_date") -> None:
@@ -58,6 +65,14 @@ def write_monthly(df: DataFrame, path: str, date_col: str = "snapshot_date") ->
     )
 
 
+def write_rejects(df: DataFrame | None, spark: SparkSession, path: str, date_col: str = "snapshot_date") -> None:
+    """The rows that cleaning removed, one folder per month, in place of all earlier ones; None: there are none."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+    if df is not None:
+        write_monthly(df, path, date_col)
+
+
 def deliveries(path: str) -> str:
     """Folder beside the table for rows that arrive by stream, one subfolder per delivery."""
     return f"{path.rstrip('/')}.deliveries"
