@@ -29,7 +29,8 @@ from .words import SYMBOLS, U64, mix, pieces, strings, word_hashes
 
 SAMPLED = 3  # steps in a hash function
 SPAN = 16  # steps that they lie within
-MOST = 64  # functions per item that the target recall may ask for
+TRIED = (64, 256)  # functions per item with which a length class is measured, until it reaches the target recall
+PIECES = -1  # in place of a number of functions: one for each piece of the item, which leaves out nothing
 ITEM_WORDS = 2_000_000  # words of the items that are compared with the texts in one pass
 MEET = 1 << 17  # walks followed at a time
 WALKED = 1 << 22  # steps of an item's walks that are held at a time
@@ -85,10 +86,17 @@ def holders(items: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     return np.unique(np.concatenate([np.unique(words) for words in items] or [np.zeros(0, U64)]), return_counts=True)
 
 
-def functions(items: list[np.ndarray], rounds: int, held: tuple[np.ndarray, np.ndarray] | None = None) -> Functions:
-    """`rounds` functions per item; the first step is drawn among the item's rarer words."""
+def functions(items: list[np.ndarray], rounds: int | np.ndarray, held: tuple[np.ndarray, np.ndarray] | None = None, share: float = 0.2) -> Functions:
+    """`rounds` functions per item (one number, or one per item); the first step is drawn among the item's rarer words.
+
+    With `PIECES` an item is cut into one piece more than the edits it allows. One of them
+    is whole in any text that holds the item, so each piece's rarest word is a function
+    without later steps, and together they miss nothing.
+    """
+    rounds = np.broadcast_to(rounds, len(items))
     known, times = holders(items) if held is None else held
-    size = rounds * sum(len(words) > 0 for words in items)
+    cuts = [np.array_split(np.arange(len(w)), allowed(len(w), share) + 1) if n == PIECES else [] for w, n in zip(items, rounds)]
+    size = sum(len(c) or n for w, n, c in zip(items, rounds.tolist(), cuts) if len(w))
     anchor, item, seed, step, at = (np.zeros(size, kind) for kind in (U64, np.int64, U64, np.int64, np.int64))
     later, value = np.full((size, SAMPLED - 1), -1, np.int64), np.zeros((size, SAMPLED - 1), U64)
     n = 0
@@ -96,12 +104,17 @@ def functions(items: list[np.ndarray], rounds: int, held: tuple[np.ndarray, np.n
         if not len(words):
             continue
         common = times[np.searchsorted(known, words)]
+        for part in cuts[k]:
+            rarest = part[common[part].argmin()]
+            anchor[n], item[n], at[n] = words[rarest], k, rarest
+            n += 1
         rarer = common <= np.sort(common)[len(common) // 2]
         steps = 3 * len(words)
         some = max(1, WALKED // steps)
-        for r in range(rounds):
+        own = int(max(0, rounds[k]))
+        for r in range(own):
             if r % some == 0:
-                walked = walks(words, np.arange(r, min(r + some, rounds), dtype=U64), steps)
+                walked = walks(words, np.arange(r, min(r + some, own), dtype=U64), steps)
             draw = np.random.default_rng([len(words), int(words[0] & U64(0xFFFFFFFF)), r])
             place = walked[:, r % some]
             # Each place's last step: the next one stands on the next word.
@@ -195,22 +208,37 @@ def matches(words: np.ndarray, first: np.ndarray, items: list[np.ndarray], f: Fu
     return {key: (d, p - int(first[key[0]])) for key, (d, p) in best.items()}
 
 
-def rounds_for(items: list[np.ndarray], share: float, recall: float, trials: int = 12, sample: int = 200) -> int:
-    """How many functions per item find a copy with as many random edits as are allowed.
+def length_class(words: np.ndarray) -> int:
+    """Items of a class differ in length by less than a factor of two."""
+    return len(words).bit_length()
+
 
-    Measured on edited copies of (at most `sample`) items: words replaced, put in or taken out.
+def rounds_for(items: list[np.ndarray], share: float, recall: float, trials: int = 12, sample: int = 100) -> np.ndarray:
+    """Per item, how many functions find a copy with as many random edits as are allowed.
+
+    Measured for each length class by itself, on edited copies of (at most `sample`) of its
+    items: words replaced, put in or taken out. A class that the largest number of functions
+    doesn't bring to the target recall is searched by pieces, which find every copy.
     """
-    draw = np.random.default_rng(7)
-    chosen = [k for k in range(len(items)) if len(items[k])]
-    chosen = [chosen[i] for i in draw.permutation(len(chosen))[:sample]]
-    if not chosen:
-        return 1
-    f = functions([items[k] for k in chosen], MOST, holders(items))
+    out, held = np.ones(len(items), np.int64), holders(items)
+    classes = np.array([length_class(w) for w in items])
+    for c in np.unique(classes[classes > 0]).tolist():
+        members = np.flatnonzero(classes == c)
+        draw = np.random.default_rng([7, c])
+        chosen = [items[k] for k in members[draw.permutation(len(members))[:sample]]]
+        needed = (_measured(chosen, most, held, share, recall, trials, draw) for most in TRIED)
+        out[members] = next((n for n in needed if n is not None), PIECES)
+    return out
+
+
+def _measured(chosen: list[np.ndarray], most: int, held, share: float, recall: float, trials: int, draw) -> int | None:
+    """How many functions of `most` reach the recall on edited copies of the chosen items; None if these are too few."""
+    f = functions(chosen, most, held)
     texts, owner = [], []
-    for at, k in enumerate(chosen):
+    for at, item in enumerate(chosen):
         for _ in range(trials):
-            w = items[k].tolist()
-            for _ in range(allowed(len(w), share)):
+            w = item.tolist()
+            for _ in range(allowed(len(item), share)):
                 i, kind = int(draw.integers(len(w))), int(draw.integers(3))
                 new = int(draw.integers(1 << 62))
                 w = w[:i] + ([new] if kind == 0 else [new, w[i]] if kind == 1 else []) + w[i + 1 :]
@@ -218,10 +246,11 @@ def rounds_for(items: list[np.ndarray], share: float, recall: float, trials: int
             owner.append(at)
     first = np.concatenate([[0], np.cumsum([len(t) for t in texts])])
     row, item, _, seed = collisions(np.concatenate(texts), first, f)
-    earliest = np.full(len(texts), MOST)
+    earliest = np.full(len(texts), most)
     own = item == np.array(owner)[row]
     np.minimum.at(earliest, row[own], seed[own])
-    return int(min(MOST, np.sort(earliest)[min(len(texts) - 1, int(np.ceil(recall * len(texts))) - 1)] + 1))
+    found = int(np.sort(earliest)[min(len(texts) - 1, int(np.ceil(recall * len(texts))) - 1)]) + 1
+    return found if found <= most else None
 
 
 def item_blocks(items: DataFrame, id_col: str = "item_id", text_col: str = "text") -> Iterator[tuple[list[int], list[np.ndarray], bool]]:
@@ -263,7 +292,7 @@ def find_leaks(
     plain = small_batches(docs).select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     out = None
     for ids, words, more in item_blocks(items, item_col, item_text):
-        run = _finder(ids, words, functions(words, rounds_for(words, share, recall)), share)
+        run = _finder(ids, words, functions(words, rounds_for(words, share, recall), share=share), share)
         found = plain.mapInArrow(run, "doc_id long, item_id long, distance long, item_words long, first_word long")
         found = stage_table(found, "leaks") if more else found
         out = found if out is None else out.union(found)
@@ -299,7 +328,7 @@ def without_leaks(docs: DataFrame, items: DataFrame, share: float = 0.2, recall:
     names = fresh(docs, "_key", "_key2")
     found, out = None, docs
     for _, words, more in item_blocks(items):
-        holds = _holds(words, functions(words, rounds_for(words, share, recall)), share)(text)
+        holds = _holds(words, functions(words, rounds_for(words, share, recall), share=share), share)(text)
         if more:
             marks = stage_table(docs.where(holds).select(*[k.alias(n) for k, n in zip(keys, names)]).distinct(), "leaks")
             found = marks if found is None else found.union(marks)

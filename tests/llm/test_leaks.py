@@ -134,3 +134,48 @@ def test_edges(spark):
     got = sorted((str(x.doc_id), str(x.item_id), x.distance, x.first_word) for x in find_leaks(spark.createDataFrame(rows, "doc_id long, text string"), items).collect())
     one = [("1", "1", 0, 0), ("1", "2", 0, 0)]
     assert got == sorted([("None", "1", 0, 1), *one, *one, ("4", "None", 0, 0), ("5", "1", 0, 0), ("5", "2", 1, 0)])
+
+
+def edited(item, r):
+    w = list(item)
+    for _ in range(allowed(len(item), 0.2)):
+        i = r.randrange(len(w))
+        w[i : i + 1] = r.choice([[r.randrange(1 << 60)], [r.randrange(1 << 60), w[i]], []])
+    return w
+
+
+def found_share(items, f, classes, trials=6):
+    """Per class, the share of copies with all allowed edits that are found among other words."""
+    r = random.Random(3)
+    hit, total = {}, {}
+    for k, item in enumerate(items):
+        for _ in range(trials):
+            around = [r.randrange(1 << 60) for _ in range(40)]
+            text = np.array([*around[:20], *edited(item.tolist(), r), *around[20:]], np.uint64)
+            got = leaks.matches(text, np.array([0, len(text)]), items, f, 0.2)
+            total[classes[k]] = total.get(classes[k], 0) + 1
+            hit[classes[k]] = hit.get(classes[k], 0) + ((0, k) in got)
+    return {c: hit[c] / total[c] for c in total}
+
+
+def test_every_length_class_reaches_the_target():
+    """Many short items, which need one function each, beside few long ones."""
+    r = np.random.default_rng(5)
+    vocabulary = r.integers(0, 1 << 62, 400).astype(np.uint64)
+    items = [r.choice(vocabulary, n) for n, many in ((4, 300), (7, 60), (20, 60), (60, 60), (200, 12)) for _ in range(many)]
+    rounds = leaks.rounds_for(items, 0.2, 0.99)
+    classes = [leaks.length_class(w) for w in items]
+    assert {c: len({n for n, x in zip(rounds.tolist(), classes) if x == c}) for c in classes} == dict.fromkeys(classes, 1)
+    shares = found_share(items, functions(items, rounds), classes)
+    assert min(shares.values()) >= 0.98 and np.mean(list(shares.values())) >= 0.99, shares
+
+
+def test_pieces_miss_nothing(monkeypatch):
+    monkeypatch.setattr(leaks, "TRIED", (1,))
+    r = np.random.default_rng(6)
+    items = [r.integers(0, 50, n).astype(np.uint64) for n in (5, 9, 30, 80) for _ in range(15)]
+    rounds = leaks.rounds_for(items, 0.2, 0.99)
+    assert set(rounds.tolist()) == {leaks.PIECES}
+    f = functions(items, rounds)
+    assert len(f.anchor) == sum(allowed(len(w), 0.2) + 1 for w in items)
+    assert set(found_share(items, f, [len(w) for w in items]).values()) == {1.0}
