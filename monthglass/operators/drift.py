@@ -151,8 +151,11 @@ def psi(marked: DataFrame, ref: Reference, cells: Cells | None = None) -> DataFr
     """
     if not ref.edges:
         return _no_scores(marked, "psi")
-    bins = ref.bins
-    counts = bin_counts(ref, cells or unfold_cells(marked, with_edges(ref, {})))
+    return psi_of(bin_counts(ref, cells or unfold_cells(marked, with_edges(ref, {}))), ref.bins)
+
+
+def psi_of(counts: DataFrame, bins: int) -> DataFrame:
+    """PSI from counts (feature, window, bin, n, n_ref); counts of the same cell add up."""
     sums = [f"sum({n}) AS {n}" for n in ("n", "n_ref")]
     sums += [f"sum(if(bin = {i}, {n}, 0)) AS {n}{i}" for n in ("n", "n_ref") for i in range(bins)]
     # One row per window and feature; the reference counts are spread over all windows.
@@ -191,9 +194,15 @@ def ks_samples(marked: DataFrame, ref: Reference, cells: Cells | None = None) ->
         none = F.lit(0).cast("long")
         return _no_scores(marked, "ks").withColumns({"n_reference": none, "n_current": none})
     cells = cells or unfold_cells(marked, {c: [] for c in ref.features} | value_splits(marked, ref.features))
+    by_value = cells.rows.groupBy("feature", BUCKET, "value", WIN).agg(*_sizes())
+    return ks_of(by_value, cells.ranges)
+
+
+def ks_of(by_value: DataFrame, by_range: DataFrame) -> DataFrame:
+    """KS from counts (n, n_ref) by (feature, range, value, window), and by (feature, range, window)."""
     along_ranges = W.partitionBy("feature").orderBy(BUCKET).rangeBetween(W.unboundedPreceding, -1)
     offsets = (
-        cells.ranges.select(
+        by_range.select(
             "feature",
             BUCKET,
             WIN,
@@ -206,9 +215,7 @@ def ks_samples(marked: DataFrame, ref: Reference, cells: Cells | None = None) ->
     along_values = W.partitionBy("feature", BUCKET).orderBy("value").rangeBetween(W.unboundedPreceding, 0)
     at_value = W.partitionBy("feature", BUCKET, "value")
     counts = (
-        cells.rows.groupBy("feature", BUCKET, "value", WIN)
-        .agg(*_sizes())
-        .withColumns({"ref_run": F.sum("n_ref").over(along_values), "ref_here": F.sum("n_ref").over(at_value)})
+        by_value.withColumns({"ref_run": F.sum("n_ref").over(along_values), "ref_here": F.sum("n_ref").over(at_value)})
         .where(F.col(WIN).isNotNull())
     )
     curves = add_running(counts, offsets, ["feature", WIN], "value", ["n"])
@@ -253,7 +260,7 @@ def mean_drift(marked: DataFrame, ref: Reference, score: str | None, label: str
     )
 
 
-def _per_window(scores: DataFrame, name: str) -> DataFrame:
+def per_window(scores: DataFrame, name: str) -> DataFrame:
     return scores.groupBy("window").agg(
         F.avg(name).alias(f"mean_{name}"),
         F.max(name).alias(f"max_{name}"),
@@ -283,7 +290,7 @@ def stability_over_time(
     ref = fit_reference(df.where(early), features, score, label)
     base = mean_drift(marked, ref, score, label, date)
     cells = _shared_cells(marked, ref, splits)
-    psi_part, ks_part = _per_window(psi(marked, ref, cells), "psi"), _per_window(ks(marked, ref, cells), "ks")
+    psi_part, ks_part = per_window(psi(marked, ref, cells), "psi"), per_window(ks(marked, ref, cells), "ks")
     return (
         base.join(psi_part, "window", "left")
         .join(ks_part, "window", "left")

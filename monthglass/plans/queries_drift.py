@@ -5,8 +5,25 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import drift as dr
+from ..operators import drift_store as ds
 from ..operators import shift_tests as st
-from .queries_metrics import _HALVES, _MARKED, DATE, FEATURES, _half, _ks_sql, _long_sql, _marked, _orders, _psi_sql, _round
+from ..session import staging_path
+from .queries_metrics import (
+    _HALVES,
+    _MARKED,
+    _STABILITY_COLUMNS,
+    _STABILITY_SQL,
+    DATE,
+    FEATURES,
+    PROB,
+    _half,
+    _ks_sql,
+    _long_sql,
+    _marked,
+    _orders,
+    _psi_sql,
+    _round,
+)
 from .registry import query
 from .views import with_views
 
@@ -158,3 +175,16 @@ def ks_test(spark, sf_dir):
     found = dr.ks_samples(*_marked(spark, sf_dir))
     p = st.ks_p_value(F.col("ks"), F.col("n_reference"), F.col("n_current"))
     return _round(found.withColumn("p_value", p), ["ks", "p_value"])
+
+
+@query("stability_by_month_added", with_views("scored_orders", body=_STABILITY_SQL))
+def stability_by_month_added(spark, sf_dir):
+    """A store that was given all months but the last year, then that year, then one month once more."""
+    rows = _orders(spark, sf_dir)
+    first, last = (r.strftime("%Y-%m") for r in rows.agg(F.min(DATE), F.max(DATE)).first())
+    store = ds.start(spark, staging_path(spark, "drift-store"), rows, DATE, FEATURES, PROB, "label")
+    before = f"{int(last[:4]) - 1}-{last[5:]}"
+    ds.add(store, rows, first, before)
+    ds.add(store, rows, before, last)
+    ds.add(store, rows, last)
+    return _round(ds.stability(store), _STABILITY_COLUMNS, 4).drop("psi_scores", "ks_scores")

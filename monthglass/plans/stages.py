@@ -14,7 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import clean
+from ..operators import clean, drift_store
 from ..operators.charts import confusion_evolution, dashboard, performance_long, rate_comparison, sample_counts, stability_long
 from ..operators.classify import performance, performance_over_time
 from ..operators.drift import (
@@ -359,6 +359,31 @@ def score_snapshot(spark: SparkSession, folders: Folders, timestamp: str, date:
     return score(model, rows, timestamp, row["model_name"], row["version"])
 
 
+def scored_months(spark: SparkSession, folders: Folders, first: str, last: str) -> DataFrame:
+    """Features, labels and scores of some months; the bounds reach the scans of all three stores."""
+    within = drift_store.in_months(F.col(FEATURE_DATE), first, last)
+    stores = [read_store(spark, folders.gold(n)).where(within) for n in ("feature_store", "label_store")]
+    return scored_join(feature_label_join(*stores), read_predictions(spark, folders.gold("predictions")).where(within))
+
+
+def monitor_months(spark: SparkSession, folders: Folders, first: str, last: str | None = None) -> DataFrame:
+    """Drift of the months from ``first`` to ``last`` added to the stored drift; the table of all months.
+
+    The first call fixes the reference: the first three months of the stores as they are then.
+    """
+    tune(spark)
+    path = folders.monitoring("drift_store")
+    at = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/reference")
+    with staged_files(spark):
+        if at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at):
+            store = drift_store.open_store(spark, path)
+        else:
+            everything = scored_join(labelled_rows(spark, folders), read_predictions(spark, folders.gold("predictions")))
+            store = drift_store.start(spark, path, stage_table(everything, "scored"), FEATURE_DATE)
+        drift_store.add(store, stage_table(scored_months(spark, folders, first, last or first), "scored"), first, last)
+    return drift_store.stability(store)
+
+
 def monitor(spark: SparkSession, folders: Folders, unit: str = "month") -> dict[str, DataFrame]:
     """Quality and drift per window, the two-halves report with its quality, alerts, and the chart tables.
 

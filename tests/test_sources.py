@@ -182,3 +182,10 @@ def test_whole_run(spark, tmp_path):
     assert out["category_shares"].count() > 0
     assert out["drift_report"].where("kind = 'categorical'").count() > 0
     assert (tmp_path / "base" / "monitoring" / "performance_metrics" / "_SUCCESS").exists()
+
+    # Month by month, the stability table is that of the whole run.
+    months = sorted(r.m for r in scores.selectExpr("date_format(feature_snapshot_date, 'yyyy-MM') m").distinct().collect())
+    st.monitor_months(spark, folders, months[0], months[-2])
+    added = st.monitor_months(spark, folders, months[-1])
+    rounded = lambda df: sorted((r.snapshot_date, round(r.mean_psi, 9), round(r.max_ks, 9), round(r.prediction_drift, 9)) for r in df.collect())
+    assert rounded(added) == rounded(out["stability"]) and len(months) > 3
