@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..operators import curves as cv
 from ..operators import drift as dr
 from ..operators import drift_store as ds
 from ..operators import shift_tests as st
@@ -188,3 +189,36 @@ def stability_by_month_added(spark, sf_dir):
     ds.add(store, rows, before, last)
     ds.add(store, rows, last)
     return _round(ds.stability(store), _STABILITY_COLUMNS, 4).drop("psi_scores", "ks_scores")
+
+
+# A point is a corner if the steepest way on is less steep than the least steep way up to it.
+_CURVE = {
+    "c": f"""SELECT priority, {PROB} AS threshold, count(*) FILTER (label = 1) AS p, count(*) FILTER (label <> 1) AS n FROM scored_orders GROUP BY 1, 2""",
+    "k": """SELECT priority, threshold, CAST(sum(p) OVER o AS BIGINT) AS tp, CAST(sum(n) OVER o AS BIGINT) AS fp,
+        CAST(sum(p) OVER g AS BIGINT) AS positives, CAST(sum(n) OVER g AS BIGINT) AS negatives
+        FROM c WINDOW o AS (PARTITION BY priority ORDER BY threshold DESC), g AS (PARTITION BY priority)""",
+    "z": "SELECT priority, 2::DOUBLE AS threshold, 0 AS tp, 0 AS fp FROM k GROUP BY 1 UNION ALL SELECT priority, threshold, tp, fp FROM k",
+    "before": """SELECT a.priority, a.threshold, min(CASE WHEN a.fp = b.fp THEN 'inf'::DOUBLE ELSE (a.tp - b.tp)::DOUBLE / (a.fp - b.fp) END) AS up
+        FROM k AS a JOIN z AS b ON b.priority = a.priority AND b.threshold > a.threshold GROUP BY 1, 2""",
+    "behind": """SELECT a.priority, a.threshold, max(CASE WHEN a.fp = b.fp THEN 'inf'::DOUBLE ELSE (b.tp - a.tp)::DOUBLE / (b.fp - a.fp) END) AS up
+        FROM k AS a JOIN k AS b ON b.priority = a.priority AND b.threshold < a.threshold GROUP BY 1, 2""",
+    "m": f"""SELECT k.*, coalesce(behind.up < before.up, TRUE) AS corner, floor((tp::DOUBLE / positives + fp::DOUBLE / negatives) / 2 * {cv.STEPS}) AS step
+        FROM k JOIN before USING (priority, threshold) LEFT JOIN behind USING (priority, threshold)""",
+    "f": "SELECT *, row_number() OVER (PARTITION BY priority, step ORDER BY threshold DESC) AS place FROM m",
+}
+_POINTS = """SELECT priority, threshold, tp, fp, positives, negatives, round(tp::DOUBLE / positives, 6) AS tpr, round(fp::DOUBLE / negatives, 6) AS fpr,
+    round(tp::DOUBLE / (tp + fp), 6) AS precision, corner FROM f WHERE corner OR place = 1"""
+
+
+def _points(spark, sf_dir):
+    return cv.curve_points(_orders(spark, sf_dir), "label", PROB, ["priority"])
+
+
+@query("roc_curve_points", with_views("scored_orders", more=_CURVE, body=_POINTS))
+def roc_curve_points(spark, sf_dir):
+    return _round(_points(spark, sf_dir), ["tpr", "fpr", "precision"])
+
+
+@query("roc_hull", with_views("scored_orders", more=_CURVE, body="SELECT priority, threshold, tp, fp FROM m WHERE corner"))
+def roc_hull(spark, sf_dir):
+    return _points(spark, sf_dir).where("corner").select("priority", "threshold", "tp", "fp")

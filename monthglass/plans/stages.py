@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from ..operators import clean, drift_store
 from ..operators.charts import confusion_evolution, dashboard, performance_long, rate_comparison, sample_counts, stability_long
 from ..operators.classify import performance, performance_over_time
+from ..operators.curves import curve_points
 from ..operators.drift import (
     NOT_REPORTED,
     category_shares,
@@ -410,6 +411,7 @@ def monitor(spark: SparkSession, folders: Folders, unit: str = "month") -> dict[
         "target_tests": decide(all_tests(data, first_half, [], ["label", "prediction"])),
         "category_shares": category_shares(data, first_half, text_columns(data, NOT_REPORTED)),
         "quality_by_half": performance(halves, "label", "prediction", "prediction_proba_1", ["half"], keep_counts=True),
+        "curves_by_half": curve_points(halves, "label", "prediction_proba_1", ["half"]),
         "alerts": drift_alerts(quality, stability),
         "performance": quality,
         "stability": stability,
