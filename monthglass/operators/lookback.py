@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ..session import stage_table
+
 # Pieces that time is cut into, however many query dates there are.
 CUTS = 4096
 
@@ -17,11 +19,14 @@ def _micros(c: str):
     return F.unix_micros(F.col(c).cast("timestamp")).cast("double")
 
 
-def _cut_points(pairs: DataFrame, query_date: str, cuts: int) -> list[float]:
-    """Query dates that divide them into pieces of about equal size: all of them, or evenly spread ones."""
+def _cut_points(pairs: DataFrame, query_date: str, cuts: int) -> tuple[list[float], bool]:
+    """Query dates that divide them into pieces of about equal size, and whether these are all of them."""
     times = pairs.select(_micros(query_date).alias("t")).where("t IS NOT NULL").distinct()
+    few = [r.t for r in times.limit(cuts + 1).collect()]
+    if len(few) <= cuts:
+        return sorted(few), True
     probs = [i / (cuts - 1) for i in range(cuts)]
-    return sorted(set(times.approxQuantile("t", probs, 1 / (2 * cuts))))
+    return sorted(set(times.approxQuantile("t", probs, 1 / (2 * cuts)))), False
 
 
 def _in_pieces(df: DataFrame, date: str, points: Sequence[float]) -> DataFrame:
@@ -66,21 +71,27 @@ def lookback(
     """
     order = [date, *([tie_break] if tie_break else columns)]
     keep = list(dict.fromkeys([key, *order, *columns]))
-    pairs = queries.select(key, query_date).where(F.col(key).isNotNull()).distinct()
-    points = _cut_points(pairs, query_date, cuts)
+    # Stored, as the dates, the marks of the pieces and the query rows are read from them.
+    pairs = stage_table(queries.select(key, query_date).where(F.col(key).isNotNull()).distinct(), "asked")
+    points, complete = _cut_points(pairs, query_date, cuts)
     past = history.select(*keep).where(F.col(key).isNotNull() & F.col(date).isNotNull())
     past = _in_pieces(past, date, points).where(F.col("_piece") > 0)
     asked = _in_pieces(pairs, query_date, points)
-    # One row per cut point, made here.
-    ends = pairs.sparkSession.createDataFrame([(p,) for p in points], "_end double")
-    asked = asked.join(F.broadcast(ends), _micros(query_date) == F.col("_end"), "left")
-    places = asked.groupBy(key, "_piece").agg(F.bool_or(F.col("_end").isNull()).alias("_inside"))
-
     newest_first = W.partitionBy(key, "_piece").orderBy(*[F.col(c).desc() for c in order])
     newest = past.withColumn("_rn", F.row_number().over(newest_first)).where(F.col("_rn") <= k).drop("_rn")
-    needed = newest.join(places.where("NOT _inside"), [key, "_piece"], "left_semi").unionByName(
-        past.join(places.where("_inside"), [key, "_piece"], "left_semi")
-    )
+    # What is carried and what stays in its piece come from the same rows.
+    newest = stage_table(newest, "newest")
+    if complete:
+        # Every piece ends at its only query date.
+        places, needed = asked.select(key, "_piece"), newest
+    else:
+        # One row per cut point, made here.
+        ends = pairs.sparkSession.createDataFrame([(p,) for p in points], "_end double")
+        at_end = asked.join(F.broadcast(ends), _micros(query_date) == F.col("_end"), "left")
+        places = at_end.groupBy(key, "_piece").agg(F.bool_or(F.col("_end").isNull()).alias("_inside"))
+        needed = newest.join(places.where("NOT _inside"), [key, "_piece"], "left_semi").unionByName(
+            past.join(places.where("_inside"), [key, "_piece"], "left_semi")
+        )
     rows = (
         _carried(newest, places, key, keep, order, k)
         .unionByName(needed)

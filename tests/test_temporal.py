@@ -6,6 +6,7 @@ from datetime import timedelta
 import pytest
 
 from monthglass.operators import temporal as tm
+from monthglass.operators import lookback as lb
 from monthglass.operators.lookback import add_lookback, lookback
 
 
@@ -102,10 +103,15 @@ def test_lookback_against_brute_force(spark, cuts):
 
 
 @pytest.mark.parametrize("dates", [1, 20_000])
-def test_lookback_limits_a_hot_key_before_the_shuffle(spark, dates):
+def test_lookback_limits_a_hot_key_before_the_shuffle(spark, dates, monkeypatch):
     hist = spark.createDataFrame([("a", dt(2023, 1, 1), 1.0)], "Customer_ID string, snapshot_date timestamp, x double")
     qs = spark.range(dates).selectExpr("'a' AS Customer_ID", "timestamp_seconds(1675209600 + id) AS feature_snapshot_date")
-    plan = lookback(qs, hist, ["x"])._jdf.queryExecution().executedPlan().toString()
+    # With the plans of what is stored on the way.
+    parts, stage = [], lb.stage_table
+    text = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    monkeypatch.setattr(lb, "stage_table", lambda df, name: parts.append(text(df)) or stage(df, name))
+    parts.append(text(lookback(qs, hist, ["x"])))
+    plan = "\n".join(parts)
     assert "row_number(), 6, Partial" in plan
     # The rows themselves are never ordered over a whole key: only what is carried, k rows a piece.
     windows = [line for line in plan.splitlines() if "Window [" in line or "WindowGroupLimit" in line]
@@ -125,3 +131,19 @@ def test_lookback_boundaries(spark):
     got = {r.row: (r.fe_1_mean, r.fe_1_max, r.fe_1_sum) for r in add_lookback(qs, hist, ["fe_1"]).collect()}
     # A row exactly at the date counts; the two oldest of eight do not.
     assert got == {1: (5.5, 8.0, 33.0), 2: (5.5, 8.0, 33.0), 3: (0.0, 0.0, 0.0), 4: (None, None, 0.0)}
+
+
+def test_lookback_reads_its_inputs_once(spark, monkeypatch, tmp_path):
+    """The query dates are read once and the history once; what follows reads their stored rows."""
+    spark.range(900).selectExpr("id % 7 AS Customer_ID", "timestamp_seconds(1675209600 + id * 3600) AS snapshot_date", "double(id) AS x").write.parquet(str(tmp_path / "h"))
+    spark.range(40).selectExpr("id % 7 AS Customer_ID", "timestamp_seconds(1676209600 + id % 5 * 86400) AS feature_snapshot_date").write.parquet(str(tmp_path / "q"))
+    parts, stage = [], lb.stage_table
+    text = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    monkeypatch.setattr(lb, "stage_table", lambda df, name: parts.append(text(df)) or stage(df, name))
+    found = lookback(spark.read.parquet(str(tmp_path / "q")), spark.read.parquet(str(tmp_path / "h")), ["x"])
+    parts.append(text(found))
+    scans = [line for part in parts for line in part.splitlines() if "FileScan" in line]
+    assert sum(str(tmp_path / "h") in line for line in scans) == 1 == sum(str(tmp_path / "q") in line for line in scans)
+    exchanges = [line for line in parts[-1].splitlines() if "Exchange hashpartitioning" in line]
+    assert len(scans) == 6 and len(exchanges) == 2 and "BroadcastExchange" not in parts[-1]
+    assert found.count() == 35
