@@ -23,7 +23,12 @@ from .words import strings
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
-UNSEEN = frozenset("head script style template title noscript iframe noembed noframes datalist audio video canvas object svg math".split())
+UNSEEN = frozenset("head script style template title noscript iframe noembed noframes datalist audio video canvas".split())
+#: Inside drawings and formulas: what only describes them or is drawn where it is used.
+UNSEEN_INSIDE = {
+    "svg": frozenset("defs desc metadata symbol clippath mask marker pattern".split()),
+    "math": frozenset("annotation annotation-xml".split()),
+}
 APART = frozenset("p h1 h2 h3 h4 h5 h6 ul ol menu dl blockquote pre table figure hr fieldset".split())
 BLOCKS = APART | frozenset(
     "html body div section article aside nav header footer main address form li dt dd details summary dialog center figcaption legend caption optgroup option tr".split()
@@ -55,7 +60,7 @@ TOKEN = re.compile(
 ATTRIBUTE = re.compile(r"""([^\s=/"'>]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
 SPACE = " \t\n\r\f"
 SPACES_RUN = re.compile(r"[ \t\n\r\f]+")
-ALIGNED = 48  # a longer cell isn't waited for by its column
+WAITED, PADDED = 200, 16  # a column waits for a cell of this length, and for longer ones if it then has at most so many times its text
 
 
 class Box:
@@ -140,15 +145,20 @@ class Grid:
             self.below.update({c: tall for c in columns})
         self.rows[-1].append((at, wide, text.split("\n")))
 
+    def fitting(self, lengths: list[int]) -> int:
+        """The width of the widest cell of a column that doesn't pad it beyond measure; wider ones stick out."""
+        most = max(WAITED, PADDED * sum(lengths) // max(1, len(self.rows)))
+        return max([0, *(n for n in lengths if n <= most)])
+
     def text(self) -> list[str]:
         """The rows' lines; a column begins where its widest cell before has ended."""
-        width: dict[int, int] = {}
+        width: dict[int, list[int]] = {}
         for row in self.rows:
             for at, wide, lines in row:
                 if wide == 1:
-                    fits = [len(x) for x in lines if len(x) <= ALIGNED]
-                    width[at] = max([width.get(at, 0), *fits])
+                    width.setdefault(at, []).extend(len(x) for x in lines)
         columns = sorted(width)
+        width = {c: self.fitting(lengths) for c, lengths in width.items()}
         starts, total = {}, 0
         for c in columns:
             starts[c] = total
@@ -228,7 +238,8 @@ class Page:
             return at
         attrs = {k.lower(): v.strip("\"'") for k, v in ATTRIBUTE.findall(rest)}
         style = re.sub(r"\s", "", attrs.get("style", "")).lower()
-        unseen = tag in UNSEEN or "hidden" in attrs or "display:none" in style or (tag == "dialog" and "open" not in attrs)
+        inside = any(self.counts[kind] and tag in tags for kind, tags in UNSEEN_INSIDE.items())
+        unseen = tag in UNSEEN or inside or "hidden" in attrs or "display:none" in style or (tag == "dialog" and "open" not in attrs)
         above = self.open[-1] if self.open else None
         if above and above["tag"] == "details" and not above["opened"] and tag != "summary":
             unseen = True
@@ -251,7 +262,7 @@ class Page:
         if tag in RAW:
             close = re.compile(rf"</{tag}(?=[\s/>])[^>]*>?", re.I).search(page, at)
             body, at = (page[at : close.start()], close.end()) if close else (page[at:], len(page))
-            if tag == "title" and not self.title:
+            if tag == "title" and not self.title and not self.counts["svg"]:
                 self.title = " ".join(entities.unescape(body).split())
             elif tag in ("textarea", "xmp"):
                 self.text(body)
@@ -304,7 +315,7 @@ class Page:
         elif tag in ("dd", "blockquote"):
             box.part(2 if tag == "blockquote" else 1)
             box.indents.append(box.indents[-1] + "  ")
-        elif tag in BLOCKS:
+        elif tag in BLOCKS or (tag == "text" and self.counts["svg"]):
             box.part(2 if tag in APART else 1)
         if entry["frame"]:
             self.frames.append(entry["frame"])
@@ -349,7 +360,7 @@ class Page:
                 box.marker = None
             elif tag in ("ul", "ol", "menu"):
                 self.box.part(1 if any(e["list"] for e in self.open) else 2)
-            elif tag in BLOCKS:
+            elif tag in BLOCKS or (tag == "text" and self.counts["svg"]):
                 self.box.part(2 if tag in APART else 1)
         self.hidden -= entry["unseen"]
 
@@ -380,7 +391,9 @@ def extract_text(pages: DataFrame, html_col: str = "html") -> DataFrame:
     are; columns named like the new ones are replaced. Null or empty markup gives empty
     text. Broken markup is read as far as it goes: open elements end with the page, a
     tag cut off at its end is dropped. Style sheets are not read, only the attributes
-    `hidden` and `style`.
+    `hidden` and `style`. Formulas and drawings give their text, without annotations,
+    definitions and metadata; an object gives what stands in for it. Cells of any length
+    are kept whole; one that would pad its column beyond measure sticks out of it.
     """
 
     def run(column: pd.Series) -> pd.DataFrame:

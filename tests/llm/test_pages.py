@@ -72,3 +72,32 @@ def test_page_table(spark):
     out = extract_text(spark.read.parquet("/root/testdata/sf0.001/pages.parquet")).collect()
     assert out and all(r.text and "<" + "p>" not in r.text and "track(" not in r.text and "margin:0" not in r.text for r in out)
     assert all(r.text.startswith("- ") for r in out)
+
+
+@pytest.mark.parametrize(
+    ("page", "text"),
+    [
+        ("E = <math><mi>mc</mi><mn>2</mn></math> and <svg><text>label</text></svg>", "E = mc2 and\nlabel"),
+        ("<math><semantics><mi>x</mi><annotation>\\\\x</annotation><annotation-xml><mi>y</mi></annotation-xml></semantics></math>", "x"),
+        ("<svg><title>tip</title><defs><text>no</text></defs><desc>no</desc><metadata>no</metadata><text>a</text><text>b</text></svg>c", "a\nb\nc"),
+        ("<desc>shown</desc> <defs>too</defs>", "shown too"),
+        ("<object data=x><p>instead</p></object>", "instead"),
+        ("<canvas>no</canvas><video>no</video>yes", "yes"),
+    ],
+)
+def test_formulas_and_drawings(page, text):
+    assert render(page)[1] == text
+
+
+def test_a_drawing_does_not_name_the_page():
+    assert render("<svg><title>tip</title></svg><title>page</title>")[0] == "page"
+
+
+@pytest.mark.parametrize("n", [49, 60, 120, 200])
+@pytest.mark.parametrize("rows", [1, 20, 3000])
+def test_long_cells_keep_their_columns(n, rows):
+    long = " ".join(["word"] * (n // 5)).ljust(n, "x")
+    page = f"<table><tr><td>{long}<td>first<td>x" + "<tr><td>a<td>b<td>c" * rows + "</table>"
+    lines = render(page)[1].split("\n")
+    assert lines[0] == f"{long}  first  x"
+    assert set(lines[1:]) == {"a".ljust(n + 2) + "b".ljust(7) + "c"}
