@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .batches import small_batches
+from .samples import whole_bags
 from .words import LOWER, SPACES, U64, hashed, mix, pieces, raw, strings, word_marks
 
 PASSAGE = 64  # words in a passage; a text's last one has what is left
@@ -24,8 +25,8 @@ HASHED = 48  # slots that hashed words are counted in
 SIGNS = 12  # numbers about characters and words
 WIDTH = HASHED + SIGNS
 HIDDEN, GATE = 24, 12
-#: Bounds of what is fitted on: labelled documents, and passages of one of them (evenly spread; scoring reads all).
-SAMPLE, BAG = 6000, 48
+#: Bounds of what is fitted on: labelled documents, bytes of one's encoded passages, and of all together (see `samples`).
+SAMPLE, LARGEST, TOTAL = 6000, 6 << 20, 48 << 20
 
 
 def _table(chars: str) -> np.ndarray:
@@ -188,8 +189,10 @@ def held_out(id_col) -> F.Column:
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality") -> Attention:
     """Fits on at most `sample` labelled documents, chosen by hash among those that are not held out.
 
-    The passages are encoded on the executors; what reaches the driver is bounded by
-    SAMPLE x BAG x WIDTH numbers. An id with several labels is left out if they differ.
+    The passages are encoded on the executors; whole documents reach the driver, in the
+    order of the hash, as long as they are TOTAL bytes together: 12 million words. One of
+    more than LARGEST bytes, 1.6 million words, is passed over. An id with several labels is
+    left out if they differ; of an id with several texts one is taken.
     """
     known = labels.where(F.col(label_col).isin(0, 1)).groupBy(F.col(id_col).alias("l")).agg(F.min(label_col).alias("y"), F.max(label_col).alias("y2"))
     known = known.where("y = y2 and l is not null").select("l", "y", F.xxhash64("l").alias("h"))
@@ -202,16 +205,13 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, id_col: str
             texts = strings(b.column("text"))
             for lo, hi in pieces(texts):
                 x, begin = encode(texts, lo, hi)
-                bags = []
-                for p, q in zip(begin[:-1], begin[1:]):
-                    pick = np.unique(np.linspace(p, q - 1, min(BAG, q - p)).astype(int))
-                    bags.append(x[pick].astype(np.float32).tobytes())
+                bags = [x[p:q].astype(np.float32).tobytes() for p, q in zip(begin[:-1], begin[1:])]
                 head = [b.column(c).slice(lo, hi - lo) for c in ("h", "d", "y")]
                 yield pa.RecordBatch.from_arrays([head[0], head[1].cast(pa.int64()), head[2].cast(pa.int64()), pa.array(bags, pa.binary())], names=["h", "d", "y", "bag"])
 
     # Repeated rows of an id are one bag.
     bags = rows.mapInArrow(run, "h long, d long, y long, bag binary").groupBy("h", "d", "y").agg(F.min("bag").alias("bag"))
-    got = sorted(bags.collect(), key=lambda r: (r.h, r.d))
+    got = sorted(whole_bags(bags, LARGEST, TOTAL), key=lambda r: (r.h, r.d))
     if len({r.y for r in got}) < 2:
         # With one label, or none, there is nothing to learn: its share is the score of every text.
         y = float(got[0].y) if got else 0.5

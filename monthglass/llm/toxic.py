@@ -17,13 +17,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .batches import small_batches
+from .samples import whole_bags
 from .words import SYMBOLS, U64, pieces, strings, word_hashes
 
 SLOTS = 1 << 18  # hashed words
 CHOSEN = 2048  # words a model uses
 FOLDS = 3
-SAMPLE = 12_000  # labelled documents that are fitted on, at most
-DISTINCT = 20_000  # distinct words of one training document, at most; scoring takes all
+#: Bounds of what is fitted on: labelled documents, and bytes of all their slot numbers (see `samples`); one has 4 * SLOTS at most.
+SAMPLE, TOTAL = 12_000, 64 << 20
 
 
 def slots(texts: pa.Array, lo: int, hi: int) -> tuple[np.ndarray, np.ndarray]:
@@ -145,8 +146,9 @@ def train(docs: DataFrame, labels: DataFrame, categories: Mapping[str, str] = CA
     """Fits on at most `sample` labelled documents, chosen by hash of their id.
 
     Rows whose labels leave a category open (null) are passed over; of an id with
-    several label rows each category holds if it does in any. Documents reach the
-    driver as slot numbers, at most SAMPLE x DISTINCT of them.
+    several label rows each category holds if it does in any; of an id with several texts
+    one is taken. Whole documents reach the driver as slot numbers, in the order of the
+    hash, as long as they are TOTAL bytes together: 16 million distinct words.
     """
     sides = [F.max(F.expr(c).cast("int")).alias(f"c{k}") for k, c in enumerate(categories.values())]
     known = labels.where(F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("l")).agg(*sides).na.drop().withColumn("h", F.xxhash64("l"))
@@ -160,11 +162,11 @@ def train(docs: DataFrame, labels: DataFrame, categories: Mapping[str, str] = CA
             texts = strings(b.column("text"))
             for lo, hi in pieces(texts):
                 words, begin = slots(texts, lo, hi)
-                bags = pa.array([words[p:q][:DISTINCT].astype(np.int32).tobytes() for p, q in zip(begin[:-1], begin[1:])], pa.binary())
+                bags = pa.array([words[p:q].astype(np.int32).tobytes() for p, q in zip(begin[:-1], begin[1:])], pa.binary())
                 yield pa.RecordBatch.from_arrays([*(b.column(c).slice(lo, hi - lo).cast(pa.int64()) for c in heads), bags], names=[*heads, "bag"])
 
     bags = rows.mapInArrow(run, ", ".join(f"{c} long" for c in heads) + ", bag binary").groupBy(*heads).agg(F.min("bag").alias("bag"))
-    got = sorted(bags.collect(), key=lambda r: (r.h, r.l))
+    got = sorted(whole_bags(bags, 4 * SLOTS, TOTAL), key=lambda r: (r.h, r.l))
     if not got:
         return Chain(list(categories), [Linear(np.zeros(SLOTS), np.zeros(k), 0.0) for k in range(len(categories))], [1.0] * len(categories))
     x = [np.frombuffer(r.bag, np.int32).astype(np.int64) for r in got]

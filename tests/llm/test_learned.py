@@ -93,3 +93,47 @@ def test_edges(spark, labelled):
     assert len(toxic.score(docs, toxic.train(docs, labels)).collect()) == 4
     none = docs.limit(0)
     assert passages.score(none, passages.train(none, labels)).count() == 0 and toxic.score(none, toxic.train(none, labels)).count() == 0
+
+
+def long_texts(spark, n=40, words=100_000):
+    """Texts of which half hold one bad passage, at another place in each, among very many plain and mostly different words."""
+    draw = np.random.default_rng(4)
+    rows = []
+    for i in range(n):
+        body = [f"w{x}" for x in draw.integers(0, 60_000, words if i < 6 else 400)]
+        if i % 2:
+            at = int(draw.integers(0, len(body) - 70))
+            body[at : at + 70] = [f"BAD{x}!!!" for x in draw.integers(0, 5, 70)]
+        rows.append((i, " ".join(body), i % 2))
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string").repartition(8)
+    labels = spark.createDataFrame([(i, 1 - bad, bad) for i, _, bad in rows], "doc_id long, quality int, toxic int")
+    return rows, docs, labels
+
+
+def test_training_takes_whole_texts(spark, monkeypatch):
+    rows, docs, labels = long_texts(spark)
+    seen = {}
+    fit, chain = passages.fit, toxic.fit_chain
+    monkeypatch.setattr(passages, "fit", lambda x, begin, y: seen.update(passages=np.diff(begin)) or fit(x, begin, y))
+    monkeypatch.setattr(toxic, "fit_chain", lambda w, begin, y: seen.update(slots=np.diff(begin)) or chain(w, begin, y))
+    model, trained = passages.train(docs, labels), toxic.train(docs, labels)
+    learned = [t for i, t, _ in rows if zlib.crc32(str(i).encode()) % 5]
+    assert sorted(seen["passages"]) == sorted(-(-len(t.split()) // passages.PASSAGE) for t in learned)
+    want = [np.diff(toxic.slots(pa.array([t]), 0, 1)[1])[0] for _, t, _ in rows]
+    assert sorted(seen["slots"]) == sorted(want) and max(want) > 40_000
+    # A slot number of the bad words is known, wherever it lies.
+    bad = {int(x) for k in range(5) for x in toxic.slots(pa.array([f"bad{k}"]), 0, 1)[0]}
+    assert all(trained.models[1].slots[x] > 0 for x in bad)
+    scored = {r.doc_id: r for r in passages.score(docs, model).collect()}
+    first = [i for i, _, _ in rows if i < 6]
+    assert min(scored[i].score for i in first if i % 2 == 0) > max(scored[i].score for i in first if i % 2)
+
+
+def test_sample_is_bounded_by_bytes(spark):
+    from monthglass.llm.samples import whole_bags
+
+    rows = [(h, bytes(n)) for h, n in ((5, 10), (1, 40), (3, 500), (2, 30), (4, 20))]
+    df = spark.createDataFrame(rows, "h long, bag binary")
+    pick = lambda largest, total: sorted(r.h for r in whole_bags(df, largest, total))
+    assert pick(1000, 1000) == [1, 2, 3, 4, 5] and pick(100, 1000) == [1, 2, 4, 5]
+    assert pick(100, 70) == [1, 2] and pick(100, 95) == [1, 2, 4] and pick(5, 100) == [] and pick(100, 39) == []
