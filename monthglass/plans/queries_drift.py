@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..operators import curves as cv
 from ..operators import drift as dr
 from ..operators import drift_store as ds
+from ..operators import quantile_store as qs
 from ..operators import shift_tests as st
 from ..session import staging_path
 from .queries_metrics import (
@@ -222,3 +223,31 @@ def roc_curve_points(spark, sf_dir):
 @query("roc_hull", with_views("scored_orders", more=_CURVE, body="SELECT priority, threshold, tp, fp FROM m WHERE corner"))
 def roc_hull(spark, sf_dir):
     return _points(spark, sf_dir).where("corner").select("priority", "threshold", "tp", "fp")
+
+
+_QUANTILES = {"q01": 0.01, "q50": 0.5, "q95": 0.95}
+
+
+@query(
+    "quantiles_stored",
+    with_views(
+        "scored_orders",
+        body=" UNION ALL ".join(
+            f"SELECT '{c}' AS feature, " + ", ".join(f"round(quantile_cont({c}, {q}), 6) AS {n}" for n, q in _QUANTILES.items()) + " FROM scored_orders"
+            for c in FEATURES
+        ),
+    ),
+)
+def quantiles_stored(spark, sf_dir):
+    """Cut on the first two years, then given all months in two parts, and one of them once more."""
+    rows = _orders(spark, sf_dir)
+    first, last = (r.strftime("%Y-%m") for r in rows.agg(F.min(DATE), F.max(DATE)).first())
+    early = rows.where(F.year(DATE) <= int(first[:4]) + 1)
+    store = qs.start(spark, staging_path(spark, "quantile-store"), early, FEATURES, ranges=32)
+    middle = f"{int(first[:4]) + 3}-06"
+    qs.add(store, rows, DATE, first, middle)
+    qs.add(store, rows, DATE, middle, last)
+    qs.add(store, rows, DATE, last)
+    found = qs.stored_quantiles(store, rows, list(_QUANTILES.values()))
+    made = spark.createDataFrame([(c, *[float(x) for x in v]) for c, v in found.items()], "feature string, " + ", ".join(f"{n} double" for n in _QUANTILES))
+    return _round(made, list(_QUANTILES))
