@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import plus_months
 from .features import KEYS, ROW, binary_label
+from .spread import spread_join
 
 FEATURE_DATE, LABEL_DATE = "feature_snapshot_date", "label_snapshot_date"
 
@@ -38,15 +39,23 @@ def temporal_label_join(
     date: str = "snapshot_date",
     carry: Sequence[str] = ("dpd", "overdue_amt"),
     null_safe: bool = False,
+    spread: bool = False,
 ) -> DataFrame:
     """Each feature row at T with every outcome of the same key at exactly T + months.
 
     One equi-join on (key, date): the date is part of the hash key, so the rows of
     a very active key are spread over its months. A key with several loans gives
-    several rows.
+    several rows. ``spread`` deals out frequent (key, date) pairs by salts, for sessions
+    in which adaptive execution doesn't split them.
     """
     left = features.withColumnRenamed(date, FEATURE_DATE).withColumn(LABEL_DATE, plus_months(F.col(FEATURE_DATE), months))
     right = _outcomes(loans, key, date, months, threshold, carry)
+    if spread:
+        if null_safe:
+            raise ValueError("frequent keys are spread in plain equi-joins alone")
+        return spread_join(left, right.withColumnsRenamed({"_key": key, "_date": LABEL_DATE}), [key, LABEL_DATE]).select(
+            *left.columns, "label", *carry
+        )
     on = _equal(F.col(key), F.col("_key"), null_safe) & (F.col(LABEL_DATE) == F.col("_date"))
     return left.join(right, on, "inner").drop("_key", "_date")
 
@@ -71,6 +80,7 @@ def join_attributes(
     months: int = 6,
     key: str = "Customer_ID",
     date: str = "snapshot_date",
+    spread: bool = False,
 ) -> DataFrame:
     """Labelled feature rows with the attributes of the same key and dates.
 
@@ -90,7 +100,7 @@ def join_attributes(
         *columns,
     )
     side = dated.join(k, (F.col(key) == F.col("_key")) & (F.col(LABEL_DATE) == F.col("_date"))).drop("_key", "_date")
-    joined = labelled.join(side, [key, FEATURE_DATE, LABEL_DATE], "inner")
+    joined = (spread_join if spread else DataFrame.join)(labelled, side, [key, FEATURE_DATE, LABEL_DATE], "inner")
     return joined.withColumn("_copy", F.explode(F.sequence(F.lit(1), "_copies"))).drop("_copy", "_copies")
 
 
@@ -100,7 +110,7 @@ def _row_keys(keys: Sequence[str], left: DataFrame, right: DataFrame, by_key_onl
     return [*keys, *([ROW] if numbered else [])]
 
 
-def feature_label_join(features: DataFrame, labels: DataFrame, by_key_only: bool = False) -> DataFrame:
+def feature_label_join(features: DataFrame, labels: DataFrame, by_key_only: bool = False, spread: bool = False) -> DataFrame:
     """Each feature row with its own label.
 
     A key with k loans has k times k rows in either store. They are told apart by the
@@ -108,14 +118,14 @@ def feature_label_join(features: DataFrame, labels: DataFrame, by_key_only: bool
     """
     on = _row_keys(KEYS, features, labels, by_key_only)
     side = features.drop(ROW) if by_key_only else features
-    return side.join(labels.select(*on, "label"), on, "inner")
+    return (spread_join if spread else DataFrame.join)(side, labels.select(*on, "label"), on, "inner")
 
 
-def scored_join(labelled: DataFrame, predictions: DataFrame, by_key_only: bool = False) -> DataFrame:
+def scored_join(labelled: DataFrame, predictions: DataFrame, by_key_only: bool = False, spread: bool = False) -> DataFrame:
     """Labelled rows with their own scores; with ``by_key_only`` all of the same key and feature date."""
     on = _row_keys(("Customer_ID", FEATURE_DATE), labelled, predictions, by_key_only)
     scores = predictions.select(*on, "prediction", "prediction_proba_1")
-    return labelled.join(scores, on, "inner")
+    return (spread_join if spread else DataFrame.join)(labelled, scores, on, "inner")
 
 
 def in_date_range(df: DataFrame, date: str, start: str | None = None, end: str | None = None) -> DataFrame:

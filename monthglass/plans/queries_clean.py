@@ -362,6 +362,16 @@ def temporal_label_join(spark, sf_dir):
     return labelled(spark, sf_dir).select(*_LABEL_COLUMNS.split(", "))
 
 
+@query(
+    "temporal_label_join_spread",
+    with_views("fin_snapshots", "loan_snapshots", body=f"SELECT {_LABEL_COLUMNS} FROM ({LABELLED})"),
+)
+def temporal_label_join_spread(spark, sf_dir):
+    """The same rows with frequent keys dealt out by salts."""
+    found = tm.temporal_label_join(view(spark, sf_dir, "fin_snapshots"), _loans(spark, sf_dir), spread=True)
+    return found.select(*_LABEL_COLUMNS.split(", "))
+
+
 @query(
     "label_store",
     with_views(
