@@ -139,31 +139,34 @@ def _cells(home: DataFrame, block: int, portion: int) -> DataFrame:
     )
     visits = home.select("dims", F.explode("reached.cell").alias("cell")).groupBy("dims", "cell").agg(F.count("*").alias("visits"))
     cells = members.join(visits, ["dims", "cell"], "left").withColumn("visits", F.coalesce("visits", F.lit(0)) + F.col("others"))
+    # A cell that fits one block has no block for its core alone.
+    small = F.col("cores") + F.col("others") <= block_
     return cells.select(
         "dims",
         "cell",
         "radius",
         "core_n",
         "core_id",
-        F.ceil(F.col("cores") / block_).cast("int").alias("core_blocks"),
-        F.ceil(F.col("others") / block_).cast("int").alias("blocks"),
+        F.when(small, 0).otherwise(F.ceil(F.col("cores") / block_)).cast("int").alias("core_blocks"),
+        F.when(small, 1).otherwise(F.ceil(F.col("others") / block_)).cast("int").alias("blocks"),
         F.greatest(F.lit(1), F.ceil(F.col("visits") / portion_)).cast("int").alias("portions"),
     )
 
 
 def _parts(home: DataFrame, cells: DataFrame, reach: float) -> DataFrame:
-    """The rows of each task: (dims, cell, block, portion), whether the block is of the core, whether the row is a visitor, id, node, n, vec."""
+    """The rows of each task: (dims, cell, block, portion), whether the row is of the cell's core or a visitor, id, node, n, vec."""
     draw = F.xxhash64("id")
     core_block = F.pmod(draw, F.greatest(F.col("core_blocks"), F.lit(1)))
     other_block = F.col("core_blocks") + F.pmod(draw, F.greatest(F.col("blocks"), F.lit(1)))
-    own = home.join(F.broadcast(cells), ["dims", "cell"]).withColumn("block", F.when(F.col("core"), core_block).otherwise(other_block).cast("int"))
-    row = ["dims", "cell", "block", "portion", "core_block", "visitor", "id", "node", "n", "vec"]
+    apart = F.col("core") & (F.col("core_blocks") > 0)
+    own = home.join(F.broadcast(cells), ["dims", "cell"]).withColumn("block", F.when(apart, core_block).otherwise(other_block).cast("int"))
+    row = ["dims", "cell", "block", "portion", "core", "visitor", "id", "node", "n", "vec"]
     at_home = own.withColumn("portion", F.explode(F.sequence(F.lit(0), F.col("portions") - 1)))
-    at_home = at_home.select(*row[:4], F.col("core").alias("core_block"), F.lit(False).alias("visitor"), *row[6:])
+    at_home = at_home.select(*row[:5], F.lit(False).alias("visitor"), *row[6:])
     visiting = lambda df: df.select(
         *row[:3],
         F.pmod(F.xxhash64("id", "block"), F.col("portions")).cast("int").alias("portion"),
-        (F.col("block") < F.col("core_blocks")).alias("core_block"),
+        F.lit(False).alias("core"),
         F.lit(True).alias("visitor"),
         *row[6:],
     )
@@ -201,7 +204,7 @@ def _join_cell(limit: float, rows: int = 1024):
         dims = part["dims"][0].as_py()
         visitor = part["visitor"].to_numpy()
         x = unit(matrix(part["vec"], dims))
-        ids, n, nodes = (part[c].to_numpy() for c in ("id", "n", "node"))
+        ids, n, nodes, core = (part[c].to_numpy() for c in ("id", "n", "node", "core"))
         here, there = np.flatnonzero(~visitor), np.flatnonzero(visitor)
         names, label = np.unique(nodes, return_inverse=True)
         total, forest = np.zeros(len(ids), np.int64), _Forest(len(names))
@@ -212,12 +215,14 @@ def _join_cell(limit: float, rows: int = 1024):
                 hit = x[some] @ x[here].T >= limit
                 if later:
                     hit &= np.arange(len(here)) > k + np.arange(len(some))[:, None]
+                    # Linked without a comparison, and counted so.
+                    hit &= ~(core[some][:, None] & core[here])
                 total[some] += hit @ n[here]
                 total[here] += n[some] @ hit
                 for r in np.flatnonzero(hit.any(axis=1)):
                     forest.join([label[some[r]], *np.unique(label[here[hit[r]]]).tolist()])
 
-        if not part["core_block"][0].as_py() and part["portion"][0].as_py() == 0:
+        if part["portion"][0].as_py() == 0 and not core[here].all():
             compare(here, True)
         compare(there, False)
         counted = np.flatnonzero(total)
