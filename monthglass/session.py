@@ -68,10 +68,14 @@ def staged_files(spark: SparkSession) -> Iterator[None]:
         yield
     finally:
         _OPEN.reset(token)
-        hadoop = spark._jvm.org.apache.hadoop.fs
         for path in paths:
-            at = hadoop.Path(path)
-            at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+            remove(spark, path)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Take down a folder of any file system that Spark knows; none is no error."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
 
 
 def stage_table(df: DataFrame, name: str) -> DataFrame:

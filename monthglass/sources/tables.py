@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import month_label
 from ..functions.text import CSV_NULLS, null_if_in
+from ..session import remove
 
 MONTH = "year_month"
 
@@ -67,8 +68,7 @@ def write_monthly(df: DataFrame, path: str, date_col: str = "snapshot_date") ->
 
 def write_rejects(df: DataFrame | None, spark: SparkSession, path: str, date_col: str = "snapshot_date") -> None:
     """The rows that cleaning removed, one folder per month, in place of all earlier ones; None: there are none."""
-    at = spark._jvm.org.apache.hadoop.fs.Path(path)
-    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+    remove(spark, path)
     if df is not None:
         write_monthly(df, path, date_col)
 
