@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from monthglass.llm import leaks, minhash, mixing, quality, windows
 from monthglass.plans.registry import query
-from monthglass.session import stage_table
+from monthglass.session import remove, staged_files, staging_path
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -57,7 +57,14 @@ ORACLE_SQL = None
 
 @query("pipeline")
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """Each stage is stored before the next one reads it; what it needed is removed once it is stored."""
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for name, stage in STAGES[:-1]:
-        docs = stage_table(stage(spark, docs, sf_dir), name)
+        path = staging_path(spark, name)
+        with staged_files(spark):
+            out = stage(spark, docs, sf_dir)
+            out.write.parquet(path)
+        if before:
+            remove(spark, before)
+        docs, before = spark.read.schema(out.schema).parquet(path), path
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -1,6 +1,7 @@
 """The pipeline, stage by stage, against brute force on a small table."""
 
 import collections
+import os
 import random
 import re
 
@@ -126,6 +127,21 @@ def test_run_agrees_with_its_stages(spark, tables):
     assert sorted(one) == sorted(two) and one
 
 
+def test_used_stages_are_removed(spark, tables, monkeypatch):
+    from monthglass import session
+
+    folder, _, _ = tables
+    made, path = [], session.staging_path
+    for module in (session, corpus_pipeline):
+        monkeypatch.setattr(module, "staging_path", lambda s, name: made.append(path(s, name)) or made[-1])
+    out = corpus_pipeline.run(spark, folder)
+    there = [p for p in made if os.path.exists(p.removeprefix("file:"))]
+    last = made.index(next(p for p in made if "/decontamination-" in p))
+    # The input of the last stage, and what that stage itself has stored.
+    assert set(there) <= set(made[last:]) and made[last] in there and len(made) > len(there) + 10
+    assert out.count() > 0
+
+
 def test_edges(spark, tables):
     """Empty tables, repeated rows, null ids and extra columns go through every stage."""
     folder, rows, _ = tables
