@@ -123,7 +123,9 @@ def feature_label_join(features: DataFrame, labels: DataFrame, by_key_only: bool
 
 def scored_join(labelled: DataFrame, predictions: DataFrame, by_key_only: bool = False, spread: bool = False) -> DataFrame:
     """Labelled rows with their own scores; with ``by_key_only`` all of the same key and feature date."""
-    on = _row_keys(("Customer_ID", FEATURE_DATE), labelled, predictions, by_key_only)
+    # Numbered rows are joined on all keys, as the stores are: bucketed alike, they join without a shuffle.
+    numbered = ROW in labelled.columns and set(KEYS + (ROW,)) <= set(predictions.columns) and not by_key_only
+    on = _row_keys(KEYS if numbered else ("Customer_ID", FEATURE_DATE), labelled, predictions, by_key_only)
     scores = predictions.select(*on, "prediction", "prediction_proba_1")
     return (spread_join if spread else DataFrame.join)(labelled, scores, on, "inner")
 

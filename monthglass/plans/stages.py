@@ -30,6 +30,7 @@ from ..operators.drift import (
     target_shift,
 )
 from ..operators.features import (
+    KEYS,
     LABEL_COLUMNS,
     NEVER_CAPPED,
     ROW,
@@ -294,14 +295,17 @@ def build_stores(
     return fill_category(features, text_columns(features, ["Customer_ID"])), label_store(staged)
 
 
-def write_stores(spark: SparkSession, folders: Folders, **options) -> None:
-    """Silver to the feature and label stores."""
+STORE_KEYS = (*KEYS, ROW)
+
+
+def write_stores(spark: SparkSession, folders: Folders, buckets: int | None = None, **options) -> None:
+    """Silver to the feature and label stores; ``buckets`` deals both out by their keys, see ``write_store``."""
     tune(spark)
     silver = [read_table(spark, folders.silver(n)) for n in ("financials", "attributes", "clickstream", "loans")]
     with staged_files(spark):
         features, labels = build_stores(*silver, **options)
-        write_store(features, folders.gold("feature_store"))
-        write_store(labels, folders.gold("label_store"))
+        write_store(features, folders.gold("feature_store"), buckets, STORE_KEYS)
+        write_store(labels, folders.gold("label_store"), buckets, STORE_KEYS)
 
 
 def labelled_rows(spark: SparkSession, folders: Folders) -> DataFrame:
@@ -343,13 +347,19 @@ def train_models(
 
 
 def score_all(
-    spark: SparkSession, folders: Folders, timestamp: str, start: str | None = None, end: str | None = None
+    spark: SparkSession,
+    folders: Folders,
+    timestamp: str,
+    start: str | None = None,
+    end: str | None = None,
+    buckets: int | None = None,
 ) -> DataFrame:
     """Score the feature store, optionally within a date range, with the model saved last; stored."""
     tune(spark)
     model, row = load_model(spark, folders.models)
     rows = in_date_range(read_store(spark, folders.gold("feature_store")), FEATURE_DATE, start, end)
-    write_predictions(score(model, rows, timestamp, row["model_name"], row["version"]), folders.gold("predictions"))
+    scores = score(model, rows, timestamp, row["model_name"], row["version"])
+    write_predictions(scores, folders.gold("predictions"), buckets, STORE_KEYS)
     return read_predictions(spark, folders.gold("predictions"))
 
 

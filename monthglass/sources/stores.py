@@ -2,23 +2,65 @@
 
 from __future__ import annotations
 
+import hashlib
+import json
+from collections.abc import Sequence
+
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import remove
+
 REGISTRY_SCHEMA = (
     "model_name string, version string, timestamp string, primary_metric string, "
     "metrics map<string,double>, model_path string"
 )
 
 
-def write_store(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").parquet(path)
+def _table_name(path: str) -> str:
+    return f"monthglass_{hashlib.sha1(path.rstrip('/').encode()).hexdigest()[:16]}"
+
+
+def _note(path: str) -> str:
+    """Where a store's buckets are written down, beside its files."""
+    return f"{path.rstrip('/')}.buckets"
+
+
+def write_store(df: DataFrame, path: str, buckets: int | None = None, keys: Sequence[str] = ()) -> None:
+    """Parquet; with ``buckets`` dealt out and sorted by ``keys``, so that stores of as many buckets join without a shuffle.
+
+    That takes one shuffle here, and gives one file a bucket: a bucket is read by one task.
+    """
+    spark = df.sparkSession
+    spark.sql(f"DROP TABLE IF EXISTS {_table_name(path)}")
+    remove(spark, _note(path))
+    if not buckets:
+        df.write.mode("overwrite").parquet(path)
+        return
+    remove(spark, path)
+    dealt = df.repartition(buckets, *[F.col(k) for k in keys])
+    writer = dealt.write.mode("overwrite").format("parquet").bucketBy(buckets, *keys).sortBy(*keys)
+    writer.option("path", path).saveAsTable(_table_name(path))
+    note = json.dumps({"buckets": buckets, "keys": list(keys), "schema": df.schema.json()})
+    spark.createDataFrame([(note,)], "note string").coalesce(1).write.mode("overwrite").text(_note(path))
 
 
 def read_store(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+    """The store's rows; a bucketed one is made known to the session's catalog first."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(_note(path))
+    if not at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at):
+        return spark.read.parquet(path)
+    name = _table_name(path)
+    if not spark.catalog.tableExists(name):
+        note = json.loads(spark.read.text(_note(path)).first()[0])
+        keys = ", ".join(f"`{k}`" for k in note["keys"])
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in T.StructType.fromJson(json.loads(note["schema"])))
+        spark.sql(
+            f"CREATE TABLE {name} ({columns}) USING parquet CLUSTERED BY ({keys}) SORTED BY ({keys}) INTO {note['buckets']} BUCKETS LOCATION '{path}'"
+        )
+    return spark.table(name)
 
 
 def csv_ready(df: DataFrame) -> DataFrame:
@@ -46,14 +88,14 @@ def read_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
     )
 
 
-def write_predictions(df: DataFrame, path: str) -> None:
+def write_predictions(df: DataFrame, path: str, buckets: int | None = None, keys: Sequence[str] = ()) -> None:
     """Parquet for programs and CSV for people; the CSV is made from the stored Parquet."""
-    df.write.mode("overwrite").parquet(f"{path}/parquet")
+    write_store(df, f"{path}/parquet", buckets, keys)
     write_csv(df.sparkSession.read.parquet(f"{path}/parquet"), f"{path}/csv")
 
 
 def read_predictions(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(f"{path}/parquet")
+    return read_store(spark, f"{path}/parquet")
 
 
 def save_model(

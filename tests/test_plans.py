@@ -79,3 +79,35 @@ def test_no_window_over_a_whole_range_of_a_quantile(spark, monkeypatch, orders):
     windows = [line for text in seen for line in text.splitlines() if "Window [sum(n" in line]
     assert windows and any("value" in w for w in windows)
     assert all("_bucket" in w for w in windows)
+
+
+def test_bucketed_stores_join_without_a_shuffle(spark, tmp_path):
+    from monthglass.operators.features import KEYS, ROW
+    from monthglass.sources import stores
+
+    keys = (*KEYS, ROW)
+    rows = spark.range(2000).selectExpr(
+        "concat('c', id % 40) AS Customer_ID", "timestamp_seconds(1672531200 + id % 12 * 86400) AS feature_snapshot_date",
+        "timestamp_seconds(1682531200 + id % 12 * 86400) AS label_snapshot_date", f"id AS {ROW}", "double(id) AS x", "int(id % 2) AS label",
+        "int(id % 3 = 0) AS prediction", "id / 2000 AS prediction_proba_1",
+    )
+    paths = {n: str(tmp_path / n) for n in ("f", "l", "p")}
+    stores.write_store(rows.select(*keys, "x"), paths["f"], 6, keys)
+    stores.write_store(rows.select(*keys, "label"), paths["l"], 6, keys)
+    stores.write_predictions(rows.select(*keys, "prediction", "prediction_proba_1"), paths["p"], 6, keys)
+    for forgotten in (False, True):
+        session = spark.newSession()
+        if forgotten:  # as in another application
+            for path in (paths["f"], paths["l"], f"{paths['p']}/parquet"):
+                spark.sql(f"DROP TABLE {stores._table_name(path)}")
+        session.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        features, labels, scores = stores.read_store(session, paths["f"]), stores.read_store(session, paths["l"]), stores.read_predictions(session, paths["p"])
+        joined = temporal.scored_join(temporal.feature_label_join(features, labels), scores)
+        text = plan(joined)
+        assert "Exchange" not in text and text.count("SelectedBucketsCount: 6 out of 6") == 3 and text.count("SortMergeJoin") == 2
+        assert joined.count() == 2000 and joined.where("label <> int(x) % 2 OR prediction_proba_1 <> x / 2000").count() == 0
+    # Written anew without buckets, and with others.
+    stores.write_store(rows.select(*keys, "x").limit(5), paths["f"])
+    assert stores.read_store(spark, paths["f"]).count() == 5
+    stores.write_store(rows.select(*keys, "x").limit(7), paths["f"], 3, keys)
+    assert stores.read_store(spark, paths["f"]).count() == 7 and stores.read_store(spark.newSession(), paths["f"]).count() == 7
