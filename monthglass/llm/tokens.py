@@ -15,6 +15,7 @@ from bisect import bisect_right
 from collections.abc import Iterator
 from functools import cache
 
+import ahocorasick
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
@@ -27,8 +28,8 @@ from .words import strings
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 PLAIN_BYTES = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
 
-#: Pieces of text, and pairs of tokens, that a worker remembers; beyond that it starts anew.
-REMEMBERED = 1_000_000
+#: Pieces of text, and pairs of tokens, that a worker remembers; beyond that it starts anew. Pieces of more bytes than LONG aren't.
+REMEMBERED, LONG = 1_000_000, 64
 
 
 def _alphabet() -> dict[str, int]:
@@ -77,6 +78,7 @@ class Vocabulary:
         self.longest = max(map(len, self.ids))
         self.split = regex.compile(PATTERN).findall
         self.parts = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")").split if self.special else lambda s: [s]
+        self._finder = None
         self._fits = _Remembered(self._stands_after)
         self._counts = _Remembered(self._tokens_of)
 
@@ -108,8 +110,24 @@ class Vocabulary:
             else:
                 j -= 1
 
+    def _ending(self, piece: bytes) -> Iterator[tuple[int, int, int]]:
+        """(end, start, token) of all vocabulary entries inside a piece, by end, longer ones first."""
+        if self._finder is None:
+            self._finder = ahocorasick.Automaton()
+            for text, token in self.ids.items():
+                self._finder.add_word(text.decode("latin-1"), (len(text), token))
+            self._finder.make_automaton()
+        for last, (size, token) in self._finder.iter(piece.decode("latin-1")):
+            yield last + 1, last + 1 - size, token
+
     def prefixes(self, piece: bytes) -> tuple[list[int], list[int]]:
-        """(number of tokens, begin of the last token) of each prefix, from the empty one on."""
+        """(number of tokens, begin of the last token) of each prefix, from the empty one on.
+
+        In a long piece the entries that end at each byte come from an automaton over the
+        vocabulary; in a short one looking all of them up is faster.
+        """
+        if len(piece) > LONG:
+            return self._prefixes_of_long(piece)
         count, begin, last = [0], [0], [0]
         ids, fits, width, longest = self.ids.get, self._fits, self.width, self.longest
         for end in range(1, len(piece) + 1):
@@ -122,10 +140,23 @@ class Vocabulary:
                     break
         return count, begin
 
+    def _prefixes_of_long(self, piece: bytes) -> tuple[list[int], list[int]]:
+        fits, width = self._fits, self.width
+        count, begin, last = [0], [0], [0]
+        for end, start, token in self._ending(piece):
+            if len(count) == end and (not start or fits[last[start] * width + token]):
+                count.append(count[start] + 1)
+                begin.append(start)
+                last.append(token)
+        return count, begin
+
     def _tokens_of(self, piece: str) -> int:
         data = piece.encode("utf-8", "surrogatepass")
         return 1 if data in self.ids else self.prefixes(data)[0][-1]
 
+    def _count_of(self, piece: str) -> int:
+        return self._counts[piece] if len(piece) <= LONG else self._tokens_of(piece)
+
     def count(self, text: str) -> int:
         """Tokens of a whole text: the entry of its longest prefix."""
         total = 0
@@ -133,7 +164,7 @@ class Vocabulary:
             if k % 2:
                 total += 1
             elif part:
-                total += sum(map(self._counts.__getitem__, self.split(part)))
+                total += sum(map(self._count_of, self.split(part)))
         return total
 
     def marks(self, text: str) -> tuple[list[int], list[int]]:
@@ -142,7 +173,7 @@ class Vocabulary:
         for k, part in enumerate(self.parts(text)):
             for piece in [part] if k % 2 else self.split(part):
                 at += len(piece.encode("utf-8", "surrogatepass"))
-                total += 1 if k % 2 else self._counts[piece]
+                total += 1 if k % 2 else self._count_of(piece)
                 ends.append(at)
                 counts.append(total)
         return ends, counts

@@ -64,3 +64,26 @@ def test_prefix_tables(spark, library):
         assert len(row.counts) == len(text.encode()) + 1 and row.counts[-1] == len(library(text).ids)
     last = marks.select("doc_id", F.try_element_at("counts", F.lit(-1)).alias("n")).where("n is not null").collect()
     assert all(r.n == len(library(rows[r.doc_id][1]).ids) for r in last)
+
+
+def test_long_pieces(library):
+    """Unspaced text: the same prefixes as by plain lookups, in time and memory in proportion to its length."""
+    import time
+
+    from monthglass.llm import tokens
+
+    r = random.Random(5)
+    v, plain = Vocabulary(PATH), Vocabulary(PATH)
+    for k in range(40):
+        alphabet = "abcdefghijklmnopqrstuvwxyz" if k % 2 else "aé=中"
+        piece = "".join(r.choice(alphabet) for _ in range(r.randint(65, 300))).encode()
+        long = v.prefixes(piece)
+        tokens_long, tokens.LONG = tokens.LONG, 1 << 30
+        try:
+            assert long == plain.prefixes(piece)
+        finally:
+            tokens.LONG = tokens_long
+    text = "".join(r.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz") for _ in range(300_000))
+    start = time.monotonic()
+    assert v.count(text) == len(library(text).ids)
+    assert time.monotonic() - start < 10 and not any(len(x) > tokens.LONG for x in v._counts)
