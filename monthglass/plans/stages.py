@@ -267,8 +267,11 @@ def build_stores(
 
     The joined frame is stored once in the staging folder: the exact quantiles read a
     few columns several times and should not repeat the joins, and the number that ties
-    the rows of both stores together must not change.
+    the rows of both stores together must not change. So are the outcome rows, the few of
+    all loan rows that three joins read.
     """
+    due = loans.where(F.col("mob") == months).select("Customer_ID", "snapshot_date", "mob", "dpd", "overdue_amt")
+    loans = stage_table(due, "due")
     labelled = financial_features(temporal_label_join(financials, loans, months, threshold))
     people = attribute_features(attributes)
     joined = join_attributes(labelled, people, loans, ["Age", "Occupation", "age_group"], months)
