@@ -13,12 +13,12 @@ from ..operators import learn as ln
 from ..operators.clean import clean_loans
 from ..operators.features import KEYS, ROW, numeric_columns
 from ..operators.temporal import FEATURE_DATE, feature_label_join, scored_join
-from ..session import stage_table, staging_path
+from ..session import roomy, stage_table, staging_path
 from ..sources.stores import load_model, read_registry, read_store, save_model, write_store
 from .registry import query
 from .stages import build_stores
 from .stages_sql import FEATURE_STORE, feature_store_ctes
-from .views import view, with_views
+from .views import table, view, with_views
 
 STAMP = "20240101_000000"
 
@@ -273,6 +273,11 @@ def _side(spark, sf_dir, name):
     return spark.sql(_ROWS[name].replace("store_rows", "{store_rows}"), store_rows=view(spark, sf_dir, "store_rows"))
 
 
+def _roomy(spark, sf_dir):
+    """The store rows are the line items with an order; their number stands in the files' footers."""
+    return roomy(spark, table(spark, sf_dir, "lineitem").count())
+
+
 def _labelled(spark, sf_dir, by_key_only=False):
     return feature_label_join(_side(spark, sf_dir, "feature_rows"), _side(spark, sf_dir, "label_rows"), by_key_only)
 
@@ -286,6 +291,7 @@ def _joined_sql(select: str) -> str:
     _joined_sql(f"SELECT {_KEY}, store_row, amount, label FROM feature_rows JOIN label_rows USING ({_KEY}, store_row)"),
 )
 def feature_labels(spark, sf_dir):
+    spark = _roomy(spark, sf_dir)
     return _labelled(spark, sf_dir).select(*KEYS, ROW, "amount", "label")
 
 
@@ -296,7 +302,7 @@ def feature_labels(spark, sf_dir):
 )
 def feature_labels_by_key(spark, sf_dir):
     """All rows of a key with all labels of it, added up per key."""
-    rows = _labelled(spark, sf_dir, by_key_only=True)
+    rows = _labelled(_roomy(spark, sf_dir), sf_dir, by_key_only=True)
     return rows.groupBy(*KEYS).agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("amount"), 2).alias("amount"), F.sum("label").alias("labels"))
 
 
@@ -306,6 +312,7 @@ def feature_labels_by_key(spark, sf_dir):
         FROM feature_rows JOIN label_rows USING ({_KEY}, store_row) JOIN score_rows USING (Customer_ID, feature_snapshot_date, store_row)"""),
 )
 def scored(spark, sf_dir):
+    spark = _roomy(spark, sf_dir)
     joined = scored_join(_labelled(spark, sf_dir), _side(spark, sf_dir, "score_rows"))
     return joined.select(*KEYS, ROW, "amount", "label", "prediction", "prediction_proba_1")
 
@@ -318,5 +325,6 @@ def scored(spark, sf_dir):
         GROUP BY ALL"""),
 )
 def scored_by_key(spark, sf_dir):
+    spark = _roomy(spark, sf_dir)
     joined = scored_join(_labelled(spark, sf_dir), _side(spark, sf_dir, "score_rows").drop(ROW), by_key_only=True)
     return joined.groupBy(*KEYS, ROW).agg(F.count(F.lit(1)).alias("n"), F.sum("prediction").alias("predictions"))
