@@ -40,6 +40,21 @@ def _in_pieces(df: DataFrame, date: str, points: Sequence[float]) -> DataFrame:
     return timed.withColumn("_piece", F.col("_at").cast("int")).drop("_neg", "_at")
 
 
+def visible_history(
+    history: DataFrame,
+    queries: DataFrame,
+    key: str = "Customer_ID",
+    query_date: str = "feature_snapshot_date",
+    date: str = "snapshot_date",
+) -> DataFrame:
+    """The rows that a look-back from ``queries`` can see: of their keys, up to each key's last query date.
+
+    One equi-join on the key, with one row for each; a look-back of what is left gives the same rows.
+    """
+    last = queries.groupBy(F.col(key).alias("_key")).agg(F.max(_micros(query_date)).alias("_last"))
+    return history.join(last, (F.col(key) == F.col("_key")) & (_micros(date) <= F.col("_last")), "left_semi")
+
+
 def lookback(
     queries: DataFrame,
     history: DataFrame,

@@ -43,7 +43,7 @@ from ..operators.features import (
     text_columns,
 )
 from ..operators.learn import ALGORITHMS, Training, score, temporal_split, train_all
-from ..operators.lookback import lookback
+from ..operators.lookback import lookback, visible_history
 from ..operators.quantiles import apply_caps, apply_fill, fit_caps_and_medians
 from ..operators.rejects import kept, reject_counts, rejected, tag
 from ..operators.shift_tests import all_tests, decide
@@ -281,7 +281,8 @@ def build_stores(
         keys = financials.select("Customer_ID", "snapshot_date")
         dates = temporal_label_join(keys, loans, months, threshold, carry=()).select("Customer_ID", FEATURE_DATE).distinct()
         dates = stage_table(dates, "dates")
-        joined = joined.join(lookback(dates, clickstream, clicks), ["Customer_ID", FEATURE_DATE], "left")
+        seen = visible_history(clickstream, dates)
+        joined = joined.join(lookback(dates, seen, clicks), ["Customer_ID", FEATURE_DATE], "left")
     # The number is given while the rows are stored, so both stores hold the same one.
     numbered = joined.withColumn(ROW, F.monotonically_increasing_id())
     staged = require_rows(stage_table(numbered, "gold"), f"no feature date has outcomes {months} months later")
