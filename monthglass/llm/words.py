@@ -1,7 +1,7 @@
 """Words of whole texts as 64-bit hashes, straight from Arrow buffers.
 
 All helpers take a batch of texts as an Arrow string array and work on pieces of about
-a megabyte, so memory follows the batch's longest text and not its length.
+a quarter of a megabyte, so memory follows the batch's longest text and not its length.
 A null text has no words.
 """
 
@@ -48,7 +48,7 @@ def strings(column) -> pa.Array:
     return column.cast(pa.string()) if not pa.types.is_string(column.type) else column
 
 
-def pieces(texts: pa.Array, most: int = 1 << 20) -> Iterator[tuple[int, int]]:
+def pieces(texts: pa.Array, most: int = 1 << 18) -> Iterator[tuple[int, int]]:
     """Row ranges of at most `most` bytes, or one row."""
     ends = np.frombuffer(texts.buffers()[1], np.int32)[texts.offset : texts.offset + len(texts) + 1] if len(texts) else np.zeros(1, np.int32)
     lo = 0

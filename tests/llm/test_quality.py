@@ -3,13 +3,16 @@
 import collections
 import random
 import re
+import tracemalloc
 
 import numpy as np
 import pyarrow as pa
 import pytest
 
+from monthglass.llm.batches import KEY, small_batches
 from monthglass.llm.quality import BASE, RULES, Rule, Texts, by_worth, cascade, keep_good, measure, quality_rules
 from monthglass.llm.words import pieces
+from monthglass.session import apart
 
 
 def brute(text):
@@ -88,3 +91,21 @@ def test_edges(spark):
     good = " ".join(f"word{i}" for i in range(60))
     df = spark.createDataFrame([(None, good), (1, good), (1, good), (2, None)], "doc_id long, text string")
     assert sorted((str(r.doc_id), r.kept) for r in quality_rules(df).collect()) == [("1", True), ("1", True), ("2", False), ("None", True)]
+
+
+def test_memory_of_a_worker(spark):
+    """A worker's arrays are many times a piece's bytes, so pieces and batches are small."""
+    column = pa.array(["some words of a plain text " * 80] * 4_000)
+    rules = [*BASE, *RULES]
+    tracemalloc.start()
+    try:
+        kept = [cascade(column.slice(lo, hi - lo), rules, np.ones(hi - lo, bool)) for lo, hi in pieces(column)]
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert sum(map(len, kept)) == len(column)
+    assert peak < 15e6
+    own = apart(spark)
+    own.conf.unset(KEY)
+    small_batches(own.range(1))
+    assert int(own.conf.get(KEY)) <= 4 << 20
